@@ -120,12 +120,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def without(placed: DataFrame, dropped: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
-    """The rows of a ``located`` frame whose place isn't among those of dropped.
+    """The rows of a ``located`` frame whose place isn't among those of dropped (__df, __dr).
 
-    Places are two longs each; up to most_broadcast of them are broadcast, more meet in a shuffle.
+    __df is the hash of __file, __dr is __row: places are two longs each; up to most_broadcast of them are broadcast, more meet in a shuffle.
     """
     spark = placed.sparkSession
-    dropped = written(spark, dropped.select(F.xxhash64("__file").alias("__df"), F.col("__row").alias("__dr")), "dropped")
+    dropped = written(spark, dropped, "dropped")
     if dropped.count() <= most_broadcast:
         dropped = F.broadcast(dropped)
     return placed.join(dropped, (F.xxhash64("__file") == F.col("__df")) & (F.col("__row") == F.col("__dr")), "left_anti")

@@ -122,4 +122,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     placed = located(spark, docs)
     if "__file" in names or "__row" in names:
         raise ValueError("__file and __row are this operator's own column names")
-    return without(placed, _decisions(placed).filter("not kept")).select(*names)
+    return without(placed, _decisions(placed).filter("not kept").select(F.xxhash64("__file").alias("__df"), F.col("__row").alias("__dr"))).select(*names)

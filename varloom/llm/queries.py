@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, token_binary
+from . import exact_dedup, near_dedup, packing, token_binary
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("__file", "__row")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -20,7 +24,7 @@ def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op8_packing, op9_token_binary)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_minhash_near_dedup, op8_packing, op9_token_binary)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
