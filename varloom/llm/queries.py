@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, packing, token_binary
+from . import exact_dedup, near_dedup, packing, pii, secrets, token_binary
 from .common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("__file", "__row")
 
@@ -24,9 +28,14 @@ def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_minhash_near_dedup, op8_packing, op9_token_binary)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_exact_dedup, op6_minhash_near_dedup, op8_packing, op9_token_binary, op10_pii)}
 
 ORACLE_SQL = {
+    "op1_secret_scan": secrets.sql(),
     "op2_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
