@@ -42,7 +42,7 @@ def _state(spark: SparkSession, digests: DataFrame, n_files: int) -> DataFrame:
     path = digests.inputFiles()[0].rsplit("/", 1)[0]
     checkpoint = shared_dir(spark, "dedup-state")
     held = {}
-    for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}.items():
+    for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}.items():
         held[k] = spark.conf.get(k, None)
         spark.conf.set(k, v)
     try:
