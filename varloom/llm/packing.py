@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import small_batches
-from .tokens import WordTokenizer
+from .tokens import WordTokenizer, gathered
 
 WINDOW = 2048
 #: Windows open at most; beyond that all are joined. Bounds a task's memory.
@@ -127,11 +127,9 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
         def docs_of() -> Iterator[tuple[int, bytes]]:
-            for b in batches:
-                ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-                for i in range(0, len(ids), 128):
-                    for doc_id, raw in zip(ids[i : i + 128], tokenizer.ids(texts[i : i + 128])):
-                        yield doc_id, raw + end
+            for b in gathered(batches):
+                for doc_id, raw in zip(b.column(0).to_pylist(), tokenizer.ids(b.column(1))):
+                    yield doc_id, raw + end
 
         rows = []
         for r in pack(docs_of(), TaskContext.get().partitionId() * IDS_PER_TASK, window):

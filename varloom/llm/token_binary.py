@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shared_dir, small_batches
-from .tokens import WordTokenizer
+from .tokens import WordTokenizer, gathered
 
 MAGIC, HEAD = b"VLRP", "<4sIQIQIQ"
 #: Ids of the vocabulary lie below this; nonterminals follow.
@@ -202,15 +202,13 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
             size = 0
             return out
 
-        for b in batches:
-            keys, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for i in range(0, len(keys), 128):
-                for doc_id, raw in zip(keys[i : i + 128], tokenizer.ids(texts[i : i + 128])):
-                    ids.append(doc_id)
-                    raws.append(raw + end)
-                    size += len(raw) // 4 + 1
-                    if size >= shard_ids:
-                        yield shard()
+        for b in gathered(batches):
+            for doc_id, raw in zip(b.column(0).to_pylist(), tokenizer.ids(b.column(1))):
+                ids.append(doc_id)
+                raws.append(raw + end)
+                size += len(raw) // 4 + 1
+                if size >= shard_ids:
+                    yield shard()
         if ids:
             yield shard()
 

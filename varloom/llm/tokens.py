@@ -6,18 +6,20 @@ white-space separated words. Words repeat; each worker keeps the packed ids of t
 
 from __future__ import annotations
 
-import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept by a worker; beyond that the cache starts anew.
 MOST_WORDS = 800_000
 MOST_CHARS = 20_000_000
-#: What str.split takes for white space and the vocabulary doesn't.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, the others from U+0100 on.
 PRINTABLE = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
-TAIL = re.compile(r"[!-&(-/:-@\[-`{-~]+\Z")
+TAILS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -26,6 +28,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most_rows: int = 2048, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to a number of rows or bytes: the more words meet, the fewer are looked up."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= most_rows or sum(x.nbytes for x in held) >= most_bytes:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 class WordTokenizer:
     """ids(texts): for each text its ids as packed little-endian unsigned 32-bit integers."""
 
@@ -44,42 +58,49 @@ class WordTokenizer:
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes:
-        """Letters up to U+00FF are one piece, are normalised already and have plain lower case: the model alone does."""
-        word = word.lower()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return array("I", [x.id for x in self.tokenize(word)]).tobytes()
-
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
+        """Letters up to U+00FF are one piece, are normalised already and have plain lower case: for
+        them the model alone does. So are punctuation marks behind them, without the apostrophe."""
         if len(self.cache) > MOST_WORDS or self.chars > MOST_CHARS:
             self.cache, self.chars = {}, 0
-        cache, rest = self.cache, []
+        cache, tokenize, rest = self.cache, self.tokenize, []
         for word in words:
-            if word.isalpha() and max(word) <= "\xff":
-                cache[word] = self._word(word)
-            elif len(word) <= 64 and (m := TAIL.search(word)) and (core := word[: m.start()]).isalpha() and max(core) <= "\xff":
-                if core not in cache:
-                    cache[core] = self._word(core)
-                if m[0] not in cache:
-                    cache[m[0]] = self._direct([m[0]])[0]
-                cache[word] = cache[core] + cache[m[0]]
+            core = word.rstrip(TAILS)
+            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
+                ids = cache.get(core)
+                if ids is None:
+                    low = core.lower()
+                    if not low.isascii():
+                        low = low.encode().decode("latin-1").translate(BYTE_LETTERS)
+                    ids = cache[core] = array("I", [x.id for x in tokenize(low)]).tobytes()
+                if len(core) < len(word):
+                    tail = word[len(core) :]
+                    if tail not in cache:
+                        cache[tail] = self._direct([tail])[0]
+                    cache[word] = ids + cache[tail]
             else:
                 rest.append(word)
         cache.update(zip(rest, self._direct(rest)))
         self.chars += sum(map(len, words))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [[] if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        flat = [w for words in split for w in words]
-        got = list(map(self.cache.get, flat))
+    def ids(self, texts: pa.Array | list) -> list[bytes]:
+        """Words are split and told apart by Arrow; each different one of a batch is looked up once."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        if not len(coded):
+            return [b""] * len(texts)
+        words = coded.dictionary.to_pylist()
+        got = list(map(self.cache.get, words))
         if None in got:
             missed = [i for i, x in enumerate(got) if x is None]
-            self.learn({flat[i] for i in missed})
+            self.learn([words[i] for i in missed])
             for i in missed:
-                got[i] = self.cache[flat[i]]
-        out, at = [], 0
-        for text, words in zip(texts, split):
-            out.append(b"".join(got[at : at + len(words)]) if words or not text else self._direct([text])[0])
-            at += len(words)
-        return out
+                got[i] = self.cache[words[i]]
+        ends = np.cumsum([0, *map(len, got)], dtype=np.int64) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.uint32)))
+        taken = lists.take(coded.indices)
+        raw = memoryview(np.ascontiguousarray(taken.flatten().to_numpy())).cast("B")
+        at = (taken.offsets.to_numpy()[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
+        return [bytes(raw[x:y]) for x, y in zip(at, at[1:])]
