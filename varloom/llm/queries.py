@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, packing, pii, secrets, token_binary, warc
+from . import decontaminate, exact_dedup, html_extract, langid, near_dedup, packing, pii, secrets, token_binary, warc
 from .common import table
 
 
@@ -20,10 +21,23 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), decontaminate.benchmark_of(spark, sf_dir))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return langid.documents_identified(docs, [F.col("doc_id").cast("long").alias("doc_id")]).drop("host", "suffix", "declared")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -36,7 +50,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_exact_dedup, op3_warc, op6_minhash_near_dedup, op8_packing, op9_token_binary, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_exact_dedup, op3_warc, op4_html_extract, op5_decontaminate, op6_minhash_near_dedup, op7_language_id, op8_packing, op9_token_binary, op10_pii)}
 
 ORACLE_SQL = {
     "op1_secret_scan": secrets.sql(),
