@@ -10,8 +10,10 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 LN_2PI = math.log(2 * math.pi)
-_erfc = np.frompyfunc(math.erfc, 1, 1)
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+
+
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.erfc, x), float, len(x))
 
 
 def ln_sf(z: np.ndarray) -> np.ndarray:
@@ -20,7 +22,7 @@ def ln_sf(z: np.ndarray) -> np.ndarray:
     out = np.empty_like(z)
     near = ~(z >= 25)
     with np.errstate(all="ignore"):
-        out[near] = np.log(_erfc(z[near] / math.sqrt(2)).astype(float) / 2)
+        out[near] = np.log(_erfc(z[near] / math.sqrt(2)) / 2)
         far = z[~near]
         w = far**-2
         out[~near] = -far * far / 2 - np.log(far) - LN_2PI / 2 + np.log1p(-w + 3 * w**2 - 15 * w**3 + 105 * w**4)
@@ -70,7 +72,7 @@ def lp_from_z(z: pd.Series) -> pd.Series:
 
 @pandas_udf(DoubleType())
 def erfc(x: pd.Series) -> pd.Series:
-    return pd.Series(_erfc(x.to_numpy(float)).astype(float))
+    return pd.Series(_erfc(x.to_numpy(float)))
 
 
 @pandas_udf(DoubleType())

@@ -406,3 +406,540 @@ def exp_liftover(spark, sf):
     c = spark.range(1, 23).select(F.col("id").cast("string").alias("src_chrom"), F.concat(F.lit("L"), F.col("id").cast("string")).alias("dst_chrom"))
     chain = c.selectExpr("*", "1L src_start", "999L src_end", "5001L dst_start", "'+' strand").unionByName(c.selectExpr("*", "1000L src_start", "1500L src_end", "1000L dst_start", "'-' strand"))
     return ranges.lifted(d, chain, "chrom", "pos").select("rid", "lifted_chrom", "lifted_pos")
+
+
+# -- joins
+
+
+@query("""WITH r AS (SELECT chrom, pos, ea, oa, af, 0 AS o FROM {P} UNION ALL SELECT chrom, pos, oa, ea, 1 - af, 1 FROM {P}),
+ b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY chrom, pos, ea, oa ORDER BY o) = 1)
+ SELECT rid, round(af, 9) AS panel_af, CASE o WHEN 0 THEN 'direct' WHEN 1 THEN 'swapped' END AS panel_af_orientation FROM {S} LEFT JOIN b USING (chrom, pos, ea, oa)""")
+def join_allele_oriented(spark, sf):
+    d = joins.allele_join(study(spark, sf), panel(spark, sf), ["chrom", "pos", "ea", "oa"], "af", "panel_af")
+    return d.select("rid", F.round("panel_af", 9).alias("panel_af"), "panel_af_orientation")
+
+
+@query("""SELECT p_brand, p_size, p_type AS p_type FROM part GROUP BY ALL HAVING false UNION ALL
+ SELECT p_brand, p_size, min(p_type) FROM part GROUP BY p_brand, p_size HAVING count(DISTINCT p_type) = 1 AND count(p_type) = count(*)""")
+def join_reference_dedup(spark, sf):
+    return joins.deduplicated_reference(table(spark, sf, "part").select("p_brand", "p_size", "p_type"), ["p_brand", "p_size"], "p_type")
+
+
+@query("""WITH a AS (SELECT chrom, pos % 40 AS pos, oa AS ref, ea AS alt, af / 3 AS af FROM {P}),
+ g AS (SELECT chrom, pos, count(*) AS n, min(ref) AS lo, max(ref) AS hi, sum(af) AS t, count(*) - count(DISTINCT alt) AS again FROM a GROUP BY chrom, pos),
+ w AS (SELECT *, CASE WHEN lo <> hi THEN 'several_reference_alleles' WHEN again > 0 THEN 'repeated_allele' WHEN t > 1 THEN 'sum_out_of_range' END AS reason FROM g)
+ SELECT chrom, pos, lo AS ref, round(CASE WHEN reason IS NULL THEN 1 - t END, 9) AS ref_af, reason FROM w""")
+def join_reference_frequency(spark, sf):
+    a = panel(spark, sf).selectExpr("chrom", "pos % 40 AS pos", "oa AS ref", "ea AS alt", "af / 3 AS af")
+    d = joins.reference_frequency(a, "chrom", "pos", "ref", "alt", "af")
+    return d.select("chrom", "pos", "ref", F.round("ref_af", 9).alias("ref_af"), "reason")
+
+
+ORIENTED = """(WITH j AS (SELECT s.rid, s.ea, s.oa, r.ea AS x, r.oa AS y, translate(s.ea, 'ACGT', 'TGCA') AS ra, translate(s.oa, 'ACGT', 'TGCA') AS rb FROM {S} s JOIN {P} r USING (chrom, pos)),
+ u AS (SELECT rid, ea, oa, x, y, 'forward' AS orientation FROM j WHERE ea = x AND oa = y UNION SELECT rid, ea, oa, x, y, 'forward_swapped' FROM j WHERE ea = y AND oa = x
+ UNION SELECT rid, ea, oa, x, y, 'reverse_complement' FROM j WHERE ra = x AND rb = y UNION SELECT rid, ea, oa, x, y, 'reverse_complement_swapped' FROM j WHERE ra = y AND rb = x)
+ SELECT rid, ea, oa, orientation, count(*) OVER (PARTITION BY rid) AS candidates FROM u)"""
+
+
+@query("SELECT rid, orientation, candidates FROM " + ORIENTED)
+def join_strand_candidates(spark, sf):
+    s = study(spark, sf).select("rid", "chrom", "pos", "ea", "oa")
+    p = panel(spark, sf).select("chrom", "pos", F.col("ea").alias("alt"), F.col("oa").alias("ref"))
+    return joins.orientations(s, p, "chrom", "pos", "ea", "oa", "ref", "alt", "rid").select("rid", "orientation", "candidates")
+
+
+@query("""WITH c AS (SELECT *, ea || oa IN ('AT','TA','CG','GC') AS pal, starts_with(orientation, 'forward') AS fwd FROM """ + ORIENTED + """),
+ g AS (SELECT rid, max(pal::INT) AS pal, count(*) FILTER (NOT pal OR fwd) AS n, min(orientation) FILTER (NOT pal OR fwd) AS o FROM c GROUP BY rid)
+ SELECT rid, CASE WHEN n = 1 THEN o END AS orientation, CASE WHEN n = 1 THEN NULL WHEN n = 0 AND pal = 1 THEN 'palindromic_unresolved' WHEN n = 0 THEN 'unmatched' ELSE 'ambiguous' END AS reason FROM g""")
+def join_strand_orientation(spark, sf):
+    s = study(spark, sf).select("rid", "chrom", "pos", "ea", "oa")
+    p = panel(spark, sf).select("chrom", "pos", F.col("ea").alias("alt"), F.col("oa").alias("ref"))
+    return joins.oriented(joins.orientations(s, p, "chrom", "pos", "ea", "oa", "ref", "alt", "rid"), "rid", "ea", "oa", "forward")
+
+
+@query("""WITH s AS (SELECT * FROM {S} WHERE ea <> oa), m AS (SELECT s.rid, 1 AS b FROM s WHERE EXISTS (SELECT 1 FROM {P} r WHERE r.chrom = s.chrom AND r.pos = s.pos
+  AND (least(s.ea, s.oa) = least(r.ea, r.oa) AND greatest(s.ea, s.oa) = greatest(r.ea, r.oa)
+   OR least(translate(s.ea,'ACGT','TGCA'), translate(s.oa,'ACGT','TGCA')) = least(r.ea, r.oa) AND greatest(translate(s.ea,'ACGT','TGCA'), translate(s.oa,'ACGT','TGCA')) = greatest(r.ea, r.oa))))
+ SELECT 'first' AS build, (SELECT count(DISTINCT rid) FROM m) AS matches, (SELECT count(*) FROM (SELECT DISTINCT chrom, pos, least(ea, oa), greatest(ea, oa) FROM {P})) AS markers, (SELECT count(*) FROM s) AS testable
+ UNION ALL SELECT 'second', 0, (SELECT count(*) FROM (SELECT DISTINCT chrom, pos, least(ea, oa), greatest(ea, oa) FROM {P})), (SELECT count(*) FROM s)""")
+def join_build_evidence(spark, sf):
+    p = panel(spark, sf)
+    return joins.build_evidence(study(spark, sf), {"first": p, "second": p.withColumn("pos", F.col("pos") + 1_000_000)}, "chrom", "pos", "ea", "oa", "rid")
+
+
+@query("""WITH r AS (SELECT CAST(p_partkey AS STRING) AS id, CASE WHEN p_size % 2 = 0 THEN 'T' ELSE 'G' END AS a, CASE p_size % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'C' ELSE 'G' END AS b FROM part),
+ j AS (SELECT rid, ea, oa, translate(ea,'ACGT','TGCA') AS ra, translate(oa,'ACGT','TGCA') AS rb, a, b, beta FROM {S} s JOIN r ON CAST(s.pos AS STRING) = r.id WHERE ea || oa NOT IN ('AT','TA','CG','GC')),
+ c AS (SELECT *, CASE WHEN ea = a AND oa = b THEN 'direct' WHEN ea = b AND oa = a THEN 'swapped' WHEN ra = a AND rb = b THEN 'complement' WHEN ra = b AND rb = a THEN 'complement_swapped' END AS alignment FROM j)
+ SELECT rid, alignment, CASE WHEN alignment IN ('direct', 'complement') THEN beta * 1.0 ELSE beta * -1.0 END AS aligned_beta FROM c WHERE alignment IS NOT NULL""")
+def join_signed_alignment(spark, sf):
+    s = study(spark, sf).withColumn("id", F.col("pos").cast("string"))
+    r = panel(spark, sf).select(F.col("pos").cast("string").alias("id"), "ea", "oa")
+    return joins.signed_alignment(s, r, "id", "ea", "oa", "beta").select("rid", "alignment", "aligned_beta")
+
+
+@query("""WITH i AS (SELECT o_orderkey AS row_id, o_custkey AS k1, o_custkey + 700 AS k2, o_orderstatus = 'P' AS pal FROM orders WHERE o_orderkey % 7 = 0),
+ r AS (SELECT c_custkey AS rk FROM customer WHERE c_custkey >= 700),
+ l AS (SELECT row_id, rk, 0 AS pr FROM i JOIN r ON k1 = rk UNION ALL SELECT row_id, rk, 1 FROM i JOIN r ON k2 = rk WHERE NOT pal AND k1 NOT IN (SELECT rk FROM r)),
+ w AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY rk ORDER BY pr, row_id) = 1)
+ SELECT row_id, rk AS record, CASE pr WHEN 0 THEN 'listed' WHEN 1 THEN 'complement' END AS match_type FROM i LEFT JOIN w USING (row_id)""")
+def join_two_pass_match(spark, sf):
+    i = table(spark, sf, "orders").filter("o_orderkey % 7 = 0").selectExpr("o_orderkey row_id", "o_custkey k1", "o_custkey + 700 k2", "o_orderstatus = 'P' pal")
+    r = table(spark, sf, "customer").filter("c_custkey >= 700").selectExpr("c_custkey rk")
+    return joins.matched(i, r, "k1", "k2", "row_id", "rk", "pal").select("row_id", "record", "match_type")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
+def join_anti(spark, sf):
+    o = table(spark, sf, "orders").filter("o_totalprice > 300000")
+    return table(spark, sf, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
+def join_semi(spark, sf):
+    o = table(spark, sf, "orders").filter("o_totalprice > 300000")
+    return table(spark, sf, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
+
+
+@query("""SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, quality, n_chars, CASE WHEN d.doc_id IS NULL THEN 'scored_only' WHEN l.doc_id IS NULL THEN 'target_only' WHEN quality IS NULL THEN 'target_unscored' ELSE 'scored_target' END AS status
+ FROM (SELECT doc_id, quality FROM labels WHERE doc_id % 3 <> 0) l FULL JOIN (SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0) d ON l.doc_id = d.doc_id""")
+def join_full_integration(spark, sf):
+    scored = table(spark, sf, "labels").filter("doc_id % 3 <> 0").select("doc_id", "quality")
+    target = table(spark, sf, "documents").filter("doc_id % 2 = 0").select("doc_id", "n_chars")
+    return joins.integrated(scored, target, "doc_id", "quality", "n_chars").select("doc_id", "quality", "n_chars", "status")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey NOT IN (SELECT o_custkey FROM orders) THEN 'orders' WHEN c_custkey NOT IN (SELECT s_suppkey FROM supplier) THEN 'suppliers' ELSE 'none' END AS missing_from FROM customer""")
+def join_universe_audit(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey")
+    others = {"orders": table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "suppliers": table(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"))}
+    kept, lost = joins.universe(c, others, "c_custkey")
+    return kept.withColumn("missing_from", F.lit("none")).unionByName(lost)
+
+
+@query("""SELECT s_suppkey, count(*) AS n, round(sum(v), 4) AS total, max(v) AS most FROM
+ (SELECT s_suppkey, l_extendedprice AS v FROM supplier JOIN lineitem ON s_suppkey = l_suppkey UNION ALL SELECT s_suppkey, l_extendedprice FROM supplier JOIN lineitem ON s_nationkey = l_suppkey) GROUP BY s_suppkey""")
+def join_either_identifier(spark, sf):
+    s = table(spark, sf, "supplier")
+    r = table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
+    d = joins.either_id(s, r, [F.col("s_suppkey"), F.col("s_nationkey").cast("bigint")], "l_suppkey")
+    return d.groupBy("s_suppkey").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 4).alias("total"), F.max("l_extendedprice").alias("most"))
+
+
+@query("SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def join_two_hop_crosswalk(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    d = joins.one_to_one(c, table(spark, sf, "nation"), "c_nationkey", "n_nationkey")
+    return joins.one_to_one(d, table(spark, sf, "region"), "n_regionkey", "r_regionkey").select("c_custkey", "n_name", "r_name")
+
+
+@query("SELECT l_partkey, arg_max(l_suppkey, (l_extendedprice, l_suppkey)) AS l_suppkey, max(l_extendedprice) AS price FROM lineitem GROUP BY l_partkey")
+def agg_arg_max(spark, sf):
+    d = table(spark, sf, "lineitem").withColumn("price", F.col("l_extendedprice"))
+    return windows.best_value(d, ["l_partkey"], F.struct("l_extendedprice", "l_suppkey"), ["l_suppkey", "price"])
+
+
+# -- aggregates
+
+CONCORD = """count(*) AS rows, count(*) AS eligible, count(*) AS checked, count(*) FILTER (abs(l_tax - l_discount) <= 1e-6 + 0.25 * abs(l_discount)) AS concordant, round(avg(abs(l_tax - l_discount)), 9) AS mean_difference,
+ round(median(abs(l_tax - l_discount)), 9) AS median_difference, round(max(abs(l_tax - l_discount)), 9) AS max_difference, round(sqrt(avg((l_tax - l_discount) * (l_tax - l_discount))), 9) AS rmse, round(corr(l_discount, l_tax), 9) AS pearson,
+ round(avg(CASE WHEN sign(l_discount) = sign(l_tax) THEN 1.0 ELSE 0.0 END), 9) AS same_sign"""
+
+
+def _rounded(d: DataFrame, digits: int = 9) -> DataFrame:
+    return d.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
+
+
+@query("SELECT " + CONCORD + " FROM {S}")
+def agg_concordance(spark, sf):
+    return _rounded(agg.concordance(study(spark, sf), "l_discount", "l_tax", (1e-6, 0.25)))
+
+
+@query("SELECT ea, " + CONCORD + " FROM {S} GROUP BY ea")
+def agg_concordance_by_type(spark, sf):
+    return _rounded(agg.concordance(study(spark, sf), "l_discount", "l_tax", (1e-6, 0.25), ["ea"]))
+
+
+@query("""SELECT ea, round(corr(a, b), 9) AS spearman FROM (SELECT ea, rank() OVER (PARTITION BY ea ORDER BY l_quantity) + (count(*) OVER (PARTITION BY ea, l_quantity) - 1) / 2 AS a,
+ rank() OVER (PARTITION BY ea ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY ea, l_extendedprice) - 1) / 2 AS b FROM {S}) GROUP BY ea""")
+def agg_spearman(spark, sf):
+    return _rounded(agg.spearman(study(spark, sf), "l_quantity", "l_extendedprice", ["ea"]))
+
+
+@query("""SELECT count(*) AS rows, count(*) - count(x) AS missing, CAST(0 AS BIGINT) AS non_finite, count(*) FILTER (x < 0 OR x > 1) AS out_of_range, round(min(v), 9) AS least, round(max(v), 9) AS most,
+ round(avg(v), 9) AS mean, round(median(v), 9) AS median, round(count(*) FILTER (v <= 0.5) / count(v), 9) AS minor_fraction FROM (SELECT info * 1.1 AS x, CASE WHEN info * 1.1 BETWEEN 0 AND 1 THEN info * 1.1 END AS v FROM {S})""")
+def agg_frequency_summary(spark, sf):
+    return _rounded(agg.frequency_summary(study(spark, sf).withColumn("x", F.col("info") * 1.1), "x"))
+
+
+@query("""SELECT ea, max(v) FILTER (r = 1 + round((n - 1) * 0.25)) AS q25, max(v) FILTER (r = 1 + round((n - 1) * 0.75)) AS q75
+ FROM (SELECT ea, l_extendedprice AS v, row_number() OVER (PARTITION BY ea ORDER BY l_extendedprice) AS r, count(*) OVER (PARTITION BY ea) AS n FROM {S}) GROUP BY ea""")
+def agg_nearest_quantiles(spark, sf):
+    return agg.nearest_quantiles(study(spark, sf), "l_extendedprice", [0.25, 0.75], ["ea"])
+
+
+@query("""SELECT count(*) AS rows, count(beta) AS present, count(beta) AS finite, count(*) FILTER (beta < 0) AS negative, count(*) FILTER (beta = 0) AS zero, count(*) FILTER (beta <= 0) AS non_positive,
+ round(min(beta), 9) AS least, round(max(beta), 9) AS most, round(avg(beta), 9) AS mean, round(median(beta), 9) AS median, round(stddev_samp(beta), 9) AS sd FROM {S}""")
+def agg_effect_statistics(spark, sf):
+    return _rounded(agg.effect_statistics(study(spark, sf), "beta"))
+
+
+@query("""SELECT count(*) AS rows, count(lp) AS finite, count(*) FILTER (lp > 1) AS above, count(*) FILTER (lp < 0) AS negative, count(*) FILTER (lp = 0) AS zero, median(lp) AS median, min(lp) AS least, max(lp) AS most FROM {S}""")
+def agg_p_statistics(spark, sf):
+    return agg.p_statistics(study(spark, sf), "lp")
+
+
+@query("""SELECT count(*) AS rows, count(info) AS finite, count(*) FILTER (info < 0) AS below_0, count(*) FILTER (info BETWEEN 0 AND 1.05) AS unit, count(*) FILTER (info > 1.05 AND info <= 2) AS to_2, count(*) FILTER (info > 2) AS above_2,
+ round(sum(info), 4) AS total, min(info) AS least, max(info) AS most FROM {S}""")
+def agg_info_statistics(spark, sf):
+    return agg.info_statistics(study(spark, sf), "info").withColumn("total", F.round("total", 4))
+
+
+@query("""WITH f AS (SELECT *, l_quantity < 5 OR l_discount > 0.08 OR l_tax = 0 OR coalesce(info < 0.65, true) AS bad FROM {S}), s AS (SELECT *, 'raw' AS stage FROM f UNION ALL SELECT *, 'passed' FROM f WHERE NOT bad),
+ m AS (SELECT avg(n) AS a, stddev_samp(n) AS d FROM {S})
+ SELECT stage, count(*) AS records, count(*) FILTER (ea <> oa) AS snps, count(*) FILTER (oa || ea IN ('AG','GA','CT','TC')) AS transitions, count(*) FILTER (ea <> oa AND oa || ea NOT IN ('AG','GA','CT','TC')) AS transversions,
+ count(*) - count(n) AS missing_n, min(n) AS least_n, max(n) AS most_n, count(*) FILTER (abs(n - a) > 1.5 * d) AS n_outliers, round(count(*) FILTER (oa || ea IN ('AG','GA','CT','TC')) / count(*) FILTER (ea <> oa AND oa || ea NOT IN ('AG','GA','CT','TC')), 9) AS ts_tv
+ FROM s, m GROUP BY stage""")
+def agg_quality_assessment(spark, sf):
+    return _rounded(agg.quality_assessment(study(spark, sf), _rules(), "oa", "ea", "n", 1.5))
+
+
+@query("""WITH r AS (SELECT reason, chrom FROM (SELECT chrom, """ + RULES + """ AS reason FROM {S}) WHERE chrom IN ('1', '2', '3') AND reason IS NOT NULL),
+ m AS (SELECT x.reason, count(*) FILTER (chrom = '1') AS "1", count(*) FILTER (chrom = '2') AS "2", count(*) FILTER (chrom = '3') AS "3", count(chrom) AS total FROM (VALUES ('few'), ('discount'), ('untaxed'), ('info'), ('never')) x(reason) LEFT JOIN r USING (reason) GROUP BY x.reason)
+ SELECT * FROM m UNION ALL SELECT 'TOTAL', CAST(sum("1") AS BIGINT), CAST(sum("2") AS BIGINT), CAST(sum("3") AS BIGINT), CAST(sum(total) AS BIGINT) FROM m""")
+def agg_reason_matrix(spark, sf):
+    d = ledger.tagged(study(spark, sf), _rules(), "why").filter("why is not null and chrom in ('1', '2', '3')")
+    return agg.reason_matrix(d, ["few", "discount", "untaxed", "info", "never"], "why", "chrom", ["1", "2", "3"])
+
+
+@query("""SELECT ea, round(max(CASE WHEN chrom = '1' THEN v END), 6) AS "1", round(max(CASE WHEN chrom = '2' THEN v END), 6) AS "2" FROM (SELECT ea, chrom, avg(lp) AS v FROM {S} GROUP BY ea, chrom) GROUP BY ea""")
+def agg_metric_pivot(spark, sf):
+    long = study(spark, sf).groupBy("ea", "chrom").agg(F.round(F.avg("lp"), 6).alias("v"))
+    return agg.pivoted_metrics(long, ["ea"], "chrom", ["1", "2"], "v")
+
+
+@query("""SELECT 'info' AS field, count(info) AS present, count(*) - count(info) AS missing, round((count(*) - count(info)) / count(*), 9) AS missing_fraction FROM {S}
+ UNION ALL SELECT 'beta', count(beta), count(*) - count(beta), round((count(*) - count(beta)) / count(*), 9) FROM {S}""")
+def agg_field_completeness(spark, sf):
+    return _rounded(agg.field_completeness(study(spark, sf), ["info", "beta"]))
+
+
+@query("SELECT rid, round(coalesce(info, (SELECT median(info) FROM {S})), 9) AS info FROM {S} WHERE n >= (SELECT median(n) FROM {S}) * 0.9")
+def agg_median_fill_and_filter(spark, sf):
+    d = agg.above_median_fraction(agg.filled_sample_size(study(spark, sf), "info", "median"), "n", 0.9)
+    return _rounded(d.select("rid", "info"))
+
+
+@query("""SELECT round(median(s), 9) AS prevalence, min(c) AS least_cases, max(c) AS most_cases, min(k) AS least_controls, max(k) AS most_controls
+ FROM (SELECT l_quantity AS c, l_discount * 100 AS k, CASE WHEN l_quantity > 0 AND l_discount > 0 THEN l_quantity / (l_quantity + l_discount * 100) END AS s FROM lineitem)""")
+def agg_prevalence(spark, sf):
+    d = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("c"), (F.col("l_discount") * 100).alias("k"))
+    return _rounded(agg.prevalence(d, "c", "k"))
+
+
+@query("""SELECT CASE WHEN ea <> oa THEN 'snp' ELSE 'other' END AS variant_type, count(*) AS n FROM {S} GROUP BY 1""")
+def agg_type_counts(spark, sf):
+    return agg.type_counts(study(spark, sf), "oa", "ea")
+
+
+@query("""WITH x AS (SELECT o_custkey, o_orderkey, o_custkey % 20 AS declared, o_totalprice / 4e6 AS p FROM orders),
+ g AS (SELECT o_custkey, count(*) AS rows, min(declared) AS low, max(declared) AS high, count(DISTINCT o_orderkey) AS items, sum(p) AS mass FROM x GROUP BY o_custkey)
+ SELECT o_custkey, rows, items, CASE WHEN rows <> low THEN 'count' WHEN items <> rows THEN 'repeated' WHEN abs(mass - 1) > 0.2 THEN 'mass' END AS problem FROM g WHERE rows <> low OR items <> rows OR abs(mass - 1) > 0.2""")
+def agg_group_checks(spark, sf):
+    d = table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.col("o_custkey") % 20).alias("declared"), (F.col("o_totalprice") / 4e6).alias("p"))
+    return agg.group_checks(d, "o_custkey", "declared", "o_orderkey", "p", 0.2).select("o_custkey", "rows", "items", "problem")
+
+
+@query("""SELECT 'l_tax' AS population, count(*) AS pairs, CAST(0 AS BIGINT) AS missing, round(corr(eaf, l_tax), 9) AS pearson, round(avg(abs(eaf - l_tax)), 9) AS mae FROM {S}
+ UNION ALL SELECT 'info', count(info), count(*) - count(info), round(corr(eaf, info), 9), round(avg(abs(eaf - info)), 9) FROM {S}""")
+def agg_population_similarity(spark, sf):
+    return _rounded(agg.population_similarity(study(spark, sf), "eaf", ["l_tax", "info"]))
+
+
+@query("""SELECT count(*) FILTER (a <> 0 AND b <> 0) AS comparable, count(*) FILTER (a <> 0 AND b <> 0 AND sign(a) <> sign(b)) AS discordant, round(count(*) FILTER (a <> 0 AND b <> 0 AND sign(a) <> sign(b)) / count(*) FILTER (a <> 0 AND b <> 0), 9) AS fraction
+ FROM (SELECT beta AS a, eaf - 0.5 AS b FROM {S})""")
+def agg_sign_discordance(spark, sf):
+    return _rounded(agg.sign_discordance(study(spark, sf).withColumn("z", F.col("eaf") - 0.5), "beta", "z"))
+
+
+@query("""SELECT 'tax' AS kind, count(*) FILTER (l_tax BETWEEN 0 AND 1) AS usable, count(*) FILTER (l_tax BETWEEN 0 AND 0.5) AS minor FROM {S} UNION ALL SELECT 'eaf', count(*) FILTER (eaf BETWEEN 0 AND 1), count(*) FILTER (eaf BETWEEN 0 AND 0.5) FROM {S}
+ UNION ALL SELECT 'pooled', count(*) FILTER (l_tax BETWEEN 0 AND 1) + count(*) FILTER (eaf BETWEEN 0 AND 1), count(*) FILTER (l_tax BETWEEN 0 AND 0.5) + count(*) FILTER (eaf BETWEEN 0 AND 0.5) FROM {S}""")
+def agg_frequency_screens(spark, sf):
+    s = study(spark, sf)
+    a, b = inference.frequency_screen(s, "l_tax"), inference.frequency_screen(s, "eaf")
+    put = lambda d, k: d.select(F.lit(k).alias("kind"), "usable", "minor")
+    return put(a, "tax").unionByName(put(b, "eaf")).unionByName(put(inference.pooled_screens(a.unionByName(b)), "pooled"))
+
+
+@query("SELECT round(corr(eaf, l_tax), 9) AS corr_given, round(avg(abs(eaf - l_tax)), 9) AS mae_given, round(corr(1 - eaf, l_tax), 9) AS corr_inverted, round(avg(abs(1 - eaf - l_tax)), 9) AS mae_inverted FROM {S}")
+def agg_allele_test(spark, sf):
+    return _rounded(inference.allele_test(study(spark, sf), "eaf", "l_tax"))
+
+
+@query("""SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT ea)), ',') AS alleles, min(pos) AS first_pos, max(pos) AS last_pos, max(CASE WHEN l_quantity = 50 THEN lp END) AS lp_at_50 FROM {S} GROUP BY l_suppkey""")
+def agg_cluster_summary(spark, sf):
+    return study(spark, sf).groupBy("l_suppkey").agg(F.array_join(F.array_sort(F.collect_set("ea")), ",").alias("alleles"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.max(F.when(F.col("l_quantity") == 50, F.col("lp"))).alias("lp_at_50"))
+
+
+@query("SELECT chrom, count(DISTINCT CASE WHEN lp > 5 THEN l_orderkey END) AS strong_orders, count(DISTINCT l_orderkey) AS orders FROM {S} GROUP BY chrom")
+def agg_conditional_distinct(spark, sf):
+    return study(spark, sf).groupBy("chrom").agg(F.count_distinct(F.when(F.col("lp") > 5, F.col("l_orderkey"))).alias("strong_orders"), F.count_distinct("l_orderkey").alias("orders"))
+
+
+# -- sets
+
+
+@query("SELECT 'order' AS kind, o_orderkey AS id, o_totalprice AS v, NULL::STRING AS note FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT 'customer', c_custkey, NULL, c_mktsegment FROM customer")
+def set_union_missing_columns(spark, sf):
+    a = table(spark, sf, "orders").filter("o_orderkey % 10 = 0").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
+    b = table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("note"))
+    return sinks.concatenated([a, b])
+
+
+@query("SELECT DISTINCT id FROM (SELECT o_custkey AS id FROM orders UNION SELECT s_suppkey FROM supplier)")
+def set_union_distinct(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).union(table(spark, sf, "supplier").select("s_suppkey")).distinct()
+
+
+@query("SELECT o_custkey AS id FROM orders INTERSECT SELECT s_suppkey FROM supplier")
+def set_intersect(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).intersect(table(spark, sf, "supplier").select("s_suppkey"))
+
+
+@query("SELECT vec_id, len(list_filter(embedding[1:8], lambda x: x > 0.1)) AS big, len(embedding) AS dims, list_contains(list_transform(embedding, lambda x: x > 0.3), true) AS has_large FROM embeddings")
+def arr_elements(spark, sf):
+    d = table(spark, sf, "embeddings")
+    return d.select("vec_id", F.size(F.filter(F.slice("embedding", 1, 8), lambda x: x > 0.1)).cast("bigint").alias("big"), F.size("embedding").cast("bigint").alias("dims"), F.array_contains(F.transform("embedding", lambda x: x > 0.3), True).alias("has_large"))
+
+
+# -- graph
+
+
+def _links(spark, sf):
+    """Line items of one supplier as linked variants: r2 falls with the distance of their parts."""
+    v = study(spark, sf).filter("l_quantity >= 20").groupBy("chrom", "pos").agg(F.max("lp").alias("lp")).withColumn("id", F.concat_ws(":", "chrom", F.col("pos").cast("string")))
+    a = v.select("chrom", F.col("id").alias("a"), F.col("pos").alias("pa"))
+    b = v.select(F.col("chrom").alias("chrom_b"), F.col("id").alias("b"), F.col("pos").alias("pb"))
+    e = ranges.near(a, b, [("chrom", "chrom_b")], "pa", "pb", 6).filter("pa < pb").select("a", "b", (1 - F.abs(F.col("pa") - F.col("pb")) / 10).alias("r2"))
+    return v, e
+
+
+@query()
+def graph_greedy_clumps(spark, sf):
+    """Sequential by nature; tests hold it against a plain walk."""
+    v, e = _links(spark, sf)
+    return graph.clumps(v, e, "id", "chrom", "pos", "lp", 6, 3, 0.6, 6).select("index_id", "member", F.round("r2", 9).alias("r2"), "chrom")
+
+
+@query()
+def graph_second_stage_clumps(spark, sf):
+    v, e = _links(spark, sf)
+    first = graph.clumps(v, e, "id", "chrom", "pos", "lp", 6, 3, 0.6, 6).select(F.col("index_id").alias("id")).distinct()
+    return graph.clumps(v.join(first, "id", "left_semi"), e, "id", "chrom", "pos", "lp", 6, 6, 0.4, 6, exclusive=True).select("index_id", "member", F.round("r2", 9).alias("r2"), "chrom")
+
+
+@query()
+def graph_best_parent(spark, sf):
+    v, e = _links(spark, sf)
+    d = graph.best_parent(graph.clumps(v, e, "id", "chrom", "pos", "lp", 6, 3, 0.6, 6))
+    return d.select("member", "parent", F.round("r2", 9).alias("r2"), F.array_join("indexes", ",").alias("indexes"))
+
+
+VARIANTS = "(SELECT chrom, pos, max(lp) AS lp, chrom || ':' || pos AS id FROM {S} WHERE l_quantity >= 20 GROUP BY chrom, pos)"
+
+
+@query("WITH v AS " + VARIANTS + """ SELECT x.id AS a, y.id AS b, round(1 - abs(x.pos - y.pos) / 10, 9) AS r2 FROM v x JOIN v y ON x.chrom = y.chrom AND x.id <> y.id AND abs(x.pos - y.pos) <= 3 AND 1 - abs(x.pos - y.pos) / 10 >= 0.6
+ UNION ALL SELECT id, id, 1.0 FROM v""")
+def graph_neighbourhood(spark, sf):
+    v, e = _links(spark, sf)
+    return graph.neighbourhood(e, v, "a", "b", "r2", "id", "chrom", "pos", 0.6, 3).select("a", "b", F.round("r2", 9).alias("r2"))
+
+
+@query("SELECT node, count(*) AS degree FROM (SELECT l_partkey AS node FROM lineitem UNION ALL SELECT l_suppkey FROM lineitem) GROUP BY node")
+def graph_hubs(spark, sf):
+    return graph.hubs(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
+
+
+@query("""WITH c AS (SELECT CAST(chrom AS INT) AS o, max(pos) AS m FROM {S} GROUP BY chrom), w AS (SELECT o, coalesce(sum(m) OVER (ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM c)
+ SELECT rid, CAST(off + pos AS BIGINT) AS axis FROM {S} JOIN w ON CAST(chrom AS INT) = o""")
+def graph_manhattan_axis(spark, sf):
+    return graph.manhattan(study(spark, sf).withColumn("o", F.col("chrom").cast("int")), "chrom", "pos", "o").select("rid", "axis")
+
+
+# -- models and scores
+
+CENTRED = "(SELECT vec_id, unnest(range(0, 64)) AS feature, unnest(embedding)::DOUBLE AS x, label - (SELECT avg(label) FROM embeddings) AS y FROM embeddings)"
+
+
+def _labelled(spark, sf):
+    d = table(spark, sf, "embeddings")
+    mean = d.agg(F.avg("label")).first()[0] or 0.0
+    return d.withColumn("y", F.col("label") - F.lit(mean))
+
+
+@query("""WITH s AS (SELECT feature, count(*) AS n, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy FROM """ + CENTRED + """ GROUP BY feature),
+ b AS (SELECT *, sxy / sxx AS beta, greatest(syy - sxy / sxx * sxy, 0) AS rss FROM s)
+ SELECT CAST(feature AS INTEGER) AS feature, n, round(beta, 7) AS beta, round(sqrt(rss / (n - 1) / sxx), 7) AS se, round(beta / sqrt(rss / (n - 1) / sxx), 6) AS z, round(1 - rss / syy, 7) AS r2 FROM b""")
+def model_marginal_ols(spark, sf):
+    d = models.marginal_ols(models.long_features(_labelled(spark, sf), ["y"], "embedding"), "y", "x", "feature")
+    return d.select("feature", "n", F.round("beta", 7).alias("beta"), F.round("se", 7).alias("se"), F.round("z", 6).alias("z"), F.round("r2", 7).alias("r2"))
+
+
+@query()
+def model_selected_features(spark, sf):
+    """p needs erfc; tests hold it against math.erfc."""
+    d = models.marginal_ols(models.long_features(_labelled(spark, sf), ["y"], "embedding"), "y", "x", "feature")
+    return models.selected_features(d, "p", "feature", 0.5, 10, [0, 1]).select("feature", F.round("p", 9).alias("p"))
+
+
+@query()
+def model_ridge_prediction(spark, sf):
+    """Penalty by generalised cross-validation over a grid; tests hold it against numpy."""
+    d = _labelled(spark, sf).withColumn("y", F.col("y") / 10 + F.col("embedding")[0] * 2 - F.col("embedding")[3])
+    n = len(d.select("embedding").first()[0])
+    w, _ = models.ridge(*models.cross_products(d, "embedding", "y", n))
+    return models.predicted(d, "embedding", w).select("vec_id", F.round("score", 6).alias("score"))
+
+
+@query()
+def model_stepwise(spark, sf):
+    d = _labelled(spark, sf).withColumn("y", F.col("y") / 10 + F.col("embedding")[5] * 3 + F.col("embedding")[9])
+    n = len(d.select("embedding").first()[0])
+    chosen = models.stepwise(d, "embedding", "y", n, 0.05, 8)
+    return spark.createDataFrame([(i, int(c)) for i, c in enumerate(chosen)], "step int, feature int")
+
+
+@query("SELECT p_partkey, ln(p_retailprice) AS log_size, ln(p_size::DOUBLE) AS log_density, 1.0 / p_size AS inv_mac, ln(1.0 / p_size) AS log_inv_mac FROM part".replace("ln(p_retailprice)", "round(ln(p_retailprice), 9)").replace("ln(p_size::DOUBLE)", "round(ln(p_size::DOUBLE), 9)").replace("ln(1.0 / p_size)", "round(ln(1.0 / p_size), 9)").replace("1.0 / p_size AS", "round(1.0 / p_size, 9) AS"))
+def model_control_covariates(spark, sf):
+    d = models.control_covariates(table(spark, sf, "part").withColumn("mac", F.col("p_size").cast("double")), "p_retailprice", "p_size", "mac")
+    return _rounded(d.select("p_partkey", "log_size", "log_density", "inv_mac", "log_inv_mac"))
+
+
+@query("WITH g AS (" + GENES + """), m AS (SELECT gene, l_discount * 10 * lp AS s FROM {S} JOIN g ON chrom = g_chrom AND pos BETWEEN g_start AND g_end WHERE l_quantity > 40)
+ SELECT gene, round(coalesce(sum(s), 0.0), 6) AS score_sum, round(coalesce(max(s), 0.0), 6) AS score_max FROM g LEFT JOIN m USING (gene) GROUP BY gene""")
+def model_contained_scores(spark, sf):
+    v = study(spark, sf).filter("l_quantity > 40").select("chrom", "pos", "lp", (F.col("l_discount") * 10).alias("pip"))
+    d = models.contained_scores(genes(spark, sf), v, [("chrom", "g_chrom")], "g_start", "g_end", "pos", "pip", F.col("lp"), "gene")
+    return _rounded(d, 6)
+
+
+@query("WITH g AS (" + GENES + """), c AS (SELECT chrom AS g_chrom, sum(pos * l_quantity) / sum(l_quantity) AS c, count(*) AS n FROM {S} GROUP BY chrom),
+ d AS (SELECT *, CASE WHEN c > g_start AND c < g_end THEN 0.0 ELSE abs(CASE strand WHEN '-' THEN g_end ELSE g_start END - c) END AS distance FROM g JOIN c USING (g_chrom))
+ SELECT gene, round(distance, 6) AS distance, n AS set_size FROM d""")
+def model_tss_distance(spark, sf):
+    centres = models.centroids(study(spark, sf).withColumnRenamed("chrom", "g_chrom"), "g_chrom", "pos", "l_quantity")
+    return models.tss_distances(genes(spark, sf), centres, "g_chrom", "g_start", "g_end", "strand").select("gene", F.round("distance", 6).alias("distance"), "set_size")
+
+
+@query("""WITH w AS (SELECT l_suppkey, l_partkey, max(CASE l_returnflag WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.6 ELSE 0.0 END * l_discount) AS s FROM lineitem GROUP BY l_suppkey, l_partkey)
+ SELECT l_suppkey, round(sum(s), 6) AS consequence_sum, round(max(s), 6) AS consequence_max FROM w GROUP BY l_suppkey""")
+def model_consequence_scores(spark, sf):
+    d = table(spark, sf, "lineitem").withColumn("impact", F.expr("CASE l_returnflag WHEN 'A' THEN 'HIGH' WHEN 'N' THEN 'MODERATE' ELSE 'none' END"))
+    return _rounded(models.consequence_scores(d, "l_suppkey", "l_partkey", "impact", "l_discount"), 6)
+
+
+@query("""WITH a AS (SELECT rid, l_orderkey, l_quantity / 50 AS x, CASE WHEN hi = 0 THEN l_extendedprice WHEN hi = lo THEN 1.0 ELSE (l_extendedprice - lo) / (hi - lo) END AS s FROM (SELECT *, min(l_extendedprice) OVER w AS lo, max(l_extendedprice) OVER w AS hi FROM {S} WINDOW w AS (PARTITION BY l_orderkey))),
+ b AS (SELECT *, (0.292 + 0.708 * s) / max(0.292 + 0.708 * s) OVER (PARTITION BY l_orderkey) AS p FROM a), c AS (SELECT *, x * p + 0.583 * x * floor(p) AS raw FROM b),
+ d AS (SELECT *, raw / sum(raw) OVER (PARTITION BY l_orderkey) AS scaled FROM c)
+ SELECT rid, round(raw, 6) AS raw, round(scaled, 6) AS scaled FROM d""")
+def model_locus_scores(spark, sf):
+    d = models.locus_scores(study(spark, sf).withColumn("x", F.col("l_quantity") / 50), "l_orderkey", "x", "l_extendedprice")
+    return d.select("rid", F.round("raw", 6).alias("raw"), F.round("scaled", 6).alias("scaled"))
+
+
+@query("""WITH g AS (SELECT CAST(i AS DOUBLE) / 10 AS t FROM range(0, 11) r(i)), s AS (SELECT l_discount * 10 AS v, l_quantity > 25 AS y FROM lineitem),
+ c AS (SELECT t, count(*) FILTER (y AND v >= t - 1e-9) AS tp, count(*) FILTER (v >= t - 1e-9) AS n FROM g, s GROUP BY t)
+ SELECT round(t, 6) AS threshold, round(tp / n, 9) AS precision, round(tp / (SELECT count(*) FROM s WHERE y), 9) AS recall, round(2 * (tp / n) * (tp / (SELECT count(*) FROM s WHERE y)) / (tp / n + tp / (SELECT count(*) FROM s WHERE y)), 9) AS f1 FROM c""")
+def model_f1_grid(spark, sf):
+    d = table(spark, sf, "lineitem").withColumn("v", F.round(F.col("l_discount") * 10, 6))
+    return _rounded(models.f1_grid(d, F.col("l_quantity") > 25, "v", 0.0, 1.0, 11)).withColumn("threshold", F.round("threshold", 6))
+
+
+@query("""SELECT l_suppkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_linenumber, rid) AS r FROM (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS rid FROM lineitem)
+ WHERE l_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_extendedprice > 104800)) WHERE r = 1""")
+def model_best_by_posterior(spark, sf):
+    d = table(spark, sf, "lineitem").withColumn("rid", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")).withColumn("valid", F.col("l_extendedprice") <= 104800)
+    return windows.ranked_best_model(d, "l_suppkey", "l_extendedprice", "l_linenumber", "rid", "valid").select("l_suppkey", "l_linenumber", "l_quantity")
+
+
+@query()
+def rep_hypergeometric_enrichment(spark, sf):
+    """Over-representation of each brand among large parts; tests hold the tail against exact integers."""
+    d = table(spark, sf, "part").withColumn("big", F.col("p_size") >= 40)
+    n, k = d.agg(F.count("*"), F.count_if("big")).first()
+    one = d.groupBy("p_brand").agg(F.count_if("big").cast("double").alias("k"), F.count("*").cast("double").alias("drawn"))
+    one = one.withColumn("p", special.hypergeometric_tail(F.col("k"), F.lit(float(n)), F.lit(float(k)), F.col("drawn")))
+    return _rounded(corrections.flags(one, "p", ties=["p_brand"]))
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY p, o_orderkey) AS r, count(*) OVER () AS m FROM ({PVALUES})), a AS (SELECT p, least(p * m, 1.0) AS b, least(min(p * m / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS f FROM r)
+ SELECT count(p) AS tested, count(*) FILTER (p <= 0.05) AS nominal, count(*) FILTER (b <= 0.05) AS bonferroni, count(*) FILTER (f <= 0.05) AS fdr_bh FROM a""")
+def rep_threshold_summary(spark, sf):
+    tables(spark, sf, "orders")
+    return corrections.summary(corrections.adjusted(spark.sql(PVALUES), "p", ("bonferroni", "fdr_bh"), ties=["o_orderkey"]), "p", ("bonferroni", "fdr_bh"))
+
+
+# -- sources and sinks: written, read back
+
+
+@query("SELECT rid, chrom, pos, lp, CAST(round(n) AS BIGINT) AS n FROM {S} WHERE l_quantity > 45")
+def src_delimited_round_trip(spark, sf):
+    path = shared_dir(spark, "tsv")
+    sinks.write_delimited(study(spark, sf).filter("l_quantity > 45").select("rid", "chrom", "pos", "lp", "n", "info"), path, compression="gzip")
+    sep = delimited.detect_delimiter(spark, path)
+    d = delimited.typed(delimited.not_empty(delimited.read_strings(spark, path, sep, ["rid", "chrom", "pos", "lp", "n"]), path), {"pos": "bigint", "lp": "double", "n": "double"})
+    return d.withColumn("n", F.round("n").cast("bigint"))
+
+
+@query("SELECT chrom, count(*) AS n, round(sum(lp), 4) AS total FROM {S} WHERE chrom IN ('1', '2', '7') GROUP BY chrom")
+def snk_partitioned_round_trip(spark, sf):
+    path = shared_dir(spark, "parts")
+    n = sinks.write_partitions(study(spark, sf).filter("chrom in ('1', '2', '7')"), path, "chrom")
+    d = sinks.read_back(spark, path, n, ["chrom", "lp"])
+    return d.groupBy(F.col("chrom").cast("string").alias("chrom")).agg(F.count("*").alias("n"), F.round(F.sum("lp"), 4).alias("total"))
+
+
+@query("SELECT rid AS \"ID\", chrom AS \"CHROM\", pos AS \"POS\", round(beta, 6) AS \"ES\", round(se, 6) AS \"SE\", round(lp, 6) AS \"LP\", round(eaf, 6) AS \"AF\" FROM {S} WHERE l_quantity = 50")
+def src_vcf_round_trip(spark, sf):
+    path = shared_dir(spark, "vcf")
+    d = study(spark, sf).filter("l_quantity = 50").select(F.col("rid").alias("ID"), F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("oa").alias("REF"), F.col("ea").alias("ALT"), F.col("beta").alias("ES"), F.col("se").alias("SE"), F.col("lp").alias("LP"), F.col("eaf").alias("AF"))
+    vcf.write_gwas(d, path, {str(c): 250_000_000 for c in range(1, 23)}, "study", "GRCh38")
+    got = vcf.projected(vcf.read(spark, path), ["AF"], ["ES", "SE", "LP"])
+    return got.select("ID", "CHROM", "POS", *[F.round(f"FORMAT_{k}", 6).alias(k) for k in ("ES", "SE", "LP")], F.round("INFO_AF", 6).alias("AF"))
+
+
+@query("SELECT rid AS \"SNP\", ea AS \"A1\", oa AS \"A2\", eaf AS freq, beta AS b, se AS se, round(pow(10.0, -lp), 12) AS p, CAST(round(n) AS BIGINT) AS \"N\" FROM {S}")
+def snk_tool_export(spark, sf):
+    d = study(spark, sf).select(F.col("rid").alias("ID"), F.col("ea").alias("ALT"), F.col("oa").alias("REF"), F.col("eaf").alias("EAF"), F.col("beta").alias("BETA"), F.col("se").alias("SE"), F.col("lp").alias("LP"), F.col("n").alias("N"))
+    return sinks.exported(d, "gcta").withColumn("p", F.round("p", 12))
+
+
+@query("SELECT p_brand AS \"set\", CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS place, CAST(p_partkey AS STRING) AS gene FROM part")
+def src_gene_sets(spark, sf):
+    path = shared_dir(spark, "gmt")
+    d = table(spark, sf, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list("p_partkey")).alias("g"))
+    d.select(F.concat_ws("\t", "p_brand", F.lit("brand"), F.array_join(F.col("g").cast("array<string>"), "\t"))).write.text(path)
+    return genomic.gene_sets(spark, path)
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (p_partkey % 3 = 0) AS rsid, count(*) FILTER (p_partkey % 3 = 1) AS unique_id, count(*) FILTER (p_partkey % 3 = 2) AS other FROM part")
+def src_identifier_convention(spark, sf):
+    d = table(spark, sf, "part").withColumn("id", F.expr("CASE p_partkey % 3 WHEN 0 THEN concat('rs', p_partkey) WHEN 1 THEN concat('1:', p_partkey, ':A:G') ELSE concat('x', p_partkey) END"))
+    return genomic.identifier_convention(d, "id")
+
+
+# -- flagship plan
+
+
+@query("""WITH k AS (SELECT *, """ + RULES + """ AS reason, chrom || '_' || pos || '_' || least(ea, oa) || '_' || greatest(ea, oa) AS key FROM {S}),
+ s AS (SELECT * FROM k WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY lp DESC, rid) = 1),
+ t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY lp DESC, rid) = 1),
+ r AS (SELECT *, pow(10.0, -lp) AS p, row_number() OVER (ORDER BY lp DESC, rid) AS r, count(*) OVER () AS m FROM t)
+ SELECT l_suppkey, rid, key, lp, round(least(min(p * m / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0), 15) AS adj_fdr_bh FROM r""")
+def plan_top_hits(spark, sf):
+    """Scan, reject with reasons, canonical key, strongest row a key, top row a block, correction."""
+    kept, _ = ledger.split(study(spark, sf), _rules())
+    kept = kept.withColumn("key", var.unordered_key(F.col("chrom"), F.col("pos"), F.col("ea"), F.col("oa")))
+    keyed = windows.best(kept, ["key"], [F.desc("lp"), F.asc("rid")])
+    top, _ = windows.top_per_block(keyed, "l_suppkey", "lp", "rid", float("-inf"))
+    d = corrections.adjusted(top.withColumn("p", num.p_from_lp(F.col("lp"))), "p", ("fdr_bh",), ties=["rid"])
+    return d.select("l_suppkey", "rid", "key", "lp", F.round("adj_fdr_bh", 15).alias("adj_fdr_bh"))
