@@ -2,7 +2,7 @@
 
 A capture is written as a request, a response (or, for a payload met already, a revisit) and a
 metadata record, which name the response in WARC-Concurrent-To. Records are the rows of Spark's
-text writer, whose line separator is the CRLF CRLF that ends a record: the files are plain WARC 1.1,
+text writer, whose line separator is the CRLF CRLF that ends a record: the files are WARC 1.1 in gzip,
 on any store, under Spark's commit protocol. Readers take whole files, which MOST_RECORDS bounds,
 and go from record to record by Content-Length.
 """
@@ -10,6 +10,7 @@ and go from record to record by Content-Length.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -86,6 +87,11 @@ def records(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
         at = end + 4 + size + 4
 
 
+def opened(content: bytes) -> bytes:
+    """A file's bytes, plain or in any number of gzip members."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write (rid, page_id, url, html, first_rid, first_page) as WARC files under path."""
     small_batches(pages.sparkSession)
@@ -96,7 +102,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array(capture(*row[:3], row[3].as_py() or b"", *row[4:]), pa.binary())], ["value"])
 
     rows = pages.select("rid", "page_id", "url", "html", "first_rid", "first_page").mapInArrow(run, "value binary")
-    rows.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", MOST_RECORDS).text(path)
+    rows.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", MOST_RECORDS).option("compression", "gzip").text(path)
 
 
 def read_records(spark: SparkSession, path: str, blocks: bool = False) -> DataFrame:
@@ -111,7 +117,7 @@ def read_records(spark: SparkSession, path: str, blocks: bool = False) -> DataFr
         for b in batches:
             for content in b.column(0):
                 rows, size = [], 0
-                for fields, block in records(memoryview(content.as_buffer())):
+                for fields, block in records(memoryview(opened(content.as_py()))):
                     payload = None
                     if fields["warc-type"] == "response":
                         at = bytes(block[:4096]).find(b"\r\n\r\n")
