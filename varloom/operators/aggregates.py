@@ -17,7 +17,7 @@ def guarded_corr(x: Column, y: Column) -> Column:
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x), F.when(both, y)
     ok = (F.count(a) >= 2) & (F.min(a) != F.max(a)) & (F.min(b) != F.max(b))
-    return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.corr(a, b))))
+    return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))))
 
 
 def concordance(df: DataFrame, expected: str, observed: str, tolerance: tuple[float, float] = (1e-6, 1e-3), groups: list[str] = ()) -> DataFrame:

@@ -51,7 +51,7 @@ def block_sets(spark: SparkSession, path: str) -> DataFrame:
                     raise ValueError(f"{name}: {current} has no END")
                 yield pd.DataFrame(rows, columns=["file", "set", "member"])
 
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.mapInPandas(run, "file string, set string, member string")
 
 
