@@ -11,7 +11,7 @@ from .functions import numeric as num
 from .functions import special
 from .functions import variants as var
 from .operators import aggregates as agg
-from .operators import corrections, graph, inference, intervals, joins, ledger, models, ranges, scans, windows
+from .operators import corrections, graph, inference, intervals, joins, ledger, models, ranges, scans, sets_of, windows, workflows
 from .runtime import shared_dir
 from .sources import delimited, genomic, sinks, vcf
 
@@ -943,3 +943,140 @@ def plan_top_hits(spark, sf):
     top, _ = windows.top_per_block(keyed, "l_suppkey", "lp", "rid", float("-inf"))
     d = corrections.adjusted(top.withColumn("p", num.p_from_lp(F.col("lp"))), "p", ("fdr_bh",), ties=["rid"])
     return d.select("l_suppkey", "rid", "key", "lp", F.round("adj_fdr_bh", 15).alias("adj_fdr_bh"))
+
+
+# -- composed operators
+
+
+@query("WITH g AS (" + GENES + ") SELECT gene, CASE WHEN g_chrom IN ('3', '4') THEN 'chromosome' WHEN g_chrom = '6' AND g_end >= 100 AND g_start <= 900 THEN 'region' END AS excluded_by FROM g")
+def flt_scoped_genes(spark, sf):
+    kept, lost = workflows.scoped_genes(genes(spark, sf), "g_chrom", "g_start", "g_end", ["3", "4"], ("6", 100, 900))
+    return kept.withColumn("excluded_by", F.lit(None).cast("string")).unionByName(lost).select("gene", "excluded_by")
+
+
+@query("""WITH a AS (SELECT o_orderkey, o_custkey % 400 AS k, o_totalprice AS x FROM orders WHERE o_orderkey % 5 = 0), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END AS x FROM customer WHERE c_custkey < 600),
+ l AS (SELECT * FROM a QUALIFY count(*) OVER (PARTITION BY k) = 1), j AS (SELECT o_orderkey, l.x AS x, b.x AS r FROM l JOIN b USING (k))
+ SELECT o_orderkey, CASE WHEN abs(r - x) <= 100000 + 0.1 * abs(x) THEN 'alleles_differ' WHEN abs(-r - x) <= 100000 + 0.1 * abs(x) THEN 'sign_turned' ELSE 'metrics_differ' END AS diagnosis FROM j""")
+def join_position_diagnostics(spark, sf):
+    a = table(spark, sf, "orders").filter("o_orderkey % 5 = 0").selectExpr("o_orderkey", "o_custkey % 400 as k", "o_totalprice as x")
+    b = table(spark, sf, "customer").filter("c_custkey < 600").selectExpr("c_custkey as k", "CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END as x")
+    return workflows.position_diagnostics(a, b, ["k"], {"x": (100000.0, 0.1)}).select("o_orderkey", "diagnosis")
+
+
+@query("""WITH r AS (SELECT DISTINCT CAST(pos AS STRING) AS id, least(ea, oa) AS x, greatest(ea, oa) AS y FROM {P})
+ SELECT CAST(pos AS STRING) AS id, rid FROM {S} s JOIN r ON CAST(pos AS STRING) = r.id AND least(ea, oa) = x AND greatest(ea, oa) = y WHERE ea || oa NOT IN ('AT','TA','CG','GC')
+ QUALIFY row_number() OVER (PARTITION BY pos ORDER BY lp DESC, rid) = 1""")
+def join_reference_variants(spark, sf):
+    s = study(spark, sf).withColumn("id", F.col("pos").cast("string"))
+    r = panel(spark, sf).withColumn("id", F.col("pos").cast("string"))
+    return workflows.reference_variants(s, r, "id", "ea", "oa", [F.desc("lp"), F.asc("rid")]).select("id", "rid")
+
+
+@query("""WITH t AS (SELECT s_suppkey AS id, s_acctbal / 1e5 AS beta, 0.05 AS se, s_acctbal AS n FROM supplier WHERE s_suppkey % 2 = 0),
+ p AS (SELECT l_suppkey AS id1, l_partkey % 40 AS id2, l_tax * 4 + 0.1 AS maf1, l_tax * 5 + 0.05 AS maf2, l_discount * 5 + 0.4 AS r2, l_quantity / 50 AS dprime FROM lineitem WHERE l_partkey % 40 % 2 = 1),
+ j AS (SELECT * FROM p JOIN t ON id1 = id WHERE r2 >= 0.6) SELECT id2 AS id, round(max(r2), 9) AS r2, round(avg(n), 4) AS mean_n FROM j GROUP BY id2""")
+def join_donor_imputation(spark, sf):
+    t = table(spark, sf, "supplier").filter("s_suppkey % 2 = 0").selectExpr("s_suppkey as id", "s_acctbal / 1e5 as beta", "0.05D as se", "s_acctbal as n")
+    p = table(spark, sf, "lineitem").filter("l_partkey % 40 % 2 = 1").selectExpr("l_suppkey as id1", "l_partkey % 40 as id2", "l_tax * 4 + 0.1 as maf1", "l_tax * 5 + 0.05 as maf2", "l_discount * 5 + 0.4 as r2", "l_quantity / 50 as dprime")
+    return workflows.imputed(t, p, "id", ["n"], 0.6).select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 4).alias("mean_n"))
+
+
+@query("SELECT o_orderkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
+def join_gene_metadata(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").alias("c_custkey"))
+    return workflows.with_gene_metadata(o, table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").select("o_orderkey", "o_totalprice", "c_mktsegment")
+
+
+@query("""WITH m AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem), j AS (SELECT l_suppkey, o_orderkey, o_totalprice FROM orders JOIN m ON o_orderkey = l_orderkey)
+ SELECT l_suppkey, arg_min(o_orderkey, (o_totalprice, o_orderkey)) AS o_orderkey, min(o_totalprice) AS o_totalprice, count(*) AS elements FROM j GROUP BY l_suppkey""")
+def join_best_element(spark, sf):
+    m = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
+    return workflows.best_element(table(spark, sf, "orders"), m, "o_orderkey", "l_suppkey", "o_totalprice")
+
+
+@query("""WITH m AS (SELECT DISTINCT p_brand, p_partkey % 300 AS g FROM part), r AS (SELECT s_suppkey AS g, abs(s_acctbal) / 1e5 AS p FROM supplier)
+ SELECT p_brand, count(*) AS members, count(r.g) AS tested, coalesce(string_agg(CASE WHEN r.g IS NULL THEN CAST(m.g AS STRING) END, ';' ORDER BY m.g), '') AS untested_genes FROM m LEFT JOIN r ON m.g = r.g GROUP BY p_brand""")
+def join_annotated_sets(spark, sf):
+    m = table(spark, sf, "part").select("p_brand", (F.col("p_partkey") % 300).alias("g"))
+    r = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("g"), (F.abs("s_acctbal") / 1e5).alias("p"))
+    return workflows.annotated_sets(m, r, "p_brand", "g", "p").drop("tested_genes")
+
+
+@query("""WITH q AS (SELECT chrom || '_' || pos || '_' || oa || '_' || ea AS qid, CAST(pos % 50 AS BIGINT) AS gene, af FROM {P}),
+ c AS (SELECT unnest([chrom || '_' || pos || '_' || ea || '_' || oa, chrom || '_' || pos || '_' || oa || '_' || ea]) AS id, l_discount AS pip FROM {S})
+ SELECT gene, round(sum(af * pip), 6) AS af_sum, round(max(af * pip), 6) AS af_max FROM c JOIN q ON id = qid GROUP BY gene""")
+def model_qtl_scores(spark, sf):
+    q = panel(spark, sf).select(F.concat_ws("_", "chrom", F.col("pos").cast("string"), "oa", "ea").alias("qid"), (F.col("pos") % 50).cast("bigint").alias("gene"), "af")
+    d = workflows.qtl_scores(study(spark, sf).drop("af"), q, "chrom", "pos", "ea", "oa", "l_discount", "qid", "gene", ["af"])
+    return _rounded(d, 6)
+
+
+@query("""SELECT s_suppkey, 1 AS "set", CAST(s_nationkey AS STRING) AS variant, s_acctbal AS probability FROM supplier UNION ALL SELECT s_suppkey, 2, s_name, CAST(s_nationkey AS DOUBLE) FROM supplier""")
+def model_long_sets(spark, sf):
+    return workflows.long_sets(table(spark, sf, "supplier"), ["s_suppkey"], [("s_nationkey", "s_acctbal"), ("s_name", "s_nationkey")])
+
+
+@query("SELECT rid, greatest(l_discount, l_tax, info) AS row_max, round(l_discount + l_tax + coalesce(info, 0), 9) AS row_sum FROM {S}")
+def model_row_extremes(spark, sf):
+    d = workflows.row_extremes(study(spark, sf), ["l_discount", "l_tax", "info"])
+    return d.select("rid", "row_max", F.round("row_sum", 9).alias("row_sum"))
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (ORDER BY p, s_name) AS r, count(*) OVER () AS m FROM (SELECT s_name, abs(s_acctbal) / 2e4 AS p FROM supplier))
+ SELECT s_name, round(least(p * m, 1.0), 9) AS adj_bonferroni, round(least(min(p * m / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0), 9) AS adj_fdr_bh FROM r""")
+def rep_result_family(spark, sf):
+    d = table(spark, sf, "supplier").select("s_name", (F.abs("s_acctbal") / 2e4).alias("p"))
+    expected = [r[0] for r in d.select("s_name").collect()]
+    return workflows.result_family(d, "s_name", "p", expected).select("s_name", F.round("adj_bonferroni", 9).alias("adj_bonferroni"), F.round("adj_fdr_bh", 9).alias("adj_fdr_bh"))
+
+
+@query("""WITH f AS (SELECT rid, l_orderkey, l_extendedprice AS d, l_quantity AS q FROM {S} WHERE abs(l_extendedprice) <= 60000), w AS (SELECT *, min(d) OVER w AS dl, max(d) OVER w AS dh, min(q) OVER w AS ql, max(q) OVER w AS qh FROM f WINDOW w AS (PARTITION BY l_orderkey))
+ SELECT rid, round(CASE WHEN dh = dl THEN 1.0 ELSE (dh - d) / (dh - dl) END, 9) AS rel_d, round(CASE WHEN qh = 0 THEN q WHEN qh = ql THEN 1.0 ELSE (q - ql) / (qh - ql) END, 9) AS rel_q FROM w""")
+def model_feature_frame(spark, sf):
+    d = study(spark, sf).select("rid", "l_orderkey", F.col("l_extendedprice").alias("d"), F.col("l_quantity").alias("q"))
+    return _rounded(workflows.feature_frame(d, "l_orderkey", "d", ["d", "q"], 60_000).select("rid", "rel_d", "rel_q"))
+
+
+@query("""WITH w AS (SELECT *, sum(pip) OVER (PARTITION BY l_orderkey) AS t FROM (SELECT rid, l_orderkey, l_quantity / 200 AS pip FROM {S})),
+ c AS (SELECT *, sum(CASE WHEN t > 1 THEN pip / t ELSE pip END) OVER (PARTITION BY l_orderkey ORDER BY pip, rid ROWS UNBOUNDED PRECEDING) AS c FROM w) SELECT rid FROM c WHERE t < 0.95 OR c >= 0.05""")
+def win_credible_95(spark, sf):
+    return windows.credible_95(study(spark, sf).withColumn("pip", F.col("l_quantity") / 200), ["l_orderkey"], "pip", ["rid"]).select("rid")
+
+
+@query("""WITH r AS (SELECT s_name, s_acctbal, abs(s_acctbal) / 1e4 AS p, rank() OVER (ORDER BY s_acctbal DESC) + (count(*) OVER (PARTITION BY s_acctbal) - 1) / 2 AS k, count(*) OVER () AS n FROM supplier)
+ SELECT substr(s_name, 1, 12) AS s_name, round(k / n * CASE WHEN p > 0.05 THEN 0.5 WHEN p <= 0.05 / n THEN 2.0 ELSE 1.0 END, 9) AS relevance FROM r""")
+def win_relevance(spark, sf):
+    d = table(spark, sf, "supplier").withColumn("p", F.abs("s_acctbal") / 1e4)
+    return windows.relevance(d, "s_name", "s_acctbal", "p", width=12).select("s_name", F.round("relevance", 9).alias("relevance"))
+
+
+@query("""SELECT rid, count(DISTINCT least(ea, oa) || greatest(ea, oa)) OVER (PARTITION BY chrom, pos) = 1 AS biallelic FROM {S}""".replace("count(DISTINCT least(ea, oa) || greatest(ea, oa)) OVER (PARTITION BY chrom, pos) = 1", "min(least(ea, oa) || greatest(ea, oa)) OVER (PARTITION BY chrom, pos) = max(least(ea, oa) || greatest(ea, oa)) OVER (PARTITION BY chrom, pos)"))
+def win_biallelic(spark, sf):
+    return windows.biallelic(study(spark, sf), "chrom", "pos", "oa", "ea").select("rid", "biallelic")
+
+
+@query("SELECT rid, count(*) OVER (PARTITION BY l_orderkey) AS members, count(*) OVER (PARTITION BY l_orderkey) > 1 AS repeated FROM {S}")
+def win_group_size(spark, sf):
+    return windows.with_count(study(spark, sf), ["l_orderkey"], "members").select("rid", "members", (F.col("members") > 1).alias("repeated"))
+
+
+@query("""WITH e AS (SELECT least(l_partkey % 60, l_suppkey) AS a, greatest(l_partkey % 60, l_suppkey) AS b, max(l_discount) AS w FROM lineitem GROUP BY 1, 2) SELECT a, b, max(w) AS w FROM (SELECT a, b, w FROM e UNION ALL SELECT b, a, w FROM e) GROUP BY a, b""")
+def join_symmetric_edges(spark, sf):
+    return joins.adjacency(table(spark, sf, "lineitem").withColumn("k", F.col("l_partkey") % 60), "k", "l_suppkey", "l_discount")
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer")
+def exp_missing_tokens(spark, sf):
+    d = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("  "), "c_mktsegment", F.lit(" ")).alias("c_mktsegment"))
+    return workflows.normalised(d, ("BUILDING", "MACHINERY"))
+
+
+@query("SELECT chrom, rid FROM {S} ORDER BY CAST(chrom AS INT), lp DESC, rid LIMIT 50")
+def sort_chromosome_order(spark, sf):
+    return study(spark, sf).orderBy(*var.chromosome_order(F.col("chrom")), F.desc("lp"), "rid").limit(50).select("chrom", "rid")
+
+
+@query("SELECT x.key AS key, CAST(count(*) AS BIGINT) AS n FROM (SELECT 'tables' AS key FROM orders UNION ALL SELECT 'rows' FROM customer) x GROUP BY x.key")
+def set_stacked_provenance(spark, sf):
+    d = sets_of.stacked({"tables": table(spark, sf, "orders").select(F.lit(1).alias("v")), "rows": table(spark, sf, "customer").select(F.lit(1).alias("v"))}, "key")
+    return d.groupBy("key").agg(F.count("*").alias("n"))
