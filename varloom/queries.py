@@ -319,8 +319,8 @@ def sort_top_findings(spark, sf):
 
 # -- intervals
 
-EVENTS = "SELECT event_id, user_id, epoch(ts) AS s, epoch(ts) + value * 100 AS e, value FROM events"
-EVENTS_SPARK = "SELECT event_id, user_id, unix_micros(CAST(ts AS TIMESTAMP)) / 1000000 AS s, unix_micros(CAST(ts AS TIMESTAMP)) / 1000000 + value * 100 AS e, value FROM events"
+EVENTS = "SELECT event_id, user_id, event_type, epoch(ts) AS s, epoch(ts) + value * 100 AS e, value FROM events"
+EVENTS_SPARK = "SELECT event_id, user_id, event_type, unix_micros(CAST(ts AS TIMESTAMP)) / 1000000 AS s, unix_micros(CAST(ts AS TIMESTAMP)) / 1000000 + value * 100 AS e, value FROM events"
 
 
 def events(spark, sf):
@@ -381,23 +381,23 @@ def join_interval_overlap(spark, sf):
     return ranges.overlaps(g, o, [("g_chrom", "o_g_chrom")], ("g_start", "g_end"), ("o_g_start", "o_g_end")).select("gene", F.col("o_gene").alias("other"))
 
 
-@query("SELECT rid, gene FROM {S} LEFT JOIN (" + GENES + ") ON chrom = g_chrom AND pos > g_start AND pos <= g_end WHERE l_quantity > 45")
+@query("SELECT rid, gene FROM {S} LEFT JOIN (" + GENES + ") ON chrom = g_chrom AND pos > g_start AND pos <= g_end")
 def join_bed_annotation(spark, sf):
-    return ranges.contains(study(spark, sf).filter("l_quantity > 45"), genes(spark, sf), [("chrom", "g_chrom")], "pos", "g_start", "g_end", how="left", half_open=True).select("rid", "gene")
+    return ranges.contains(study(spark, sf), genes(spark, sf), [("chrom", "g_chrom")], "pos", "g_start", "g_end", how="left", half_open=True).select("rid", "gene")
 
 
-@query(f"""WITH v AS ({EVENTS}) SELECT a.event_id, b.event_id AS right_event_id FROM (SELECT * FROM v WHERE event_id % 2 = 0) a
- ASOF LEFT JOIN (SELECT * FROM v WHERE event_id % 2 = 1) b ON a.user_id = b.user_id AND a.s >= b.s""")
+@query(f"""WITH v AS ({EVENTS}) SELECT a.event_id, b.event_id AS right_event_id FROM (SELECT * FROM v WHERE event_type <> 'click') a
+ ASOF LEFT JOIN (SELECT * FROM v WHERE event_type = 'click') b ON a.user_id = b.user_id AND a.s >= b.s""")
 def join_asof_backward(spark, sf):
     v = events(spark, sf)
-    return scans.asof(v.filter("event_id % 2 = 0"), v.filter("event_id % 2 = 1"), ["user_id"], "s", ["event_id"], None, "backward", 86400).select("event_id", "right_event_id")
+    return scans.asof(v.filter("event_type <> 'click'"), v.filter("event_type = 'click'"), ["user_id"], "s", ["event_id"], None, "backward", 86400).select("event_id", "right_event_id")
 
 
-@query(f"""WITH v AS ({EVENTS}), j AS (SELECT a.event_id, b.event_id AS o, abs(a.s - b.s) AS d, b.s AS bs FROM (SELECT * FROM v WHERE event_id % 3 = 0) a LEFT JOIN (SELECT * FROM v WHERE event_id % 3 = 1) b ON a.user_id = b.user_id AND abs(a.s - b.s) <= 3600)
+@query(f"""WITH v AS ({EVENTS}), j AS (SELECT a.event_id, b.event_id AS o, abs(a.s - b.s) AS d, b.s AS bs FROM (SELECT * FROM v WHERE event_type = 'purchase') a LEFT JOIN (SELECT * FROM v WHERE event_type <> 'purchase') b ON a.user_id = b.user_id AND abs(a.s - b.s) <= 3600)
  SELECT event_id, o AS right_event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d, bs) AS r FROM j) WHERE r = 1""")
 def join_asof_nearest(spark, sf):
     v = events(spark, sf)
-    return scans.asof(v.filter("event_id % 3 = 0"), v.filter("event_id % 3 = 1"), ["user_id"], "s", ["event_id"], 3600, "nearest", 86400).select("event_id", "right_event_id")
+    return scans.asof(v.filter("event_type = 'purchase'"), v.filter("event_type <> 'purchase'"), ["user_id"], "s", ["event_id"], 3600, "nearest", 86400).select("event_id", "right_event_id")
 
 
 @query("""SELECT rid, CAST('L' || chrom AS STRING) AS lifted_chrom, CASE WHEN pos < 1000 THEN pos + 5000 ELSE 1000 + (1500 - pos) END AS lifted_pos FROM {S} WHERE pos BETWEEN 1 AND 1500""")
@@ -477,14 +477,14 @@ def join_signed_alignment(spark, sf):
     return joins.signed_alignment(s, r, "id", "ea", "oa", "beta").select("rid", "alignment", "aligned_beta")
 
 
-@query("""WITH i AS (SELECT o_orderkey AS row_id, o_custkey AS k1, o_custkey + 700 AS k2, o_orderstatus = 'P' AS pal FROM orders WHERE o_orderkey % 7 = 0),
- r AS (SELECT c_custkey AS rk FROM customer WHERE c_custkey >= 700),
+@query("""WITH i AS (SELECT o_orderkey AS row_id, o_custkey AS k1, o_custkey + 700 AS k2, o_orderstatus = 'P' AS pal FROM orders),
+ r AS (SELECT c_custkey + 700 AS rk FROM customer),
  l AS (SELECT row_id, rk, 0 AS pr FROM i JOIN r ON k1 = rk UNION ALL SELECT row_id, rk, 1 FROM i JOIN r ON k2 = rk WHERE NOT pal AND k1 NOT IN (SELECT rk FROM r)),
  w AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY rk ORDER BY pr, row_id) = 1)
  SELECT row_id, rk AS record, CASE pr WHEN 0 THEN 'listed' WHEN 1 THEN 'complement' END AS match_type FROM i LEFT JOIN w USING (row_id)""")
 def join_two_pass_match(spark, sf):
-    i = table(spark, sf, "orders").filter("o_orderkey % 7 = 0").selectExpr("o_orderkey row_id", "o_custkey k1", "o_custkey + 700 k2", "o_orderstatus = 'P' pal")
-    r = table(spark, sf, "customer").filter("c_custkey >= 700").selectExpr("c_custkey rk")
+    i = table(spark, sf, "orders").selectExpr("o_orderkey row_id", "o_custkey k1", "o_custkey + 700 k2", "o_orderstatus = 'P' pal")
+    r = table(spark, sf, "customer").selectExpr("c_custkey + 700 rk")
     return joins.matched(i, r, "k1", "k2", "row_id", "rk", "pal").select("row_id", "record", "match_type")
 
 
@@ -501,10 +501,10 @@ def join_semi(spark, sf):
 
 
 @query("""SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, quality, n_chars, CASE WHEN d.doc_id IS NULL THEN 'scored_only' WHEN l.doc_id IS NULL THEN 'target_only' WHEN quality IS NULL THEN 'target_unscored' ELSE 'scored_target' END AS status
- FROM (SELECT doc_id, quality FROM labels WHERE doc_id % 3 <> 0) l FULL JOIN (SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0) d ON l.doc_id = d.doc_id""")
+ FROM (SELECT doc_id + 20 AS doc_id, quality FROM labels) l FULL JOIN (SELECT doc_id, n_chars FROM documents) d ON l.doc_id = d.doc_id""")
 def join_full_integration(spark, sf):
-    scored = table(spark, sf, "labels").filter("doc_id % 3 <> 0").select("doc_id", "quality")
-    target = table(spark, sf, "documents").filter("doc_id % 2 = 0").select("doc_id", "n_chars")
+    scored = table(spark, sf, "labels").select((F.col("doc_id") + 20).alias("doc_id"), "quality")
+    target = table(spark, sf, "documents").select("doc_id", "n_chars")
     return joins.integrated(scored, target, "doc_id", "quality", "n_chars").select("doc_id", "quality", "n_chars", "status")
 
 
@@ -603,12 +603,15 @@ def agg_quality_assessment(spark, sf):
     return _rounded(agg.quality_assessment(study(spark, sf), _rules(), "oa", "ea", "n", 1.5))
 
 
-@query("""WITH r AS (SELECT reason, chrom FROM (SELECT chrom, """ + RULES + """ AS reason FROM {S}) WHERE chrom IN ('1', '2', '3') AND reason IS NOT NULL),
- m AS (SELECT x.reason, count(*) FILTER (chrom = '1') AS "1", count(*) FILTER (chrom = '2') AS "2", count(*) FILTER (chrom = '3') AS "3", count(chrom) AS total FROM (VALUES ('few'), ('discount'), ('untaxed'), ('info'), ('never')) x(reason) LEFT JOIN r USING (reason) GROUP BY x.reason)
- SELECT * FROM m UNION ALL SELECT 'TOTAL', CAST(sum("1") AS BIGINT), CAST(sum("2") AS BIGINT), CAST(sum("3") AS BIGINT), CAST(sum(total) AS BIGINT) FROM m""")
+CHROMS = [str(c) for c in range(1, 23)]
+
+
+@query("WITH r AS (SELECT chrom, " + RULES + """ AS reason FROM {S}),
+ m AS (SELECT x.reason, """ + ", ".join(f"count(*) FILTER (chrom = '{c}') AS \"{c}\"" for c in CHROMS) + """, count(chrom) AS total FROM (VALUES ('few'), ('discount'), ('untaxed'), ('info'), ('never')) x(reason) LEFT JOIN r USING (reason) GROUP BY x.reason)
+ SELECT * FROM m UNION ALL SELECT 'TOTAL', """ + ", ".join(f'CAST(sum("{c}") AS BIGINT)' for c in [*CHROMS, "total"]) + " FROM m")
 def agg_reason_matrix(spark, sf):
-    d = ledger.tagged(study(spark, sf), _rules(), "why").filter("why is not null and chrom in ('1', '2', '3')")
-    return agg.reason_matrix(d, ["few", "discount", "untaxed", "info", "never"], "why", "chrom", ["1", "2", "3"])
+    d = ledger.tagged(study(spark, sf), _rules(), "why").filter("why is not null")
+    return agg.reason_matrix(d, ["few", "discount", "untaxed", "info", "never"], "why", "chrom", CHROMS)
 
 
 @query("""SELECT ea, round(max(CASE WHEN chrom = '1' THEN v END), 6) AS "1", round(max(CASE WHEN chrom = '2' THEN v END), 6) AS "2" FROM (SELECT ea, chrom, avg(lp) AS v FROM {S} GROUP BY ea, chrom) GROUP BY ea""")
@@ -688,9 +691,9 @@ def agg_conditional_distinct(spark, sf):
 # -- sets
 
 
-@query("SELECT 'order' AS kind, o_orderkey AS id, o_totalprice AS v, NULL::STRING AS note FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT 'customer', c_custkey, NULL, c_mktsegment FROM customer")
+@query("SELECT 'order' AS kind, o_orderkey AS id, o_totalprice AS v, NULL::STRING AS note FROM orders UNION ALL SELECT 'customer', c_custkey, NULL, c_mktsegment FROM customer")
 def set_union_missing_columns(spark, sf):
-    a = table(spark, sf, "orders").filter("o_orderkey % 10 = 0").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
+    a = table(spark, sf, "orders").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
     b = table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("note"))
     return sinks.concatenated([a, b])
 
@@ -716,7 +719,7 @@ def arr_elements(spark, sf):
 
 def _links(spark, sf):
     """Line items of one supplier as linked variants: r2 falls with the distance of their parts."""
-    v = study(spark, sf).filter("l_quantity >= 20").groupBy("chrom", "pos").agg(F.max("lp").alias("lp")).withColumn("id", F.concat_ws(":", "chrom", F.col("pos").cast("string")))
+    v = study(spark, sf).groupBy("chrom", "pos").agg(F.max("lp").alias("lp")).withColumn("id", F.concat_ws(":", "chrom", F.col("pos").cast("string")))
     a = v.select("chrom", F.col("id").alias("a"), F.col("pos").alias("pa"))
     b = v.select(F.col("chrom").alias("chrom_b"), F.col("id").alias("b"), F.col("pos").alias("pb"))
     e = ranges.near(a, b, [("chrom", "chrom_b")], "pa", "pb", 6).filter("pa < pb").select("a", "b", (1 - F.abs(F.col("pa") - F.col("pb")) / 10).alias("r2"))
@@ -744,7 +747,7 @@ def graph_best_parent(spark, sf):
     return d.select("member", "parent", F.round("r2", 9).alias("r2"), F.array_join("indexes", ",").alias("indexes"))
 
 
-VARIANTS = "(SELECT chrom, pos, max(lp) AS lp, chrom || ':' || pos AS id FROM {S} WHERE l_quantity >= 20 GROUP BY chrom, pos)"
+VARIANTS = "(SELECT chrom, pos, max(lp) AS lp, chrom || ':' || pos AS id FROM {S} GROUP BY chrom, pos)"
 
 
 @query("WITH v AS " + VARIANTS + """ SELECT x.id AS a, y.id AS b, round(1 - abs(x.pos - y.pos) / 10, 9) AS r2 FROM v x JOIN v y ON x.chrom = y.chrom AND x.id <> y.id AND abs(x.pos - y.pos) <= 3 AND 1 - abs(x.pos - y.pos) / 10 >= 0.6
@@ -814,10 +817,10 @@ def model_control_covariates(spark, sf):
     return _rounded(d.select("p_partkey", "log_size", "log_density", "inv_mac", "log_inv_mac"))
 
 
-@query("WITH g AS (" + GENES + """), m AS (SELECT gene, l_discount * 10 * lp AS s FROM {S} JOIN g ON chrom = g_chrom AND pos BETWEEN g_start AND g_end WHERE l_quantity > 40)
+@query("WITH g AS (" + GENES + """), m AS (SELECT gene, l_discount * 10 * lp AS s FROM {S} JOIN g ON chrom = g_chrom AND pos BETWEEN g_start AND g_end)
  SELECT gene, round(coalesce(sum(s), 0.0), 6) AS score_sum, round(coalesce(max(s), 0.0), 6) AS score_max FROM g LEFT JOIN m USING (gene) GROUP BY gene""")
 def model_contained_scores(spark, sf):
-    v = study(spark, sf).filter("l_quantity > 40").select("chrom", "pos", "lp", (F.col("l_discount") * 10).alias("pip"))
+    v = study(spark, sf).select("chrom", "pos", "lp", (F.col("l_discount") * 10).alias("pip"))
     d = models.contained_scores(genes(spark, sf), v, [("chrom", "g_chrom")], "g_start", "g_end", "pos", "pip", F.col("lp"), "gene")
     return _rounded(d, 6)
 
@@ -881,27 +884,27 @@ def rep_threshold_summary(spark, sf):
 # -- sources and sinks: written, read back
 
 
-@query("SELECT rid, chrom, pos, lp, CAST(round(n) AS BIGINT) AS n FROM {S} WHERE l_quantity > 45")
+@query("SELECT rid, chrom, pos, lp, CAST(round(n) AS BIGINT) AS n FROM {S}")
 def src_delimited_round_trip(spark, sf):
     path = shared_dir(spark, "tsv")
-    sinks.write_delimited(study(spark, sf).filter("l_quantity > 45").select("rid", "chrom", "pos", "lp", "n", "info"), path, compression="gzip")
+    sinks.write_delimited(study(spark, sf).select("rid", "chrom", "pos", "lp", "n", "info"), path, compression="gzip")
     sep = delimited.detect_delimiter(spark, path)
     d = delimited.typed(delimited.not_empty(delimited.read_strings(spark, path, sep, ["rid", "chrom", "pos", "lp", "n"]), path), {"pos": "bigint", "lp": "double", "n": "double"})
     return d.withColumn("n", F.round("n").cast("bigint"))
 
 
-@query("SELECT chrom, count(*) AS n, round(sum(lp), 4) AS total FROM {S} WHERE chrom IN ('1', '2', '7') GROUP BY chrom")
+@query("SELECT chrom, count(*) AS n, round(sum(lp), 4) AS total FROM {S} GROUP BY chrom")
 def snk_partitioned_round_trip(spark, sf):
     path = shared_dir(spark, "parts")
-    n = sinks.write_partitions(study(spark, sf).filter("chrom in ('1', '2', '7')"), path, "chrom")
+    n = sinks.write_partitions(study(spark, sf), path, "chrom")
     d = sinks.read_back(spark, path, n, ["chrom", "lp"])
     return d.groupBy(F.col("chrom").cast("string").alias("chrom")).agg(F.count("*").alias("n"), F.round(F.sum("lp"), 4).alias("total"))
 
 
-@query("SELECT rid AS \"ID\", chrom AS \"CHROM\", pos AS \"POS\", round(beta, 6) AS \"ES\", round(se, 6) AS \"SE\", round(lp, 6) AS \"LP\", round(eaf, 6) AS \"AF\" FROM {S} WHERE l_quantity = 50")
+@query("SELECT rid AS \"ID\", chrom AS \"CHROM\", pos AS \"POS\", round(beta, 6) AS \"ES\", round(se, 6) AS \"SE\", round(lp, 6) AS \"LP\", round(eaf, 6) AS \"AF\" FROM {S}")
 def src_vcf_round_trip(spark, sf):
     path = shared_dir(spark, "vcf")
-    d = study(spark, sf).filter("l_quantity = 50").select(F.col("rid").alias("ID"), F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("oa").alias("REF"), F.col("ea").alias("ALT"), F.col("beta").alias("ES"), F.col("se").alias("SE"), F.col("lp").alias("LP"), F.col("eaf").alias("AF"))
+    d = study(spark, sf).select(F.col("rid").alias("ID"), F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("oa").alias("REF"), F.col("ea").alias("ALT"), F.col("beta").alias("ES"), F.col("se").alias("SE"), F.col("lp").alias("LP"), F.col("eaf").alias("AF"))
     vcf.write_gwas(d, path, {str(c): 250_000_000 for c in range(1, 23)}, "study", "GRCh38")
     got = vcf.projected(vcf.read(spark, path), ["AF"], ["ES", "SE", "LP"])
     return got.select("ID", "CHROM", "POS", *[F.round(f"FORMAT_{k}", 6).alias(k) for k in ("ES", "SE", "LP")], F.round("INFO_AF", 6).alias("AF"))
@@ -954,12 +957,12 @@ def flt_scoped_genes(spark, sf):
     return kept.withColumn("excluded_by", F.lit(None).cast("string")).unionByName(lost).select("gene", "excluded_by")
 
 
-@query("""WITH a AS (SELECT o_orderkey, o_custkey % 400 AS k, o_totalprice AS x FROM orders WHERE o_orderkey % 5 = 0), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END AS x FROM customer WHERE c_custkey < 600),
+@query("""WITH a AS (SELECT o_orderkey, o_custkey * 10 + o_orderkey % 10 AS k, o_totalprice AS x FROM orders), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END AS x FROM customer),
  l AS (SELECT * FROM a QUALIFY count(*) OVER (PARTITION BY k) = 1), j AS (SELECT o_orderkey, l.x AS x, b.x AS r FROM l JOIN b USING (k))
  SELECT o_orderkey, CASE WHEN abs(r - x) <= 100000 + 0.1 * abs(x) THEN 'alleles_differ' WHEN abs(-r - x) <= 100000 + 0.1 * abs(x) THEN 'sign_turned' ELSE 'metrics_differ' END AS diagnosis FROM j""")
 def join_position_diagnostics(spark, sf):
-    a = table(spark, sf, "orders").filter("o_orderkey % 5 = 0").selectExpr("o_orderkey", "o_custkey % 400 as k", "o_totalprice as x")
-    b = table(spark, sf, "customer").filter("c_custkey < 600").selectExpr("c_custkey as k", "CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END as x")
+    a = table(spark, sf, "orders").selectExpr("o_orderkey", "o_custkey * 10 + o_orderkey % 10 as k", "o_totalprice as x")
+    b = table(spark, sf, "customer").selectExpr("c_custkey as k", "CASE WHEN c_custkey % 3 = 0 THEN -c_acctbal ELSE c_acctbal END as x")
     return workflows.position_diagnostics(a, b, ["k"], {"x": (100000.0, 0.1)}).select("o_orderkey", "diagnosis")
 
 
@@ -972,13 +975,13 @@ def join_reference_variants(spark, sf):
     return workflows.reference_variants(s, r, "id", "ea", "oa", [F.desc("lp"), F.asc("rid")]).select("id", "rid")
 
 
-@query("""WITH t AS (SELECT s_suppkey AS id, s_acctbal / 1e5 AS beta, 0.05 AS se, s_acctbal AS n FROM supplier WHERE s_suppkey % 2 = 0),
- p AS (SELECT l_suppkey AS id1, l_partkey % 40 AS id2, l_tax * 4 + 0.1 AS maf1, l_tax * 5 + 0.05 AS maf2, l_discount * 5 + 0.4 AS r2, l_quantity / 50 AS dprime FROM lineitem WHERE l_partkey % 40 % 2 = 1),
- j AS (SELECT * FROM p JOIN t ON id1 = id WHERE r2 >= 0.6) SELECT id2 AS id, round(max(r2), 9) AS r2, round(avg(n), 4) AS mean_n FROM j GROUP BY id2""")
+@query("""WITH t AS (SELECT s_suppkey AS id, s_acctbal / 1e5 AS beta, 0.05 AS se, s_acctbal AS n FROM supplier),
+ p AS (SELECT l_suppkey AS id1, l_partkey + 1000000 AS id2, l_tax * 4 + 0.1 AS maf1, l_tax * 5 + 0.05 AS maf2, l_discount * 5 + 0.4 AS r2, l_quantity / 50 AS dprime FROM lineitem),
+ j AS (SELECT * FROM p JOIN t ON id1 = id WHERE r2 >= 0.6) SELECT id2 AS id, round(max(r2), 9) AS r2, round(avg(n), 2) AS mean_n FROM j GROUP BY id2""")
 def join_donor_imputation(spark, sf):
-    t = table(spark, sf, "supplier").filter("s_suppkey % 2 = 0").selectExpr("s_suppkey as id", "s_acctbal / 1e5 as beta", "0.05D as se", "s_acctbal as n")
-    p = table(spark, sf, "lineitem").filter("l_partkey % 40 % 2 = 1").selectExpr("l_suppkey as id1", "l_partkey % 40 as id2", "l_tax * 4 + 0.1 as maf1", "l_tax * 5 + 0.05 as maf2", "l_discount * 5 + 0.4 as r2", "l_quantity / 50 as dprime")
-    return workflows.imputed(t, p, "id", ["n"], 0.6).select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 4).alias("mean_n"))
+    t = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "s_acctbal / 1e5 as beta", "0.05D as se", "s_acctbal as n")
+    p = table(spark, sf, "lineitem").selectExpr("l_suppkey as id1", "l_partkey + 1000000 as id2", "l_tax * 4 + 0.1 as maf1", "l_tax * 5 + 0.05 as maf2", "l_discount * 5 + 0.4 as r2", "l_quantity / 50 as dprime")
+    return workflows.imputed(t, p, "id", ["n"], 0.6).select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 2).alias("mean_n"))
 
 
 @query("SELECT o_orderkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
