@@ -290,3 +290,18 @@ def test_empty_tables(spark):
 def test_list_set_difference(spark):
     d = spark.createDataFrame([(["a", "b", None], ["b"])], "x array<string>, y array<string>")
     assert d.select(sets_of.difference(F.col("x"), F.col("y"))).first()[0] == ["a", None]
+
+
+def test_whitening(spark, tmp_path):
+    (tmp_path / "raw").write_text("# VERSION\ng1 1 10 20 5 2 100 3 1.5\ng2 1 30 40 5 2 100 3 0.5 0.4\ng3 1 50 60 5 2 100 3 -0.5 0.1 0.3\nh1 2 10 20 5 2 100 3 2.0\n")
+    genes, cov = genomic.gene_covariance(spark, str(tmp_path / "raw"))
+    assert {(r.gene_a, r.gene_b, r.r) for r in cov.collect()} == {("g2", "g1", 0.4), ("g3", "g1", 0.1), ("g3", "g2", 0.3)}
+    d = genes.withColumn("f", F.array(F.col("start").cast("double"), F.lit(2.0)))
+    got = {r.gene: r for r in models.whitened(d, cov, "chrom", "gene", "z", "f").collect()}
+    m = 0.999 * np.array([[1, 0.4, 0.1, 0], [0.4, 1, 0.3, 0], [0.1, 0.3, 1, 0], [0, 0, 0, 1]]) + 0.001 * np.eye(4)
+    w = np.linalg.inv(np.linalg.cholesky(m))
+    x = w @ np.column_stack([[1.5, 0.5, -0.5, 2.0], np.ones(4), [10, 30, 50, 10], [2.0] * 4])
+    one = x[:, 1]
+    out = x - np.outer(one, one @ x / (one @ one))
+    for i, g in enumerate(["g1", "g2", "g3", "h1"]):
+        assert got[g].z == pytest.approx(out[i, 0]) and np.allclose(got[g].f, out[i, 2:])

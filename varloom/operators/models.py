@@ -196,3 +196,39 @@ def f1_grid(df: DataFrame, truth: Column, score: str, low: float, high: float, s
     precision, recall = F.when(F.col("n") > 0, F.col("tp") / F.col("n")), F.lit(1.0) * F.col("tp") / F.lit(max(total, 1))
     out = got.select((F.lit(low) + F.col("k") * width).alias("threshold"), precision.alias("precision"), recall.alias("recall"))
     return out.withColumn("f1", F.when((F.col("precision") + F.col("recall")) > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0))
+
+
+def whitened(genes: DataFrame, covariance: DataFrame, chrom: str, gene: str, y: str, features: str, shrink: float = 1e-3) -> DataFrame:
+    """y and features times the inverse Cholesky factor of their chromosome's covariance, then without the mean's direction.
+
+    covariance: (chrom, gene_a, gene_b, r) triples of one triangle; the diagonal is one. Blocks are
+    as large as a chromosome has genes, a few thousand; each is solved in a task of its own.
+    """
+
+    def solve(key, left, right):
+        import pandas as pd
+
+        left = left.sort_values(gene).reset_index(drop=True)
+        at = {g: i for i, g in enumerate(left[gene])}
+        m = np.eye(len(left))
+        for a, b, r in zip(right["gene_a"], right["gene_b"], right["r"]):
+            if a in at and b in at and a != b:
+                m[at[a], at[b]] = m[at[b], at[a]] = r
+        m = (1 - shrink) * m + shrink * np.eye(len(left))
+        least = np.linalg.eigvalsh(m)[0] if len(left) else 1.0
+        if least < shrink:
+            m += (shrink - least) * np.eye(len(left))
+        factor = np.linalg.cholesky(m)
+        x = np.column_stack([left[y].to_numpy(float), np.ones(len(left)), np.stack(left[features].to_numpy()).astype(float)])
+        z = np.linalg.solve(factor, x)
+        return pd.DataFrame({chrom: left[chrom], gene: left[gene], y: z[:, 0], "intercept": z[:, 1], features: list(z[:, 2:])})
+
+    types = dict(genes.dtypes)
+    schema = f"`{chrom}` {types[chrom]}, `{gene}` {types[gene]}, `{y}` double, intercept double, `{features}` array<double>"
+    white = genes.select(chrom, gene, y, features).groupBy(chrom).cogroup(covariance.select(F.col("chrom").alias(chrom), "gene_a", "gene_b", "r").groupBy(chrom)).applyInPandas(solve, schema)
+    n = len(genes.select(features).first()[0])
+    # without the intercept's direction: sums over all rows, n + 2 numbers
+    one = white.agg(F.sum(F.col("intercept") * F.col("intercept")).alias("ii"), F.sum(F.col("intercept") * F.col(y)).alias("iy"), *[F.sum(F.col("intercept") * F.col(features)[j]).alias(f"x{j}") for j in range(n)]).first()
+    share = [(one[f"x{j}"] or 0.0) / (one["ii"] or 1.0) for j in range(n)]
+    less = F.zip_with(features, F.array(*[F.lit(float(s)) for s in share]), lambda v, s: v - s * F.col("intercept"))
+    return white.select(chrom, gene, (F.col(y) - F.lit((one["iy"] or 0.0) / (one["ii"] or 1.0)) * F.col("intercept")).alias(y), less.alias(features))

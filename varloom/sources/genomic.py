@@ -114,3 +114,30 @@ def log_metrics(spark: SparkSession, path: str, patterns: dict[str, str]) -> Dat
     """The first number that each pattern's group 1 finds in a log."""
     lines = spark.read.text(path)
     return lines.agg(*[F.min(F.nullif(F.regexp_extract("value", p, 1), F.lit("")).try_cast("double")).alias(k) for k, p in patterns.items()])
+
+
+def gene_covariance(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Genes (gene, chrom, start, end, z) and covariances (chrom, gene_a, gene_b, r) of raw gene files.
+
+    A line has nine fields and then the correlations with the genes before it, the nearest last;
+    # lines are comments. Order matters, so each file is read whole.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text in pdf["value"]:
+                rows, before = [], []
+                for line in text.splitlines():
+                    f = line.split()
+                    if not f or f[0].startswith("#"):
+                        continue
+                    gene, chrom, r = f[0], f[1], [float(x) for x in f[9:]]
+                    before = [g for g in before if g[1] == chrom]
+                    rows.append((gene, chrom, int(f[2]), int(f[3]), float(f[8]), None, None))
+                    for (other, _), v in zip(before[len(before) - len(r) :], r):
+                        rows.append((gene, chrom, None, None, None, other, v))
+                    before.append((gene, chrom))
+                yield pd.DataFrame(rows, columns=["gene", "chrom", "start", "end", "z", "other", "r"]).astype({"start": "Int64", "end": "Int64"})
+
+    got = spark.read.text(path, wholetext=True).mapInPandas(run, "gene string, chrom string, start long, end long, z double, other string, r double")
+    return got.filter("other is null").select("gene", "chrom", "start", "end", "z"), got.filter("other is not null").select("chrom", F.col("gene").alias("gene_a"), F.col("other").alias("gene_b"), "r")
