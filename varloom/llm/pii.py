@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import lean, small_batches, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "email_text", "phone_local", "ssn", "iban", "name")
@@ -75,6 +75,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban(span: str) -> bool:
+    """Whether the check digits fit; a candidate without that is none."""
+    flat = span.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
+
+
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in BASE_KINDS}
     if "@" in text:
@@ -109,7 +115,7 @@ def more_spans(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, i
         if needs:
             for m in pattern.finditer(text):
                 s, e = m.span()
-                if all(e <= a or s >= b for a, b in taken):
+                if not (kind == "iban" and not iban(m[0])) and all(e <= a or s >= b for a, b in taken):
                     taken.append((s, e))
                     yield kind, s, e
 
@@ -120,9 +126,7 @@ def votes(kind: str, text: str, s: int, e: int) -> tuple[int, ...]:
     digits = "".join(filter(str.isdigit, span))
     low = span.lower()
     if kind == "iban":
-        flat = span.replace(" ", "")
-        turned = flat[4:] + flat[:4]
-        pattern = 1 if int("".join(str(int(c, 36)) for c in turned)) % 97 == 1 else -1
+        pattern = 1 if iban(span) else -1
     elif kind == "ssn":
         pattern = -1 if digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00" or digits[5:] == "0000" else 1
     elif kind == "name":
@@ -228,7 +232,7 @@ def found(docs: DataFrame, least: float = 0.5) -> DataFrame:
     small_batches(spark)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found array<struct<kind:int,s:long,e:long,code:int>>"
-    scanned = written(spark, rows.mapInArrow(_scan, schema), "pii")
+    scanned = written(spark, rows.mapInArrow(lean(_scan), schema), "pii")
     patterns = sorted(tuple(r) for r in scanned.select(F.explode("found.code").alias("code")).groupBy("code").count().collect())
     accepted: list[int] = []
     if patterns:
