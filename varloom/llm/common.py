@@ -31,9 +31,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: a cut of lineage that outlives executors."""
+def written(spark: SparkSession, df: DataFrame, name: str, small: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder: a cut of lineage that outlives executors.
+
+    small: rows of a few numbers, that a few files for each core hold better than one a partition.
+    """
     path = shared_dir(spark, name)
+    if small:
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -51,6 +56,31 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def lean(run):
+    """A function for mapInArrow whose worker, which Spark keeps for later tasks, holds on to little memory.
+
+    Large blocks come from the system and go back to it when freed; the rest goes back at the end.
+    """
+
+    def wrapped(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            libc = ctypes.CDLL("libc.so.6")
+            libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, else it grows with what is freed
+            libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+        except (OSError, AttributeError):  # another C library
+            libc = None
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from run(batches)
+        if libc:
+            libc.malloc_trim(0)
+
+    return wrapped
+
+
 def located(spark: SparkSession, df: DataFrame) -> DataFrame:
     """df with ``__file`` and ``__row``, the place each row is stored at.
 
@@ -105,11 +135,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = written(spark, edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = written(spark, edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", small=True)
     before = mark(edges)
     while before[0]:
         now = star(star(edges, True), False).filter("a != b").distinct()
-        edges, old = written(spark, now, "edges"), edges
+        edges, old = written(spark, now, "edges", small=True), edges
         removed(spark, old)
         after = mark(edges)
         if after == before:
@@ -125,7 +155,7 @@ def without(placed: DataFrame, dropped: DataFrame, most_broadcast: int = 500_000
     __df is the hash of __file, __dr is __row: places are two longs each; up to most_broadcast of them are broadcast, more meet in a shuffle.
     """
     spark = placed.sparkSession
-    dropped = written(spark, dropped, "dropped")
+    dropped = written(spark, dropped, "dropped", small=True)
     if dropped.count() <= most_broadcast:
         dropped = F.broadcast(dropped)
     return placed.join(dropped, (F.xxhash64("__file") == F.col("__df")) & (F.col("__row") == F.col("__dr")), "left_anti")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import located, small_batches, table, text_of, without, written
+from .common import lean, located, small_batches, table, text_of, without, written
 
 Q = 10
 #: Edits allowed for each character of an item.
@@ -203,7 +203,7 @@ def _found(placed: DataFrame, benchmark: DataFrame, rate: float) -> DataFrame:
                 at = pa.array([g[0] for g in got], pa.int64())
                 yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in range(3)], *[pa.array([g[c] for g in got], pa.int64()) for c in range(1, 5)]], [f.split()[0] for f in schema.split(", ")])
 
-        rows = written(spark, slim.mapInArrow(run, schema), "leaks")
+        rows = written(spark, slim.mapInArrow(lean(run), schema), "leaks")
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, located, shared_dir, small_batches, without, written
+from .common import join_groups, lean, located, shared_dir, small_batches, without, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Micro-batches that a stored input is streamed in.
@@ -42,7 +42,7 @@ def _state(spark: SparkSession, digests: DataFrame, n_files: int) -> DataFrame:
     path = digests.inputFiles()[0].rsplit("/", 1)[0]
     checkpoint = shared_dir(spark, "dedup-state")
     held = {}
-    for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}.items():
+    for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64", "spark.sql.streaming.stateStore.maintenanceInterval": "5s", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}.items():
         held[k] = spark.conf.get(k, None)
         spark.conf.set(k, v)
     try:
@@ -51,7 +51,7 @@ def _state(spark: SparkSession, digests: DataFrame, n_files: int) -> DataFrame:
         query = keyed.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
         state = spark.read.format("statestore").load(checkpoint)
-        state = written(spark, state.select(F.col("key.__key").alias("__key"), F.col("value.max").alias("last"), F.col("value.count").alias("n")), "dedup-groups")
+        state = written(spark, state.select(F.col("key.__key").alias("__key"), F.col("value.max").alias("last"), F.col("value.count").alias("n")), "dedup-groups", small=True)
     finally:
         for k, v in held.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -72,7 +72,7 @@ def _decisions(placed: DataFrame, key_bits: int | None = None) -> DataFrame:
     spark = placed.sparkSession
     small_batches(spark)
     slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "__file", "__row", F.col("text").cast("string").cast("binary").alias("__bytes"))
-    digests = written(spark, slim.mapInArrow(_digests(key_bits), "doc_id long, __file string, __row long, __key binary, text_sha256 string").withColumns({"__null": F.col("doc_id").isNotNull(), "__rowneg": -F.col("__row")}), "digests")
+    digests = written(spark, slim.mapInArrow(lean(_digests(key_bits)), "doc_id long, __file string, __row long, __key binary, text_sha256 string").withColumns({"__null": F.col("doc_id").isNotNull(), "__rowneg": -F.col("__row")}), "digests")
     files = digests.inputFiles()
     if not files or digests.limit(1).count() == 0:
         return digests.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "__file", "__row")
@@ -82,12 +82,14 @@ def _decisions(placed: DataFrame, key_bits: int | None = None) -> DataFrame:
     # on hits, the full bytes: a group whose least and greatest bytes are the same holds equal texts alone
     few = repeated.count()
     hits = repeated.select(F.col("__key").alias("__hit"))
-    texts = slim.withColumn("__text", F.col("__bytes")).mapInArrow(_digests(key_bits), "doc_id long, __file string, __row long, __text binary, __key binary, text_sha256 string").select("__key", "__text", "doc_id", "__file", "__row")
-    texts = texts.join(F.broadcast(hits) if few <= MOST_BROADCAST else hits, F.col("__key") == F.col("__hit"), "left_semi")
-    lowered = F.col("__text")
-    texts = texts.mapInArrow(_lowered, "__key binary, __text binary, doc_id long, __file string, __row long")
-    ends = texts.groupBy("__key").agg(F.min(lowered).alias("lo"), F.max(lowered).alias("hi"))
-    mixed = written(spark, ends.filter("lo <> hi").select("__key"), "mixed")  # digests that collide: none are known
+    members = digests.join(F.broadcast(hits) if few <= MOST_BROADCAST else hits, F.col("__key") == F.col("__hit"), "left_semi")
+    members = written(spark, members.select(F.xxhash64("__file").alias("__mf"), F.col("__row").alias("__mr"), "__key"), "hits", small=True)
+    if members.count() <= MOST_BROADCAST:
+        members = F.broadcast(members)
+    texts = slim.join(members, (F.xxhash64("__file") == F.col("__mf")) & (F.col("__row") == F.col("__mr"))).select("__key", "__bytes", "doc_id", "__file", "__row")
+    texts = texts.mapInArrow(lean(_lowered), "__key binary, __text binary, doc_id long, __file string, __row long")
+    ends = texts.groupBy("__key").agg(F.min("__text").alias("lo"), F.max("__text").alias("hi"))
+    mixed = written(spark, ends.filter("lo <> hi").select("__key"), "mixed", small=True)  # digests that collide: none are known
     digests = digests.withColumn("__id", F.lit(b""))
     if few and mixed.count():
         texts = texts.join(mixed, "__key", "left_semi")
@@ -112,7 +114,7 @@ def _decisions(placed: DataFrame, key_bits: int | None = None) -> DataFrame:
 
 def _lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield b.set_column(1, "__text", pa.array([(t.as_py() or b"").lower() for t in b.column("__text")], pa.binary()))
+        yield b.set_column(1, "__text", pa.array([(t.as_py() or b"").lower() for t in b.column(1)], pa.binary()))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

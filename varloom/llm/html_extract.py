@@ -18,7 +18,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import lean, small_batches
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -247,4 +247,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.selectExpr("cast(page_id as long) page_id", "cast(url as string) url", "cast(html as string) html")
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")

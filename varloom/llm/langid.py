@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, located, small_batches, text_of, without, written
+from .common import join_groups, lean, located, small_batches, text_of, without, written
 
 #: Labelled rows that the model is fitted on, about; more are sampled down by a hash.
 TRAIN_ROWS = 20_000
@@ -107,7 +107,7 @@ def fitted(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"])
 
     small_batches(spark)
-    got = sample.mapInArrow(run, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    got = sample.mapInArrow(lean(run), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     for lang, bucket, n in got.collect():  # at most MOST_LANGUAGES * BUCKETS rows
         counts[bucket, lang] = n
@@ -149,7 +149,7 @@ def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> Da
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keys))], lists, pa.array(np.concatenate([g[1] for g in got]).astype(np.int64))], [*keys, "ll", "n_trigrams"])
 
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", ll array<double>, n_trigrams long"
-    scored = written(spark, rows.select(*keys, "text").mapInArrow(run, schema), "languages")
+    scored = written(spark, rows.select(*keys, "text").mapInArrow(lean(run), schema), "languages")
 
     def softmax(x: Column) -> Column:
         e = F.transform(x, lambda v: F.exp(v - F.array_max(x)))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, join_groups, located, small_batches, without, written
+from .common import components, join_groups, lean, located, small_batches, without, written
 
 #: Retained values and the least overlap of two sets similar enough: 32 draws at 0.8 give 11 or fewer in 1 of 10 million cases.
 K, OVERLAP = 32, 12
@@ -162,7 +162,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     small = F.col("n") * 100 <= K * percent
     least = F.when(small, F.ceil(F.col("n") * percent / 100)).otherwise(OVERLAP)
     ranked = listed.join(counts, "v").withColumn("r", F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("f"), "v")))
-    lists = written(spark, ranked.filter(F.col("r") >= least).select("v", "cid"), "lists")
+    lists = written(spark, ranked.filter(F.col("r") >= least).select("v", "cid"), "lists", small=True)
     first = lists.groupBy("v").agg(F.min("cid").alias("b"), F.count("*").alias("m")).filter("m > 1").select("v", "b")
     return lists.join(first, "v").filter("cid <> b").select(F.col("cid").alias("a"), "b")
 
@@ -172,12 +172,12 @@ def _decisions(placed: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     spark = placed.sparkSession
     small_batches(spark)
     slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("__file").alias("f"), F.col("__row").alias("row"), F.col("text").cast("string").cast("binary").alias("__bytes"))
-    docs = written(spark, slim.mapInArrow(_sketches(words), "doc_id long, f long, row long, n long, digest binary, sketch array<long>"), "sketches")
+    docs = written(spark, slim.mapInArrow(lean(_sketches(words)), "doc_id long, f long, row long, n long, digest binary, sketch array<long>"), "sketches")
     total = docs.count()
     who = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "f", "row")
     classes = docs.filter("n > 0").groupBy("digest").agg(F.min(who).alias("keep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    near = written(spark, components(spark, _candidates(classes, percent)), "candidates")
+    near = written(spark, components(spark, _candidates(classes, percent)), "candidates", small=True)
     # what goes to which task
     members = near.join(classes.select("cid", "n", F.col("keep.f").alias("f"), F.col("keep.row").alias("row")), near["node"] == F.col("cid"))
     sizes = members.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / MOST_SHINGLES, F.count("*") / MOST_MEMBERS)).cast("int").alias("parts"))
@@ -185,7 +185,7 @@ def _decisions(placed: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     sizes = sizes.select(F.col("component").alias("c"), F.when(F.col("parts") <= 1, 1).otherwise(2 * F.col("parts")).alias("chunks"))
     members = members.join(sizes, members["component"] == sizes["c"])
     members = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")).select("component", "cid", F.col("f").alias("mf"), F.col("row").alias("mr"), "chunks", "chunk")
-    members = written(spark, members, "members")
+    members = written(spark, members, "members", small=True)
     if members.count() <= MOST_BROADCAST:
         members = F.broadcast(members)
     texts = slim.join(members, (F.col("f") == F.col("mf")) & (F.col("row") == F.col("mr")))
@@ -193,12 +193,12 @@ def _decisions(placed: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     texts = texts.select("component", "chunks", "chunk", "cid", "__bytes", other).filter("chunks = 1 or other <> chunk")
     key = F.concat_ws(":", "component", F.least("chunk", "other"), F.greatest("chunk", "other"))
     tasks = texts.select(key.alias("key"), "chunks", "cid", "__bytes").repartition("key").sortWithinPartitions("key")
-    found = written(spark, tasks.mapInArrow(_groups(words, percent), "a long, b long, whole boolean"), "links")
+    found = written(spark, tasks.mapInArrow(lean(_groups(words, percent)), "a long, b long, whole boolean"), "links")
     linked = found.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("component"))
     cut = found.filter("not whole").select("a", "b")
     if cut.limit(1).count():
         linked = linked.union(components(spark, cut).filter("node <> component"))
-    linked = written(spark, linked, "linked")
+    linked = written(spark, linked, "linked", small=True)
     groups = classes.select("digest", "cid", "keep", "copies").join(linked, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("component", "cid"))
     keeps = groups.groupBy("root").agg(F.min("keep").alias("kept"), F.count("*").alias("m"), F.sum("copies").alias("group"))
     keeps = keeps.filter("m > 1").select(F.col("root").alias("r"), "kept", "group")

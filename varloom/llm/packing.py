@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import lean, small_batches
 from .tokens import WordTokenizer, gathered
 
 WINDOW = 2048
@@ -140,4 +140,4 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, SCHEMA)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(lean(run), SCHEMA)

@@ -99,7 +99,7 @@ def found(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = written(spark, scanned(docs), "secrets")
-    every = written(spark, parts(rows), "secret-parts")
+    every = written(spark, parts(rows), "secret-parts", small=True)
     every = every.filter("base").select("rid", "kind", "s", "e").unionByName(linked(every))
     got = every.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("s", "kind", "e"))).alias("x")).withColumnRenamed("rid", "r")
     out = rows.select("rid", "doc_id").join(got, F.col("rid") == F.col("r"), "left").withColumn("x", F.coalesce("x", F.array().cast("array<struct<s:bigint,kind:int,e:bigint>>")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small_batches
+from .common import lean, shared_dir, small_batches
 from .tokens import WordTokenizer, gathered
 
 MAGIC, HEAD = b"VLRP", "<4sIQIQIQ"
@@ -214,7 +214,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").asc_nulls_first())
-    dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(run, "task int, seq int, n_ids long, blob binary").write.parquet(path)
+    dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(lean(run), "task int, seq int, n_ids long, blob binary").write.parquet(path)
 
 
 def read_shards(spark, path: str) -> DataFrame:
@@ -240,7 +240,7 @@ def read_shards(spark, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    return shards.select("task", "blob").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.select("task", "blob").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

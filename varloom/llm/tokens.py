@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words kept by a worker; beyond that the cache starts anew.
-MOST_WORDS = 800_000
-MOST_CHARS = 20_000_000
+MOST_WORDS = 600_000
+MOST_CHARS = 16_000_000
 #: The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, the others from U+0100 on.
 PRINTABLE = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, located, shared_dir, small_batches, written
+from .common import join_groups, lean, located, shared_dir, small_batches, written
 
 #: Records in a file at most.
 MOST_RECORDS = 3_000
@@ -101,7 +101,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
             for row in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), *(b.column(i).to_pylist() for i in range(4, 6))):
                 yield pa.RecordBatch.from_arrays([pa.array(capture(*row[:3], row[3].as_py() or b"", *row[4:]), pa.binary())], ["value"])
 
-    rows = pages.select("rid", "page_id", "url", "html", "first_rid", "first_page").mapInArrow(run, "value binary")
+    rows = pages.select("rid", "page_id", "url", "html", "first_rid", "first_page").mapInArrow(lean(run), "value binary")
     rows.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", MOST_RECORDS).option("compression", "gzip").text(path)
 
 
@@ -141,7 +141,7 @@ def read_records(spark: SparkSession, path: str, blocks: bool = False) -> DataFr
     def batch(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(lean(run), RECORD)
 
 
 def transactions(rows: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     who = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "rid")
     groups = keys.filter(F.col("size") >= least_bytes).groupBy("key").agg(F.max(who).alias("first"), F.count("*").alias("__n")).filter("__n > 1")
     again = join_groups(keys.filter(F.col("size") >= least_bytes), groups, "key", keys.count(), ["first"]).filter("first.rid <> rid")
-    again = written(spark, again.select(F.col("rid").alias("r"), F.col("first.rid").alias("first_rid"), F.col("first.page_id").alias("first_page")), "revisits")
+    again = written(spark, again.select(F.col("rid").alias("r"), F.col("first.rid").alias("first_rid"), F.col("first.page_id").alias("first_page")), "revisits", small=True)
     if again.count() <= MOST_BROADCAST:
         again = F.broadcast(again)
     path = shared_dir(spark, "warc")
