@@ -297,6 +297,7 @@ def test_main_text():
     assert html_extract.main_text(page) == "Title & more\nFirst paragraph with bold and a link, long enough to count as prose <here>.\nSecond paragraph, not closed, also with quite some words in it.\nitem one\nitem two\nShort."
     assert html_extract.main_text("<div>" * 3000 + "deep text") == "deep text"
     assert html_extract.main_text("a < b <p>c &am") == "a < b\nc &am"
+    assert html_extract.main_text("<div class='page-header'>Site</div><article><div class='post-header'><h1>T</h1></div><p>Some words.</p></article>") == "T\nSome words."
     assert [html_extract.main_text(x) for x in (None, "", "<nav>x</nav>", "<p", "<!-- x")] == [""] * 5
     assert html_extract.main_text("<p>" + "word " * 200_000).count(" ") == 199_999
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -52,8 +52,9 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)} if "=" in raw else {}
 
 
-def is_noise(tag: str, raw: str, in_article: bool) -> bool:
-    if tag in NO_PROSE or tag == "header" and not in_article:
+def is_noise(tag: str, raw: str, in_article: Callable[[], bool]) -> bool:
+    """Whether an element is no prose; an article's own header is part of it."""
+    if tag in NO_PROSE or tag == "header" and not in_article():
         return True
     if not raw.strip():
         return False
@@ -63,7 +64,8 @@ def is_noise(tag: str, raw: str, in_article: bool) -> bool:
     if tag in ("body", "html", "main", "article", "h1"):
         return False
     words = SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", got.get("class", "") + " " + got.get("id", "")).lower())
-    return not CLASSES.isdisjoint(words)
+    found = CLASSES.intersection(words)
+    return bool(found) and not (found == {"header"} and in_article())
 
 
 class Page:
@@ -76,7 +78,7 @@ class Page:
 
     def _open(self, stack: list[int], tag: str, raw: str) -> int:
         above = stack[-1]
-        in_article = any(self.tag[i] in ("article", "main") for i in stack) if tag == "header" else False
+        in_article = lambda: any(self.tag[i] in ("article", "main") for i in stack)
         self.tag.append(tag)
         self.parent.append(above)
         self.noise.append(self.noise[above] or is_noise(tag, raw, in_article))
