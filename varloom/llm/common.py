@@ -56,10 +56,11 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def lean(run):
+def lean(run, blocks: bool = True):
     """A function for mapInArrow whose worker, which Spark keeps for later tasks, holds on to little memory.
 
-    Large blocks come from the system and go back to it when freed; the rest goes back at the end.
+    blocks: large blocks come from the system and go back to it whenever they are freed, which
+    costs time where a task makes many. What is free at the end goes back in any case.
     """
 
     def wrapped(batches):
@@ -69,12 +70,15 @@ def lean(run):
 
         try:
             libc = ctypes.CDLL("libc.so.6")
-            libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, else it grows with what is freed
-            libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+            if blocks:
+                libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, else it grows with what is freed
+                libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
         except (OSError, AttributeError):  # another C library
             libc = None
-        pa.set_memory_pool(pa.system_memory_pool())
+        if blocks:
+            pa.set_memory_pool(pa.system_memory_pool())
         yield from run(batches)
+        pa.default_memory_pool().release_unused()
         if libc:
             libc.malloc_trim(0)
 
@@ -110,8 +114,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int, values
     rest = groups.filter(F.col("__n") < least).select(F.col(key).alias("__rk"), F.struct(*values).alias("__rv"))
     rows = rows.join(F.broadcast(hot), F.col(key) == F.col("__hk"), "left")
     done = F.col("__hk").isNotNull()
-    rows = rows.withColumn("__k", F.when(done, F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col(key)))
-    rows = rows.join(rest, F.col("__k") == F.col("__rk"), "left")
+    rows = rows.withColumn("__k", F.when(done, F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col(key).cast("string")))
+    rows = rows.join(rest, F.col("__k") == F.col("__rk").cast("string"), "left")
     picked = F.when(done, F.col("__hv")).otherwise(F.col("__rv"))
     rows = rows.withColumn("__v", picked)
     return rows.select("*", *[F.col("__v")[v].alias(v) for v in values]).drop("__hk", "__hv", "__rk", "__rv", "__k", "__v")
@@ -124,10 +128,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     edges alone, written to the shared folder. Nothing is collected but a count and a checksum.
     """
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, n: int) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn("m", F.least("u", "m"))
-        met = both.join(low, both["a"] == low["u"])
+        low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.count("*").alias("__n")).withColumn("m", F.least("u", "m"))
+        met = join_groups(both, low.withColumnRenamed("u", "a"), "a", n, ["m"])  # a hub is no hot key
         if large:
             return met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         return met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
@@ -138,9 +142,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     edges = written(spark, edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", small=True)
     before = mark(edges)
     while before[0]:
-        now = star(star(edges, True), False).filter("a != b").distinct()
+        half = written(spark, star(edges, True, 2 * before[0]), "edges", small=True)
+        now = star(half, False, before[0]).filter("a != b").distinct()
         edges, old = written(spark, now, "edges", small=True), edges
         removed(spark, old)
+        removed(spark, half)
         after = mark(edges)
         if after == before:
             break
