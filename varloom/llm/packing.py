@@ -21,6 +21,8 @@ from .tokens import WordTokenizer, gathered
 WINDOW = 2048
 #: Windows open at most; beyond that all are joined. Bounds a task's memory.
 MOST_OPEN = 2048
+#: Words that a worker keeps the ids of.
+MOST_WORDS = 300_000
 #: Sequence ids of a task start at its partition times this.
 IDS_PER_TASK = 1 << 40
 
@@ -123,7 +125,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(vocabulary)
+        tokenizer = WordTokenizer(vocabulary, MOST_WORDS)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
         def docs_of() -> Iterator[tuple[int, bytes]]:

@@ -43,7 +43,7 @@ def gathered(batches: Iterator[pa.RecordBatch], most_rows: int = 2048, most_byte
 class WordTokenizer:
     """ids(texts): for each text its ids as packed little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, most_words: int | None = None):
         import os
 
         from tokenizers import Tokenizer
@@ -52,6 +52,7 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenize = self.tokenizer.model.tokenize
+        self.most_words = most_words or MOST_WORDS
         self.cache: dict[str, bytes] = {}
         self.chars = 0
 
@@ -61,7 +62,7 @@ class WordTokenizer:
     def learn(self, words: list[str]) -> None:
         """Letters up to U+00FF are one piece, are normalised already and have plain lower case: for
         them the model alone does. So are punctuation marks behind them, without the apostrophe."""
-        if len(self.cache) > MOST_WORDS or self.chars > MOST_CHARS:
+        if len(self.cache) > self.most_words or self.chars > MOST_CHARS:
             self.cache, self.chars = {}, 0
         cache, tokenize, rest = self.cache, self.tokenize, []
         for word in words:
