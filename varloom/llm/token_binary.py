@@ -32,6 +32,10 @@ MAGIC, HEAD = b"VLRP", "<4sIQIQIQ"
 FIRST_SYMBOL = 49_408
 #: Ids gathered for one shard; a longer document makes a longer shard.
 SHARD_IDS = 1_000_000
+#: Stands for a pair over a document's end; its sides are equal, so it is never chosen.
+NO_PAIR = np.uint32(0xFFFFFFFF)
+#: Words that a worker keeps the ids of.
+MOST_WORDS = 1_000_000
 #: A pair must occur so often to become a rule, and so many rounds are run at most.
 LEAST_COUNT, ROUNDS, RULES_A_ROUND = 24, 4, 2048
 
@@ -52,12 +56,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int = FIRST_SYMBOL) -> tu
     for _ in range(ROUNDS):
         if len(seq) < 2 or room <= 0:
             break
-        last = np.zeros(len(seq), bool)
-        last[ends[ends > 0] - 1] = True
+        over = ends[(ends > 0) & (ends < len(seq))] - 1  # where the next id is another document's
         keys = (seq[:-1] << np.uint32(16)) | seq[1:]
-        counted = np.sort(keys[~last[:-1]])
-        if not len(counted):
-            break
+        keys[over] = NO_PAIR
+        counted = np.sort(keys)
         edge = np.flatnonzero(np.concatenate(([True], counted[1:] != counted[:-1])))
         counts = np.diff(np.append(edge, len(counted)))
         often = np.flatnonzero(counts >= LEAST_COUNT)
@@ -82,18 +84,20 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int = FIRST_SYMBOL) -> tu
         place[0, lefts], place[1, rights] = np.arange(len(lefts)), np.arange(len(rights))
         rule_of = np.full(len(lefts) * len(rights), -1, np.int16)
         rule_of[place[0, pairs >> 16] * len(rights) + place[1, pairs & 0xFFFF]] = np.arange(len(pairs))
-        at = np.flatnonzero((side == 1)[seq[:-1]] & (side == 2)[seq[1:]] & ~last[:-1])
+        sides = side[seq]
+        fits = (sides[:-1] == 1) & (sides[1:] == 2)
+        fits[over] = False
+        at = np.flatnonzero(fits)
         rule = rule_of[place[0, seq[at]] * len(rights) + place[1, seq[at + 1]]]
         at, rule = at[rule >= 0], rule[rule >= 0].astype(np.uint32)
-        seq = seq.copy()
         seq[at] = first + n_rules + rule
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         ends = ends - np.searchsorted(at + 1, ends)
         seq = seq[keep]
-        sides = np.stack([pairs >> 16, pairs & 0xFFFF], 1)
-        rules.append(sides)
-        lengths.append(span[sides].sum(1, dtype=np.uint32))
+        parts = np.stack([pairs >> 16, pairs & 0xFFFF], 1)
+        rules.append(parts)
+        lengths.append(span[parts].sum(1, dtype=np.uint32))
         span = np.concatenate([span, lengths[-1]])
         n_rules += len(pairs)
         room -= len(pairs)
@@ -154,14 +158,18 @@ class Shard:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         symbols = symbols.astype(np.int64)
-        span = self.span[symbols]
-        out = np.repeat(symbols, span).astype(np.uint32)
-        rule = symbols >= self.first
-        if rule.any():
-            end = np.cumsum(span)
-            wide = np.repeat(rule, span)
-            inner = np.arange(len(out)) - np.repeat(end - span, span)
-            out[wide] = self.flat[np.repeat(self.at[symbols[rule] - self.first], span[rule]) + inner[wide]]
+        ends = np.cumsum(self.span[symbols])
+        starts = ends - self.span[symbols]
+        out = np.empty(ends[-1] if len(ends) else 0, np.uint32)
+        plain = symbols < self.first
+        out[starts[plain]] = symbols[plain]
+        starts, rules = starts[~plain], symbols[~plain] - self.first
+        lengths = self.lengths[rules]
+        for n in np.unique(lengths).tolist():  # all rules of a length at once
+            some = lengths == n
+            to, of = starts[some], self.at[rules[some]]
+            for j in range(n):
+                out[to + j] = self.flat[of + j]
         return out
 
     def ids(self, i: int) -> np.ndarray:
@@ -186,7 +194,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, task, seq = WordTokenizer(vocabulary), TaskContext.get().partitionId(), 0
+        tokenizer, task, seq = WordTokenizer(vocabulary, MOST_WORDS), TaskContext.get().partitionId(), 0
         ids: list = []
         raws: list[bytes] = []
         size = total = 0
@@ -202,7 +210,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
             size = 0
             return out
 
-        for b in gathered(batches):
+        for b in gathered(batches, 4096, 16 << 20):
             for doc_id, raw in zip(b.column(0).to_pylist(), tokenizer.ids(b.column(1))):
                 ids.append(doc_id)
                 raws.append(raw + end)
@@ -214,7 +222,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").asc_nulls_first())
-    dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(lean(run), "task int, seq int, n_ids long, blob binary").write.parquet(path)
+    dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(lean(run, blocks=False), "task int, seq int, n_ids long, blob binary").write.parquet(path)
 
 
 def read_shards(spark, path: str) -> DataFrame:
@@ -240,7 +248,7 @@ def read_shards(spark, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    return shards.select("task", "blob").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.select("task", "blob").mapInArrow(lean(run, blocks=False), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
