@@ -129,7 +129,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
         def docs_of() -> Iterator[tuple[int, bytes]]:
-            for b in gathered(batches):
+            for b in gathered(batches, 1024, 4 << 20):
                 for doc_id, raw in zip(b.column(0).to_pylist(), tokenizer.ids(b.column(1))):
                     yield doc_id, raw + end
 
