@@ -977,11 +977,11 @@ def join_reference_variants(spark, sf):
 
 @query("""WITH t AS (SELECT s_suppkey AS id, s_acctbal / 1e5 AS beta, 0.05 AS se, s_acctbal AS n FROM supplier),
  p AS (SELECT l_suppkey AS id1, l_partkey + 1000000 AS id2, l_tax * 4 + 0.1 AS maf1, l_tax * 5 + 0.05 AS maf2, l_discount * 5 + 0.4 AS r2, l_quantity / 50 AS dprime FROM lineitem),
- j AS (SELECT * FROM p JOIN t ON id1 = id WHERE r2 >= 0.6) SELECT id2 AS id, round(max(r2), 9) AS r2, round(avg(n), 2) AS mean_n FROM j GROUP BY id2""")
+ j AS (SELECT * FROM p JOIN t ON id1 = id WHERE r2 >= 0.6) SELECT id2 AS id, round(max(r2), 9) AS r2, round(avg(n), 7) AS mean_n FROM j GROUP BY id2""")
 def join_donor_imputation(spark, sf):
     t = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "s_acctbal / 1e5 as beta", "0.05D as se", "s_acctbal as n")
     p = table(spark, sf, "lineitem").selectExpr("l_suppkey as id1", "l_partkey + 1000000 as id2", "l_tax * 4 + 0.1 as maf1", "l_tax * 5 + 0.05 as maf2", "l_discount * 5 + 0.4 as r2", "l_quantity / 50 as dprime")
-    return workflows.imputed(t, p, "id", ["n"], 0.6).select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 2).alias("mean_n"))
+    return workflows.imputed(t, p, "id", ["n"], 0.6).select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 7).alias("mean_n"))
 
 
 @query("SELECT o_orderkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
