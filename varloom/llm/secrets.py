@@ -50,13 +50,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     """A row per document: rid, doc_id, raw (of each pattern that may match, its lengths)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).withColumn("rid", F.monotonically_increasing_id())
     text = F.col("text")
-    rows = rows.withColumn("a", text.rlike(ASSIGN_WORDS)).withColumn("k", text.contains("AKIA")).withColumn("h", text.rlike("[0-9a-f]{16}"))
-    secret = F.col("a") | F.col("k") | F.col("h")
+    rows = rows.withColumn("a", text.rlike(ASSIGN_WORDS)).withColumn("k", text.contains("AKIA")).withColumn("h", text.rlike("[0-9a-f]{16}")).withColumn("b", text.rlike(f"[A-Za-z0-9+/]{{{BLOB_CHARS}}}"))
+    # identifiers and endpoints stay only near a secret, which a key-like run is too
+    secret = F.col("a") | F.col("h") | F.col("b")
     raw = [
         _found(ASSIGN, 0, F.col("a")),
         _found(ACCESS, 1, F.col("k")),
         _found(HEX, 2, F.col("h")),
-        _found(BLOB, 3, secret & text.rlike(f"[A-Za-z0-9+/]{{{BLOB_CHARS}}}")),
+        _found(BLOB, 3, F.col("b")),
         _found(IDENTIFIER, 4, secret & text.rlike(r"(?i:user|login|client|access|account)")),
         _found(ENDPOINT, 5, secret & text.contains("://")),
     ]
