@@ -305,3 +305,13 @@ def test_whitening(spark, tmp_path):
     out = x - np.outer(one, one @ x / (one @ one))
     for i, g in enumerate(["g1", "g2", "g3", "h1"]):
         assert got[g].z == pytest.approx(out[i, 0]) and np.allclose(got[g].f, out[i, 2:])
+
+
+def test_chromosome_place_covers_all_rows(spark):
+    from tests.conftest import SMALL
+    from varloom.queries import QUERIES
+
+    d = QUERIES["sort_chromosome_place"](spark, SMALL).orderBy("place").collect()
+    assert [r.place for r in d] == list(range(1, spark.read.parquet(f"{SMALL}/lineitem.parquet").count() + 1))
+    chroms = [int(r.chrom) for r in d]
+    assert chroms == sorted(chroms) and len(set(chroms)) > 1

@@ -1079,6 +1079,13 @@ def sort_chromosome_order(spark, sf):
     return study(spark, sf).orderBy(*var.chromosome_order(F.col("chrom")), F.desc("lp"), "rid").limit(50).select("chrom", "rid")
 
 
+@query("SELECT chrom, rid, CAST(row_number() OVER (ORDER BY CAST(chrom AS INT), lp DESC, rid) AS BIGINT) AS place FROM {S}")
+def sort_chromosome_place(spark, sf):
+    """The whole study in natural chromosome order: every row with its place."""
+    d = study(spark, sf).select("chrom", "lp", "rid")
+    return scans.ranked(d, [*var.chromosome_order(F.col("chrom")), F.desc("lp"), F.asc("rid")], "place").select("chrom", "rid", "place")
+
+
 @query("SELECT x.key AS key, CAST(count(*) AS BIGINT) AS n FROM (SELECT 'tables' AS key FROM orders UNION ALL SELECT 'rows' FROM customer) x GROUP BY x.key")
 def set_stacked_provenance(spark, sf):
     d = sets_of.stacked({"tables": table(spark, sf, "orders").select(F.lit(1).alias("v")), "rows": table(spark, sf, "customer").select(F.lit(1).alias("v"))}, "key")
