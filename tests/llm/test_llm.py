@@ -407,6 +407,19 @@ def test_language_edges(docs, none):
     assert langid.accepted(unlabelled).count() == len(ROWS)
 
 
+def test_language_keeps_all_labels(spark):
+    """70 labels, one of a single text; a text with a third of all rows counts once."""
+    rows = [(f"{chr(97 + k % 26)}{chr(97 + k // 26)}x " * 20 + str(i), f"l{k:02}") for k in range(70) for i in range(5)]
+    rows = rows[:-4] + [("hot words here", "l00")] * (len(rows) // 2)
+    d = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.fitted(d, rows=70)
+    assert model.languages == [f"l{k:02}" for k in range(70)]
+    ll, _ = model.scores([f"{chr(97 + k % 26)}{chr(97 + k // 26)}x " * 20 for k in range(70)])
+    assert ll.argmax(1).tolist() == list(range(70))
+    copies = spark.createDataFrame([("hot words here", "en")] * 300 + [(f"plain text number {i}", "en") for i in range(30)], "text string, lang string")
+    assert np.array_equal(langid.fitted(copies).table, langid.fitted(copies.distinct()).table)
+
+
 # -- secrets and personal data
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

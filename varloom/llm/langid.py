@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from .common import join_groups, lean, located, small_batches, text_of, without, written
 
-#: Labelled rows that the model is fitted on, about; more are sampled down by a hash.
-TRAIN_ROWS = 20_000
-#: Hash buckets of trigrams, and languages at most, by their number of rows.
-BUCKETS, MOST_LANGUAGES = 1 << 15, 64
+#: Labelled texts that the model is fitted on, about; more are sampled down by a hash, to no fewer than this for a language.
+TRAIN_ROWS, LANGUAGE_ROWS = 20_000, 20
+#: Hash buckets of trigrams.
+BUCKETS = 1 << 15
 #: Trigrams that count in full as evidence; longer texts count as much as these.
 FULL_TRIGRAMS = 300
 #: Pseudo-rows with which a host leans on its suffix, and a suffix on the corpus.
@@ -83,33 +83,36 @@ def blocks(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
 
 
 def fitted(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
-    """The model of (text, lang); None without labelled rows. Counts are summed by language and bucket."""
+    """The model of (text, lang), of every language; None without labelled rows.
+
+    It is fitted on distinct texts: copies count once, and a hash of the text draws them, so that
+    the bound holds whatever is repeated. Each language has its text of the least hash at least.
+    """
     spark = labelled.sparkSession
     labelled = labelled.filter("lang is not null and text is not null").select(text_of("text").alias("text"), F.col("lang").cast("string").alias("lang"))
-    by = sorted(((r["count"], r["lang"]) for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()), key=lambda x: x[1])
-    total = sum(n for n, _ in by)
-    if not total:
+    labelled = labelled.withColumn("u", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 40)))
+    by = sorted(tuple(r) for r in labelled.groupBy("lang").agg(F.approx_count_distinct("u"), F.min("u")).collect())
+    if not by:
         return None
-    languages = [k for _, k in by]
+    languages = [k for k, _, _ in by]
     # each language keeps at least its share of the bound, so that a rare one is learnt too
-    share = {k: min(1.0, rows / len(by) / n) for n, k in by}
-    part = F.element_at(F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))]), F.col("lang"))
-    sample = labelled.filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < part * (1 << 20))
+    share = max(rows / len(by), LANGUAGE_ROWS)
+    limits = spark.createDataFrame([(k, i, max(least, int(min(1.0, share / max(1, n)) * (1 << 40)))) for i, (k, n, least) in enumerate(by)], "l string, place int, most long")
+    sample = labelled.join(F.broadcast(limits), (F.col("lang") == F.col("l")) & (F.col("u") <= F.col("most")))
+    sample = sample.groupBy("place", "u").agg(F.first("text").alias("text")).select("text", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), BUCKETS), np.int64)
-        place = {k: i for i, k in enumerate(languages)}
         for b in batches:
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if lang in place:
-                    counts[place[lang]] += np.bincount(trigrams([text])[0], minlength=BUCKETS)
-        lang, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"])
+            keys = [np.zeros(0, np.int64)]
+            for text, place in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                keys.append(place * BUCKETS + trigrams([text])[0])
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key // BUCKETS, pa.int32()), pa.array(key % BUCKETS, pa.int32()), pa.array(n, pa.int64())], ["lang", "bucket", "n"])
 
     small_batches(spark)
     got = sample.mapInArrow(lean(run), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
-    for lang, bucket, n in got.collect():  # at most MOST_LANGUAGES * BUCKETS rows
+    for lang, bucket, n in got.collect():  # no more rows than the sample has trigrams
         counts[bucket, lang] = n
     return Model(languages, counts)
 
