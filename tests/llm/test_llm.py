@@ -420,6 +420,17 @@ def test_language_keeps_all_labels(spark):
     assert np.array_equal(langid.fitted(copies).table, langid.fitted(copies.distinct()).table)
 
 
+def test_language_of_pages(spark, db):
+    """The query identifies pages beside documents, by markup, address and host too."""
+    got = queries.op7_language_id(spark, SMALL).collect()
+    for name, key in (("documents", "doc_id"), ("pages", "page_id")):
+        mine = [r for r in got if r.table == name]
+        assert sorted(r[key] for r in mine) == sorted(x for (x,) in db.sql(f"select {key} from {name}").fetchall())
+    html = dict(db.sql("select page_id, html from pages").fetchall())
+    said = {r.page_id: re.search('<html lang="([a-z]+)', html[r.page_id])[1] for r in got if r.table == "pages"}
+    assert np.mean([r.lang == said[r.page_id] for r in got if r.table == "pages"]) > 0.95
+
+
 # -- secrets and personal data
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

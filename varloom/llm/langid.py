@@ -190,7 +190,10 @@ def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> Da
 
 def documents_identified(docs: DataFrame, keys: list[Column], least: float = LEAST) -> DataFrame:
     """Documents (text, lang, source): lang labels fit the model; the source stands for the host."""
-    model = fitted(docs.select("text", "lang"))
+    return _documents(docs, keys, fitted(docs.select("text", "lang")), least)
+
+
+def _documents(docs: DataFrame, keys: list[Column], model: Model | None, least: float) -> DataFrame:
     none = F.lit(None).cast("string")
     return identified(docs.select(*keys, text_of("text").alias("text"), F.col("source").cast("string").alias("host"), none.alias("suffix"), none.alias("declared")), model, least)
 
@@ -203,6 +206,18 @@ def pages_identified(pages: DataFrame, model: Model | None, least: float = LEAST
     return identified(pages.select("page_id", text.alias("text"), host.alias("host"), suffix_of(url).alias("suffix"), declared_of(html).alias("declared")), model, least).drop("host", "suffix", "declared")
 
 
+def tables_identified(docs: DataFrame, pages: DataFrame, least: float = LEAST) -> DataFrame:
+    """Documents (doc_id, text, lang, source) and pages (page_id, url, html) by one model, fitted on the documents' labels.
+
+    A row for each of both: table, doc_id (null for pages), page_id (null for documents), lang, confidence, n_trigrams, accepted.
+    """
+    model = fitted(docs.select("text", "lang"))
+    ids = lambda table: [F.lit(table).alias("table"), *[(F.col(c) if t == table else F.lit(None)).cast("long").alias(c) for t, c in (("documents", "doc_id"), ("pages", "page_id"))]]
+    values = ["lang", "confidence", "n_trigrams", "accepted"]
+    ours = _documents(docs, [F.col("doc_id").cast("long").alias("doc_id")], model, least).select(*ids("documents"), *values)
+    return ours.unionByName(pages_identified(pages, model, least).select(*ids("pages"), *values))
+
+
 def accepted(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of docs that aren't rejected, whole."""
     names = docs.columns

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, exact_dedup, html_extract, langid, near_dedup, packing, pii, secrets, token_binary, warc
 from .common import table
@@ -35,7 +34,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return langid.documents_identified(docs, [F.col("doc_id").cast("long").alias("doc_id")]).drop("host", "suffix", "declared")
+    return langid.tables_identified(docs, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
