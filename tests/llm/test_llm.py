@@ -302,6 +302,21 @@ def test_main_text():
     assert html_extract.main_text("<p>" + "word " * 200_000).count(" ") == 199_999
 
 
+def test_class_names_that_only_hold_a_noise_word():
+    """A wrapper round the article isn't noise, nor is prose whose name has such a word; whole noise names stay noise."""
+    prose = "<h1>T</h1><p>Some words of an article, enough of them.</p>"
+    text = "T\nSome words of an article, enough of them."
+    for around in ('class="content-with-sidebar"', 'class="no-sidebar"', 'class="elementor-widget"', 'id="has-header"', 'class="widget"'):
+        assert html_extract.main_text(f"<body><div {around}><article>{prose}</article></div></body>") == text, around
+        assert html_extract.main_text(f"<body><div {around}>{prose}</div></body>") == text, around
+    inside = '<section id="discussion"><p>We discuss.</p></section><h2 id="related-work">Related work</h2><p id="social-impact">An impact.</p>'
+    assert html_extract.main_text(f"<body><article>{prose}{inside}</article></body>") == text + "\nWe discuss.\nRelated work\nAn impact."
+    for other in ('<div class="site-footer">', '<div class="cookie-notice">', '<div class="widget-area">', '<div id="comments">', '<div class="related-posts">'):
+        assert html_extract.main_text(f"<body><div>{prose}</div>{other}<p>Other words that are not of it.</p></div></body>") == text, other
+    comments = '<div id="comments"><article class="comment-body"><p>' + "I like it very much. " * 30 + "</p></article></div>"
+    assert html_extract.main_text(f"<body><div><article>{prose}</article></div>{comments}</body>") == text
+
+
 def test_density_without_article():
     page = "<body><ul>" + "<li><a href=x>Link text here</a></li>" * 12 + "</ul><div><p>" + "Plain words of an article. " * 9 + "</p><p>" + "And some more of them here. " * 7 + "</p></div><div><a href=x>More</a> <a href=y>Next</a> <a href=z>Last</a></div></body>"
     assert html_extract.main_text(page) == ("Plain words of an article. " * 9).strip() + "\n" + ("And some more of them here. " * 7).strip()

@@ -43,6 +43,13 @@ CLASSES = frozenset(
     "subscription sidebar rail menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments discussion disqus reply replies respond share sharing social "
     "related recommended recommendations widget login signup search pagination pager skip toc".split()
 )
+#: Words that leave a name of CLASSES what it is ("site-footer", "widget-area"); any other makes it another name ("no-sidebar", "related-work").
+QUALIFIERS = frozenset(
+    "area articles article bar block bottom box body bottombar btn button buttons card cards c col column container content desktop entry fixed global group heading icon icons id inner item items js l left "
+    "link links list main media mobile outer page panel policy post posts primary right row secondary section site slot sticky stories story text title top unit wrap wrapper".split()
+)
+#: What holds articles of others.
+OTHERS = frozenset("comment comments discussion disqus reply replies respond related recommended recommendations".split())
 SPLIT = re.compile(r"[^a-z]+")
 #: A list or box of at least so many links that are at least this share of its characters is a menu.
 MENU_LINKS, MENU_SHARE = 3, 0.8
@@ -52,20 +59,30 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)} if "=" in raw else {}
 
 
-def is_noise(tag: str, raw: str, in_article: Callable[[], bool]) -> bool:
-    """Whether an element is no prose; an article's own header is part of it."""
+def noise_names(got: dict[str, str], in_article: Callable[[], bool]) -> set[str]:
+    """The words of CLASSES that classes or the id consist of; an article's own header and its section Discussion are part of it."""
+    found: set[str] = set()
+    for where in ("class", "id"):
+        for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", got.get(where, "")).lower().split():
+            words = set(SPLIT.split(name)) - {""}
+            named = words & CLASSES
+            if named and words <= CLASSES | QUALIFIERS and not (where == "id" and words == {"discussion"} and in_article()):
+                found |= named
+    return set() if found == {"header"} and in_article() else found
+
+
+def is_noise(tag: str, raw: str, in_article: Callable[[], bool]) -> tuple[bool, set[str]]:
+    """Whether an element is no prose by its name, role or style, and the words of its classes that say so."""
     if tag in NO_PROSE or tag == "header" and not in_article():
-        return True
+        return True, set()
     if not raw.strip():
-        return False
+        return False, set()
     got = attributes(raw)
     if got.get("role", "").lower() in ROLES or got.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", got.get("style", ""), re.I) or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", raw):
-        return True
-    if tag in ("body", "html", "main", "article", "h1"):
-        return False
-    words = SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", got.get("class", "") + " " + got.get("id", "")).lower())
-    found = CLASSES.intersection(words)
-    return bool(found) and not (found == {"header"} and in_article())
+        return True, set()
+    if tag in ("body", "html", "h1"):
+        return False, set()
+    return False, noise_names(got, in_article)
 
 
 class Page:
@@ -73,17 +90,42 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.noise = ["#root"], [-1], [False]
+        self.named: list[set[str]] = [set()]  # words of an element's classes that say it is no prose
         self.texts: list[tuple[int, str]] = []  # (node, text); a block's start and end are (-1, "")
         self._parse(html)
+        self._settle()
 
     def _open(self, stack: list[int], tag: str, raw: str) -> int:
         above = stack[-1]
         in_article = lambda: any(self.tag[i] in ("article", "main") for i in stack)
         self.tag.append(tag)
         self.parent.append(above)
-        self.noise.append(self.noise[above] or is_noise(tag, raw, in_article))
+        noise, named = is_noise(tag, raw, in_article)
+        self.noise.append(self.noise[above] or noise)
+        self.named.append(named)
         return len(self.tag) - 1
 
+    def _settle(self) -> None:
+        """Noise by class, but for what holds the page's prose: a main or article, or without one most characters that are no links."""
+        n, tag, parent, noise, named = len(self.tag), self.tag, self.parent, self.noise, self.named
+        if not any(named):
+            return
+        size, link = [0] * n, [False] * n
+        for i in range(1, n):
+            link[i] = tag[i] == "a" or link[parent[i]]
+        for i, t in self.texts:
+            if i >= 0 and not noise[i] and not link[i]:
+                size[i] += len("".join(t.split()))
+        main = [t == "main" and not x for t, x in zip(tag, noise)]
+        article = [t == "article" and not x and not w for t, x, w in zip(tag, noise, named)]
+        for i in range(n - 1, 0, -1):
+            main[parent[i]] |= main[i]
+            article[parent[i]] |= article[i]
+            size[parent[i]] += size[i]
+        for i in range(1, n):
+            held = main[i] or not named[i] & OTHERS and (article[i] or not (main[0] or article[0]) and 2 * size[i] > size[0])
+            noise[i] = noise[i] or noise[parent[i]] or bool(named[i]) and tag[i] not in ("main", "article") and not held
+
     def _close(self, stack: list[int], tags: set[str], stop: set[str]) -> None:
         """Close down to the outermost open one of tags that no element of stop is above."""
         for depth in range(len(stack) - 1, 0, -1):
