@@ -536,6 +536,12 @@ def test_personal_added(spark):
     assert got[59].startswith("email_text:9") and got[60] == "ssn:4:15" and got[61] == "iban:8:35" and got[62] == "" and got[63].startswith("email:5:12,phone:16") and got[64:] == ["", ""]
 
 
+def test_iban_before_a_capital_word():
+    at, es, de = "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"
+    for text, want in ((f"{at} BIC BKAUATWW", [at]), (f"{es} BIC X", [es]), (f"{at} {de} 12", [at, de]), (f"AT00 1904 3002 {de}", [de]), ("DE00 3704 0044 0532 0130 00", [])):
+        assert [text[s:e] for k, s, e in pii.more_spans(text, []) if k == "iban"] == want
+
+
 def test_reliabilities_favour_good_labelers():
     r = np.random.default_rng(0)
     truth = r.random(4000) < 0.4

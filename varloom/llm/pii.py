@@ -81,6 +81,18 @@ def iban(span: str) -> bool:
     return int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Candidates whose check digits fit, each with the last end at a group's border that does so: a word behind may look like a group."""
+    m = IBAN.search(text)
+    while m:
+        s, e = m.span()
+        while e > s and not (IBAN.fullmatch(text, s, e) and iban(text[s:e])):
+            e = text.rfind(" ", s, e)
+        if e > s:
+            yield s, e
+        m = IBAN.search(text, e if e > s else s + 1)
+
+
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in BASE_KINDS}
     if "@" in text:
@@ -113,9 +125,8 @@ def more_spans(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, i
         ("name", NAME, any(x in text for x in ("Mr", "Ms", "Dr", "Herr ", "Frau ", "Sr", "Mme", "Mons", "Madame"))),
     ):
         if needs:
-            for m in pattern.finditer(text):
-                s, e = m.span()
-                if not (kind == "iban" and not iban(m[0])) and all(e <= a or s >= b for a, b in taken):
+            for s, e in ibans(text) if kind == "iban" else (m.span() for m in pattern.finditer(text)):
+                if all(e <= a or s >= b for a, b in taken):
                     taken.append((s, e))
                     yield kind, s, e
 
