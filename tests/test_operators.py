@@ -315,3 +315,11 @@ def test_chromosome_place_covers_all_rows(spark):
     assert [r.place for r in d] == list(range(1, spark.read.parquet(f"{SMALL}/lineitem.parquet").count() + 1))
     chroms = [int(r.chrom) for r in d]
     assert chroms == sorted(chroms) and len(set(chroms)) > 1
+
+
+def test_long_preamble_and_hash_header(spark, tmp_path):
+    f = tmp_path / "x.tsv"
+    f.write_text("".join(f"##contig={i}\n" for i in range(2500)) + "#CHR\tPOS\n1\t5\n#2\t\"6\"\n")
+    assert delimited.header_of(spark, str(f), "\t") == (["CHR", "POS"], 2500)
+    got = delimited.read_strings(spark, str(f), "\t", comment="##").collect()
+    assert [tuple(r) for r in got] == [("1", "5"), ("#2", "6")]

@@ -38,31 +38,40 @@ def detect_delimiter(spark: SparkSession, path: str, candidates: tuple[str, ...]
 
 def header_of(spark: SparkSession, path: str, delimiter: str, comment: str | None = "##") -> tuple[list[str], int]:
     """The column names and the number of preamble lines before them."""
-    head = [r[0] for r in spark.read.text(path).limit(2000).collect()]
-    skipped = 0
-    for line in head:
-        if comment and line.startswith(comment) or not line.strip():
-            skipped += 1
-            continue
-        names = line.split() if delimiter == " " else next(csv.reader([line], delimiter=delimiter))
-        return [n.strip().lstrip("#") for n in names], skipped
-    raise ValueError(f"{path} has no header")
+    most, seen = 2000, 0
+    while True:  # a preamble may be of any length
+        head = [r[0] for r in spark.read.text(path).limit(most).collect()]
+        for skipped, line in enumerate(head[seen:], seen):
+            if comment and line.startswith(comment) or not line.strip():
+                continue
+            names = line.split() if delimiter == " " else next(csv.reader([line], delimiter=delimiter))
+            return [n.strip().lstrip("#") for n in names], skipped
+        if len(head) < most:
+            raise ValueError(f"{path} has no header")
+        most, seen = 8 * most, most
 
 
 def read_strings(spark: SparkSession, path: str, delimiter: str = "\t", columns: list[str] | None = None, missing: tuple[str, ...] = MISSING, comment: str | None = None) -> DataFrame:
     """All columns as strings, never inferred; missing tokens are null; only the columns asked for are kept.
 
-    A ## preamble is skipped by the CSV reader's comment character, so files stay splittable.
+    With comment, lines that begin with it are left out, and the header line, which may begin with a
+    part of it; all are known by themselves, so files stay splittable.
     """
     names, _ = header_of(spark, path, delimiter, comment)
     lacking = [c for c in columns or [] if c not in names]
     if lacking:
         raise ValueError(f"{path} lacks {lacking}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.schema(schema).option("sep", delimiter).option("header", True).option("enforceSchema", True)
     if comment:
-        reader = reader.option("comment", comment[0])
-    df = reader.csv(path).select(*(columns or names))
+        v = F.col("value")
+        text = spark.read.text(path)
+        header = text.filter(~v.startswith(comment) & (F.length(F.trim(v)) > 0)).first()[0]
+        lines = text.filter(~v.startswith(comment) & (F.length(F.trim(v)) > 0) & (v != header))
+        ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        df = lines.select(F.from_csv(v, ddl, {"sep": delimiter}).alias("x")).select(*[F.col("x")[n].alias(n) for n in columns or names])
+    else:
+        reader = spark.read.schema(schema).option("sep", delimiter).option("header", True).option("enforceSchema", True)
+        df = reader.csv(path).select(*(columns or names))
     return df.select(*[F.when(~F.trim(c).isin(*missing), F.trim(c)).alias(c) for c in df.columns])
 
 
