@@ -3,8 +3,9 @@ r"""Secrets in whole texts, by DataFrame functions alone.
 Strong kinds (assign, access, hex) are found by their patterns. Weak parts (short assigned values,
 key-like runs, identifiers, endpoints) are rows with an interval in code points; an interval join
 within scopes (same document, at most SCOPE code points apart, met through SCOPE-wide buckets)
-keeps a weak part only when a complementary one is there: a weak secret needs an identifier, a weak
-identifier or an endpoint needs a secret. The join is a semi-join: it makes no pairs.
+keeps a weak part only when a complementary one is there: a weak secret needs an identifier or an
+endpoint, a weak identifier or an endpoint needs a secret, and the two don't overlap, so that parts
+vouch for each other both ways. The join is a semi-join: it makes no pairs.
 
 Positions come from lengths: the pieces between the matches of a pattern and the matches themselves
 follow each other, so running sums of their lengths are the spans.
@@ -72,24 +73,24 @@ def parts(rows: DataFrame) -> DataFrame:
     upto = Window.partitionBy("rid", "pattern").orderBy("pos")
     each = each.withColumn("e", F.sum(F.col("gaps") + F.col("lens")).over(upto)).withColumn("s", F.col("e") - F.col("lens"))
     p, n = F.col("pattern"), F.col("values")
-    kind = F.when((p == 0) & (n >= LEAST_ASSIGN), 0).when((p == 0) & (n >= LEAST_WEAK), 3).when(p == 1, 1).when(p == 2, 2).when((p == 3) & (n == BLOB_CHARS), 3).when((p == 4) & (n >= 3), 4).when((p == 5) & (n >= 3), 5)
+    kind = F.when((p == 0) & (n >= LEAST_ASSIGN), 0).when((p == 0) & (n >= LEAST_WEAK), 3).when(p == 1, 1).when(p == 2, 2).when((p == 3) & (n >= BLOB_CHARS), 3).when((p == 4) & (n >= 3), 4).when((p == 5) & (n >= 3), 5)
     return each.withColumn("kind", kind).filter("kind is not null").select("rid", "kind", "s", "e", (F.col("kind") < 3).alias("base"))
 
 
 def linked(found: DataFrame) -> DataFrame:
-    """The weak parts that a complementary part is near to and that no base span overlaps."""
+    """The weak parts that no base span overlaps and that a complementary part of those left is near to."""
+    keys = ["rid", "kind", "s", "e"]
     buckets = F.explode(F.sequence(F.floor(F.col("s") / SCOPE), F.floor(F.col("e") / SCOPE)))
     reach = F.explode(F.sequence(F.floor((F.col("s") - SCOPE) / SCOPE), F.floor((F.col("e") + SCOPE) / SCOPE)))
-    there = found.select(F.col("rid").alias("r"), F.col("kind").alias("k"), F.col("s").alias("ts"), F.col("e").alias("te"), buckets.alias("b"))
-    weak = found.filter("not base")
-    near = weak.withColumn("bucket", reach)
-    secret, identifier = F.col("k").isin(0, 2, 3), F.col("k").isin(1, 4)
-    fits = F.when(F.col("kind") == 3, identifier).otherwise(secret)
+    named = lambda parts: parts.select(F.col("rid").alias("r"), F.col("kind").alias("k"), F.col("s").alias("ts"), F.col("e").alias("te"), buckets.alias("b"))
     same = (F.col("rid") == F.col("r")) & (F.col("bucket") == F.col("b"))
-    met = near.join(there, same & fits & (F.col("ts") - F.col("e") <= SCOPE) & (F.col("s") - F.col("te") <= SCOPE), "left_semi")
-    over = weak.withColumn("bucket", buckets).join(there.filter("k < 3"), same & (F.col("ts") < F.col("e")) & (F.col("s") < F.col("te")), "left_semi")
-    keys = ["rid", "kind", "s", "e"]
-    return met.select(*keys).distinct().join(over.select(*keys).distinct(), keys, "left_anti")
+    base, weak = found.filter("base").select(*keys), found.filter("not base").select(*keys)
+    over = weak.withColumn("bucket", buckets).join(named(base), same & (F.col("ts") < F.col("e")) & (F.col("s") < F.col("te")), "left_semi")
+    weak = weak.join(over.select(*keys).distinct(), keys, "left_anti")
+    apart = (F.col("te") <= F.col("s")) | (F.col("e") <= F.col("ts"))
+    fits = F.when(F.col("kind") == 3, F.col("k").isin(1, 4, 5)).otherwise(F.col("k").isin(0, 2, 3)) & apart
+    met = weak.withColumn("bucket", reach).join(named(base.unionByName(weak)), same & fits & (F.col("ts") - F.col("e") <= SCOPE) & (F.col("s") - F.col("te") <= SCOPE), "left_semi")
+    return met.select(*keys).distinct()
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -123,12 +124,12 @@ def sql() -> str:
         m AS (SELECT rid, pattern, length(lens[pos + 1]) AS l, length(vals[pos + 1]) AS n,
                      sum(length(gaps[pos + 1]) + length(lens[pos + 1])) OVER (PARTITION BY rid, pattern ORDER BY pos) AS e FROM e),
         q AS (SELECT rid, e - l AS s, e, CASE WHEN pattern = 0 AND n >= {LEAST_ASSIGN} THEN 0 WHEN pattern = 0 AND n >= {LEAST_WEAK} THEN 3
-                     WHEN pattern = 1 THEN 1 WHEN pattern = 2 THEN 2 WHEN pattern = 3 AND n = {BLOB_CHARS} THEN 3 WHEN pattern = 4 AND n >= 3 THEN 4 WHEN pattern = 5 AND n >= 3 THEN 5 END AS kind FROM m),
-        p AS (SELECT * FROM q WHERE kind IS NOT NULL),
-        w AS (SELECT DISTINCT rid, kind, s, e FROM p WHERE kind < 3 OR (
-                EXISTS (SELECT 1 FROM p t WHERE t.rid = p.rid AND t.s - p.e <= {SCOPE} AND p.s - t.e <= {SCOPE}
-                        AND CASE WHEN p.kind = 3 THEN t.kind IN (1, 4) ELSE t.kind IN (0, 2, 3) END)
-                AND NOT EXISTS (SELECT 1 FROM p t WHERE t.rid = p.rid AND t.kind < 3 AND t.s < p.e AND p.s < t.e))),
+                     WHEN pattern = 1 THEN 1 WHEN pattern = 2 THEN 2 WHEN pattern = 3 AND n >= {BLOB_CHARS} THEN 3 WHEN pattern = 4 AND n >= 3 THEN 4 WHEN pattern = 5 AND n >= 3 THEN 5 END AS kind FROM m),
+        o AS (SELECT DISTINCT * FROM q WHERE kind IS NOT NULL),
+        p AS (SELECT * FROM o WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM o t WHERE t.rid = o.rid AND t.kind < 3 AND t.s < o.e AND o.s < t.e)),
+        w AS (SELECT * FROM p WHERE kind < 3 OR
+                EXISTS (SELECT 1 FROM p t WHERE t.rid = p.rid AND t.s - p.e <= {SCOPE} AND p.s - t.e <= {SCOPE} AND (t.e <= p.s OR p.e <= t.s)
+                        AND CASE WHEN p.kind = 3 THEN t.kind IN (1, 4, 5) ELSE t.kind IN (0, 2, 3) END)),
         g AS (SELECT rid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h, count(*) AS n,
                      string_agg({kinds}[kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
                      string_agg({kinds}[kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s, kind) AS spans FROM w GROUP BY rid)
