@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,13 +18,16 @@ ARROW_ROWS = 512
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder, unused so far, that driver and executors share.
 
-    It lies under ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a
-    folder is chosen here and set.
+    It lies under ``spark.checkpoint.dir``; only where that is unset and all runs on one machine
+    is a folder chosen here and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         base = f"file://{tempfile.mkdtemp(prefix='varloom-shared-')}"
@@ -31,6 +35,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def batched(spark: SparkSession, rows: int = ARROW_ROWS):
+    """Keep the Arrow batches of Python stages that run inside small enough for long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: a cut of lineage that outlives executors.
 
@@ -39,7 +55,8 @@ def written(spark: SparkSession, df: DataFrame, name: str, small: bool = False)
     path = shared_dir(spark, name)
     if small:
         df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
-    df.write.parquet(path)
+    with batched(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,16 +68,12 @@ def removed(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep the Arrow batches of Python stages small enough for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def lean(run, blocks: bool = True):
     """A function for mapInArrow whose worker, which Spark keeps for later tasks, holds on to little memory.
 
     blocks: large blocks come from the system and go back to it whenever they are freed, which
-    costs time where a task makes many. What is free at the end goes back in any case.
+    costs time where a task makes many. What is free at the end goes back in any case. Batches
+    come in slices of ARROW_ROWS, whatever the session's own size is.
     """
 
     def wrapped(batches):
@@ -77,7 +90,7 @@ def lean(run, blocks: bool = True):
             libc = None
         if blocks:
             pa.set_memory_pool(pa.system_memory_pool())
-        yield from run(batches)
+        yield from run(b.slice(i, ARROW_ROWS) for b in batches for i in range(0, b.num_rows, ARROW_ROWS))
         pa.default_memory_pool().release_unused()
         if libc:
             libc.malloc_trim(0)
@@ -85,21 +98,32 @@ def lean(run, blocks: bool = True):
     return wrapped
 
 
-def located(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df with ``__file`` and ``__row``, the place each row is stored at.
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores before it as it takes to be none of names."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def located(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str, str]:
+    """df with the place that each row is stored at, and the names of the two columns that say so: file, row in it.
 
     Files give it directly. Any other frame is written to the shared folder first, so that the
     locator names one row for good, whichever executors read it again.
     """
+    file, row = unused(df.columns, "__file", "__row")
     try:
         meta = df.metadataColumn("_metadata")
-        return df.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
+        return df.select("*", meta["file_path"].alias(file), meta["row_index"].alias(row)), file, row
     except Exception as e:  # noqa: BLE001  no file source below
         if "UNRESOLVED_COLUMN" not in str(e) and "METADATA" not in str(e).upper():
             raise
         df = written(spark, df, "rows")
         meta = df.metadataColumn("_metadata")
-        return df.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
+        return df.select("*", meta["file_path"].alias(file), meta["row_index"].alias(row)), file, row
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int, values: list[str]) -> DataFrame:
@@ -155,16 +179,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return nodes.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def without(placed: DataFrame, dropped: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
-    """The rows of a ``located`` frame whose place isn't among those of dropped (__df, __dr).
+def without(placed: DataFrame, file: str, row: str, dropped: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
+    """The rows of a ``located`` frame whose place isn't among those of dropped (f, row), without the place.
 
-    __df is the hash of __file, __dr is __row: places are two longs each; up to most_broadcast of them are broadcast, more meet in a shuffle.
+    f is the hash of the file: places are two longs each; up to most_broadcast of them are broadcast, more meet in a shuffle.
     """
     spark = placed.sparkSession
-    dropped = written(spark, dropped, "dropped", small=True)
+    f, r = unused(placed.columns, "__df", "__dr")
+    dropped = written(spark, dropped.select(F.col("f").alias(f), F.col("row").alias(r)), "dropped", small=True)
     if dropped.count() <= most_broadcast:
         dropped = F.broadcast(dropped)
-    return placed.join(dropped, (F.xxhash64("__file") == F.col("__df")) & (F.col("__row") == F.col("__dr")), "left_anti")
+    return placed.join(dropped, (F.xxhash64(file) == F.col(f)) & (F.col(row) == F.col(r)), "left_anti").drop(file, row)
 
 
 def text_of(column: str) -> Column:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, located, small_batches, table, text_of, without, written
+from .common import lean, located, table, text_of, without, written
 
 Q = 10
 #: Edits allowed for each character of an item.
@@ -182,15 +182,14 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
         at = stop
 
 
-def _found(placed: DataFrame, benchmark: DataFrame, rate: float) -> DataFrame:
+def _found(placed: DataFrame, file: str, at: str, benchmark: DataFrame, rate: float) -> DataFrame:
     """Rows (doc_id, item_id, start, end, edits, f, row) of a located frame."""
     spark = placed.sparkSession
-    small_batches(spark)
     schema = "doc_id long, f long, row long, item_id long, start long, end long, edits long"
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("__file").alias("f"), F.col("__row").alias("row"), text_of("text").alias("text"))
+    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(file).alias("f"), F.col(at).alias("row"), text_of("text").alias("text"))
     out = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
@@ -215,15 +214,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE)
     null, empty or very short items (under Q characters) are not looked for. Null ids stay null;
     repeated rows are reported each. Documents without matches have no row.
     """
-    return _found(located(docs.sparkSession, docs), benchmark, rate).drop("f", "row")
+    return _found(*located(docs.sparkSession, docs), benchmark, rate).drop("f", "row")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
     """The rows of docs that hold no benchmark item."""
-    names = docs.columns
     placed = located(docs.sparkSession, docs)
-    leaks = _found(placed, benchmark, rate).select(F.col("f").alias("__df"), F.col("row").alias("__dr")).distinct()
-    return without(placed, leaks).select(*names)
+    return without(*placed, _found(*placed, benchmark, rate).select("f", "row").distinct())
 
 
 def benchmark_of(spark: SparkSession, sf_dir: str) -> DataFrame:

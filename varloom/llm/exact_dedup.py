@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, lean, located, shared_dir, small_batches, without, written
+from .common import join_groups, lean, located, shared_dir, without, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Micro-batches that a stored input is streamed in.
@@ -65,13 +65,12 @@ def decisions(docs: DataFrame, key_bits: int | None = None) -> DataFrame:
     a group stays; of rows that repeat it, the one stored first. A null doc_id is below all others.
     key_bits shortens the digest that keys the state, to test the byte check.
     """
-    return _decisions(located(docs.sparkSession, docs), key_bits)
+    return _decisions(*located(docs.sparkSession, docs), key_bits)
 
 
-def _decisions(placed: DataFrame, key_bits: int | None = None) -> DataFrame:
+def _decisions(placed: DataFrame, file: str, at: str, key_bits: int | None = None) -> DataFrame:
     spark = placed.sparkSession
-    small_batches(spark)
-    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "__file", "__row", F.col("text").cast("string").cast("binary").alias("__bytes"))
+    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(file).alias("__file"), F.col(at).alias("__row"), F.col("text").cast("string").cast("binary").alias("__bytes"))
     digests = written(spark, slim.mapInArrow(lean(_digests(key_bits)), "doc_id long, __file string, __row long, __key binary, text_sha256 string").withColumns({"__null": F.col("doc_id").isNotNull(), "__rowneg": -F.col("__row")}), "digests")
     files = digests.inputFiles()
     if not files or digests.limit(1).count() == 0:
@@ -119,9 +118,5 @@ def _lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, whole."""
-    spark = docs.sparkSession
-    names = docs.columns
-    placed = located(spark, docs)
-    if "__file" in names or "__row" in names:
-        raise ValueError("__file and __row are this operator's own column names")
-    return without(placed, _decisions(placed).filter("not kept").select(F.xxhash64("__file").alias("__df"), F.col("__row").alias("__dr"))).select(*names)
+    placed = located(docs.sparkSession, docs)
+    return without(*placed, _decisions(*placed).filter("not kept").select(F.xxhash64("__file").alias("f"), F.col("__row").alias("row")))

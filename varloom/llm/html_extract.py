@@ -18,7 +18,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean, small_batches
+from .common import lean
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -283,7 +283,6 @@ def extracted(pages: DataFrame) -> DataFrame:
     Blocks stand one a line, white space in them is one space. Null or empty html, and pages
     without prose, have an empty text; null page_ids and urls stay null; repeated rows are kept.
     """
-    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

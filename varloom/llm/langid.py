@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, lean, located, small_batches, text_of, without, written
+from .common import batched, join_groups, lean, located, text_of, without, written
 
 #: Labelled texts that the model is fitted on, about; more are sampled down by a hash, to no fewer than this for a language.
 TRAIN_ROWS, LANGUAGE_ROWS = 20_000, 20
@@ -109,10 +109,11 @@ def fitted(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
             key, n = np.unique(np.concatenate(keys), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key // BUCKETS, pa.int32()), pa.array(key % BUCKETS, pa.int32()), pa.array(n, pa.int64())], ["lang", "bucket", "n"])
 
-    small_batches(spark)
     got = sample.mapInArrow(lean(run), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
-    for lang, bucket, n in got.collect():  # no more rows than the sample has trigrams
+    with batched(spark):
+        rows = got.collect()  # no more than the sample has trigrams
+    for lang, bucket, n in rows:
         counts[bucket, lang] = n
     return Model(languages, counts)
 
@@ -135,7 +136,6 @@ def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> Da
     model nothing is known: "und", and all rows are accepted.
     """
     spark = rows.sparkSession
-    small_batches(spark)
     keys = [c for c in rows.columns if c != "text"]
     if model is None:
         return rows.select(*keys, F.lit("und").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("n_trigrams"), F.lit(True).alias("accepted"))
@@ -220,7 +220,6 @@ def tables_identified(docs: DataFrame, pages: DataFrame, least: float = LEAST) -
 
 def accepted(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of docs that aren't rejected, whole."""
-    names = docs.columns
-    placed = located(docs.sparkSession, docs)
-    rows = documents_identified(placed, [F.xxhash64("__file").alias("__df"), F.col("__row").alias("__dr")], least)
-    return without(placed, rows.filter("not accepted").select("__df", "__dr")).select(*names)
+    placed, file, row = located(docs.sparkSession, docs)
+    rows = documents_identified(placed, [F.xxhash64(file).alias("f"), F.col(row).alias("row")], least)
+    return without(placed, file, row, rows.filter("not accepted").select("f", "row"))

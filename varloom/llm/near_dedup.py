@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, join_groups, lean, located, small_batches, without, written
+from .common import components, join_groups, lean, located, without, written
 
 #: Retained values and the least overlap of two sets similar enough: 32 draws at 0.8 give 11 or fewer in 1 of 10 million cases.
 K, OVERLAP = 32, 12
@@ -167,11 +167,10 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     return lists.join(first, "v").filter("cid <> b").select(F.col("cid").alias("a"), "b")
 
 
-def _decisions(placed: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def _decisions(placed: DataFrame, file: str, at: str, words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: doc_id, n, keep (struct of the row that stays: nul, doc_id, file, row), f, row."""
     spark = placed.sparkSession
-    small_batches(spark)
-    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("__file").alias("f"), F.col("__row").alias("row"), F.col("text").cast("string").cast("binary").alias("__bytes"))
+    slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(file).alias("f"), F.col(at).alias("row"), F.col("text").cast("string").cast("binary").alias("__bytes"))
     docs = written(spark, slim.mapInArrow(lean(_sketches(words)), "doc_id long, f long, row long, n long, digest binary, sketch array<long>"), "sketches")
     total = docs.count()
     who = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "f", "row")
@@ -218,14 +217,12 @@ def decisions(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     text has no shingles and is linked with nothing. A null doc_id counts as larger than all.
     Repeated rows are copies. No rows give no rows.
     """
-    rows = _decisions(located(docs.sparkSession, docs), words, percent)
+    rows = _decisions(*located(docs.sparkSession, docs), words, percent)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("keep.doc_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay, whole: one of each group of near-duplicates."""
-    names = docs.columns
     placed = located(docs.sparkSession, docs)
-    rows = _decisions(placed, words, percent)
-    dropped = rows.filter((F.col("keep.f") != F.col("f")) | (F.col("keep.row") != F.col("row")))
-    return without(placed, dropped.select(F.col("f").alias("__df"), F.col("row").alias("__dr"))).select(*names)
+    rows = _decisions(*placed, words, percent)
+    return without(*placed, rows.filter((F.col("keep.f") != F.col("f")) | (F.col("keep.row") != F.col("row"))).select("f", "row"))

@@ -2,8 +2,9 @@
 
 Each document's ids are cut into full windows; its remainder goes where the sum of the squared
 counts of partially filled windows, kept in a level array, becomes least. What stays open at the
-end of a task (or when too many are open) is joined by cutting, and the last rest is cut into
-sequences whose lengths are powers of two, which need no padding.
+end of a task is joined by cutting, and the last rest is cut into sequences whose lengths are
+powers of two, which need no padding. If too many are open, the fuller half is joined so; the
+others stay in the level array.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean, small_batches
-from .tokens import WordTokenizer, gathered
+from .common import lean
+from .tokens import gathered, shared_tokenizer
 
 WINDOW = 2048
-#: Windows open at most; beyond that all are joined. Bounds a task's memory.
+#: Windows open at most; beyond that the fuller half is joined. Bounds a task's memory.
 MOST_OPEN = 2048
 #: Words that a worker keeps the ids of.
 MOST_WORDS = 300_000
@@ -54,9 +55,8 @@ class SumOfSquares:
 
 def pack(docs: Iterator[tuple[int, bytes]], first_id: int, window: int = WINDOW, most_open: int = MOST_OPEN) -> Iterator[tuple]:
     """Pieces (doc_id, start, length, crc, doc_tokens, sequence_id, offset) of (doc_id, packed ids)."""
-    squares, level_of, next_id = SumOfSquares(window), {}, first_id
-    level_of = {}  # level -> open windows, each a list of (doc_id, start, raw, doc_tokens)
-    n_open = 0
+    squares, next_id, n_open = SumOfSquares(window), first_id, 0
+    level_of: dict[int, list] = {}  # level -> open windows, each a list of (doc_id, start, raw, doc_tokens)
 
     def row(piece: tuple, sequence: int, offset: int) -> tuple:
         doc_id, start, raw, total = piece
@@ -68,13 +68,13 @@ def pack(docs: Iterator[tuple[int, bytes]], first_id: int, window: int = WINDOW,
             yield row(p, sequence, offset)
             offset += len(p[2]) // 4
 
-    def flush() -> Iterator[tuple]:
-        """Join what is open by cutting: full windows, then powers of two."""
-        nonlocal next_id
-        pieces = [p for level in sorted(level_of, reverse=True) for w in level_of[level] for p in w]
+    def joined(windows: list[list], last: bool) -> Iterator[tuple]:
+        """Join windows by cutting: full ones; the rest is cut into powers of two if it is the last, else stays open."""
+        nonlocal next_id, n_open
+        pieces = [p for w in windows for p in w]
         left = sum(len(p[2]) // 4 for p in pieces)
         queue, at = iter(pieces), None
-        while left:
+        while left >= window or last and left:
             size = window if left >= window else 1 << (left.bit_length() - 1)
             offset = 0
             while offset < size:
@@ -86,6 +86,21 @@ def pack(docs: Iterator[tuple[int, bytes]], first_id: int, window: int = WINDOW,
                 offset += take
             left -= size
             next_id += 1
+        if left:
+            level_of.setdefault(left, []).append(([at] if at else []) + list(queue))
+            squares.counts[left] += 1
+            n_open += 1
+
+    def fullest(n: int) -> list[list]:
+        """Take the n fullest windows out of the array."""
+        nonlocal n_open
+        out: list[list] = []
+        for level in sorted(level_of, reverse=True):
+            while level_of[level] and len(out) < n:
+                out.append(level_of[level].pop())
+                squares.counts[level] -= 1
+        n_open -= len(out)
+        return out
 
     for doc_id, raw in docs:
         total = len(raw) // 4
@@ -107,9 +122,8 @@ def pack(docs: Iterator[tuple[int, bytes]], first_id: int, window: int = WINDOW,
         else:
             level_of.setdefault(level + size, []).append(pieces)
         if n_open > most_open:
-            yield from flush()
-            squares, level_of, n_open = SumOfSquares(window), {}, 0
-    yield from flush()
+            yield from joined(fullest(n_open // 2), False)
+    yield from joined(fullest(n_open), True)
 
 
 def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, window: int = WINDOW) -> DataFrame:
@@ -119,13 +133,12 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
     packed each. Other columns are left out. No rows give no rows. One pass over the input, with
     no shuffle: a task packs its own rows, so a retried task gives the same pieces.
     """
-    small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(vocabulary, MOST_WORDS)
+        tokenizer = shared_tokenizer(vocabulary, MOST_WORDS)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
         def docs_of() -> Iterator[tuple[int, bytes]]:

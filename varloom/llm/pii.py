@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, small_batches, written
+from .common import lean, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "email_text", "phone_local", "ssn", "iban", "name")
@@ -240,7 +240,6 @@ def found(docs: DataFrame, least: float = 0.5) -> DataFrame:
     empty. Null doc_ids and repeated rows are kept as they are; no rows give no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found array<struct<kind:int,s:long,e:long,code:int>>"
     scanned = written(spark, rows.mapInArrow(lean(_scan), schema), "pii")

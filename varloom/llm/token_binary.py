@@ -5,9 +5,11 @@ A shard is one blob, little-endian throughout:
     magic b"VLRP", version u32, n_docs u64, n_rules u32, n_symbols u64, first_symbol u32,
     start u64                            ids of all shards before it
     doc_id i64[n_docs], null u8[n_docs], n_tokens u64[n_docs], ends u64[n_docs]
-    rules u32[n_rules, 2], lengths u32[n_rules], symbols u16 or u32[n_symbols]
+    rules symbols[2 * n_rules], lengths u64[n_rules], symbols symbols[n_symbols]
 
-Ids from first_symbol on are nonterminals; rule r's expansion has lengths[r] ids. ends holds, for
+A symbol has as many bits as first_symbol + n_rules needs, 16 at least: a run of symbols is their
+low 16 bits as u16, then for each higher bit a plane of all their bits, eight in a byte. Symbols
+from first_symbol on are nonterminals; rule r's expansion has lengths[r] ids. ends holds, for
 each document, where its symbols end: nonterminals never reach over a document's end, so one
 document's ids are decoded from its own symbols. Blobs lie one a row in Parquet files, so that
 Spark's own commit protocol covers them on any store and a lost executor leaves no half shard.
@@ -24,101 +26,125 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, shared_dir, small_batches
-from .tokens import WordTokenizer, gathered
+from .common import batched, lean, shared_dir
+from .tokens import gathered, shared_tokenizer
 
-MAGIC, HEAD = b"VLRP", "<4sIQIQIQ"
-#: Ids of the vocabulary lie below this; nonterminals follow.
-FIRST_SYMBOL = 49_408
+MAGIC, VERSION, HEAD = b"VLRP", 2, "<4sIQIQIQ"
 #: Ids gathered for one shard; a longer document makes a longer shard.
 SHARD_IDS = 1_000_000
-#: Stands for a pair over a document's end; its sides are equal, so it is never chosen.
-NO_PAIR = np.uint32(0xFFFFFFFF)
-#: Words that a worker keeps the ids of.
-MOST_WORDS = 1_000_000
-#: A pair must occur so often to become a rule, and so many rounds are run at most.
-LEAST_COUNT, ROUNDS, RULES_A_ROUND = 24, 4, 2048
+#: A round takes pairs that occur at least this share as often as the most frequent one.
+SHARE = 0.02
+#: Bits of a number to sort by.
+KEY_BITS = 64
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first: int = FIRST_SYMBOL) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rules, expansion lengths, symbols and the documents' ends in them.
+def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that start at `at`, grouped: left and right of each, occurrences, and all positions group by group.
 
-    Each round counts all adjacent pairs and replaces, at once, the most frequent ones that cannot
-    overlap: no chosen pair's left symbol is another's right one. That equals replacing them one
-    after the other. Pairs over a document's end are not counted.
+    Of a run of equal ids every other position counts, so that occurrences don't overlap.
+    """
+    left, right = seq[at], seq[at + 1]
+    same = left == right
+    if same.any():
+        run, place = at[same], np.arange(int(same.sum()))
+        begins = np.concatenate(([True], run[1:] != run[:-1] + 1))
+        same[same] = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1
+        at, left, right = at[~same], left[~same], right[~same]
+    bits, places = most.bit_length(), len(seq).bit_length()
+    key = (left.astype(np.uint64) << np.uint64(bits)) | right
+    if 2 * bits + places <= KEY_BITS:  # pair and position in one number sort fastest
+        key = (key << np.uint64(places)) | at.astype(np.uint64)
+        key.sort()
+        at = (key & np.uint64((1 << places) - 1)).astype(np.int64)
+        key >>= np.uint64(places)
+    else:
+        by = np.argsort(key, kind="stable")
+        key, at = key[by], at[by]
+    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    first = key[edge]
+    return (first >> np.uint64(bits)).astype(np.int64), (first & np.uint64((1 << bits) - 1)).astype(np.int64), np.diff(np.append(edge, len(key))), at
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rules, expansion lengths, symbols and the documents' ends in them; all ids lie below first.
+
+    Re-Pair in rounds, until no pair of neighbours in a document occurs twice. A round counts all
+    pairs, occurrences that don't overlap, and ranks those that occur at least `share` as often as
+    the most frequent one (ties: lesser left, then right). A symbol takes the side that it has in
+    the first of them it is in; pairs both of whose symbols are on their sides can't overlap and are
+    replaced at once, but at most the first `most` of them: 1 makes it Re-Pair's own order. A pair of
+    equal ids is taken if it is the first that its symbol is in. Only pairs that occurred twice, or
+    have a new neighbour, are counted again: no other pair becomes more frequent.
     """
     rules: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
-    n_rules = 0
-    span = np.ones(first, np.uint32)
-    seq = ids.astype(np.uint32)
-    room = (1 << 16) - first  # symbols stay within 16 bits
-    for _ in range(ROUNDS):
-        if len(seq) < 2 or room <= 0:
-            break
-        over = ends[(ends > 0) & (ends < len(seq))] - 1  # where the next id is another document's
-        keys = (seq[:-1] << np.uint32(16)) | seq[1:]
-        keys[over] = NO_PAIR
-        counted = np.sort(keys)
-        edge = np.flatnonzero(np.concatenate(([True], counted[1:] != counted[:-1])))
-        counts = np.diff(np.append(edge, len(counted)))
-        often = np.flatnonzero(counts >= LEAST_COUNT)
-        if not len(often):
+    seq, ends = ids.astype(np.uint32), ends.astype(np.int64)
+    next_symbol, span = first, np.ones(first, np.uint64)
+    as_left = np.empty(first + len(seq) + 1, np.int64)
+    as_right = as_left.copy()
+    live = np.ones(len(seq), bool)
+    while True:
+        live[ends[ends > 0] - 1] = False
+        at = np.flatnonzero(live)
+        if not len(at):
             break
-        order = often[np.lexsort((counted[edge[often]], -counts[often]))][: 2 * RULES_A_ROUND]
-        sides_of = bytearray(1 << 16)  # 1: left of a chosen pair, 2: right of one
-        chosen: list[int] = []
-        for key in counted[edge[order]].tolist():
-            left, right = key >> 16, key & 0xFFFF
-            if left != right and sides_of[left] != 2 and sides_of[right] != 1:
-                sides_of[left], sides_of[right] = 1, 2
-                chosen.append(key)
-                if len(chosen) >= min(RULES_A_ROUND, room):
-                    break
-        if not chosen:
+        equal = at[seq[at] == seq[at + 1]]
+        left, right, count, places = _counted(seq, at, first + len(ids))
+        top = int(count.max())
+        if top < 2:
             break
-        side = np.frombuffer(sides_of, np.uint8)
-        pairs = np.array(chosen, np.uint32)
-        lefts, rights = np.unique(pairs >> 16), np.unique(pairs & 0xFFFF)
-        place = np.zeros((2, 1 << 16), np.int32)
-        place[0, lefts], place[1, rights] = np.arange(len(lefts)), np.arange(len(rights))
-        rule_of = np.full(len(lefts) * len(rights), -1, np.int16)
-        rule_of[place[0, pairs >> 16] * len(rights) + place[1, pairs & 0xFFFF]] = np.arange(len(pairs))
-        sides = side[seq]
-        fits = (sides[:-1] == 1) & (sides[1:] == 2)
-        fits[over] = False
-        at = np.flatnonzero(fits)
-        rule = rule_of[place[0, seq[at]] * len(rights) + place[1, seq[at + 1]]]
-        at, rule = at[rule >= 0], rule[rule >= 0].astype(np.uint32)
-        seq[at] = first + n_rules + rule
+        often = np.flatnonzero(count >= max(2, share * top))
+        often = often[np.argsort(-count[often], kind="stable")]
+        a, b, rank = left[often], right[often], np.arange(len(often))
+        as_left[a] = as_right[a] = as_left[b] = as_right[b] = len(often)
+        as_left[a[::-1]], as_right[b[::-1]] = rank[::-1], rank[::-1]
+        twin = a == b
+        fits = np.where(twin, (as_left[a] == rank) & (as_right[a] == rank), (as_left[a] < as_right[a]) & (as_right[b] < as_left[b]))
+        chosen = often[np.flatnonzero(fits)[:most]]
+        n, starts = count[chosen], np.cumsum(count) - count
+        upto = np.cumsum(n)
+        hits = places[np.repeat(starts[chosen] - (upto - n), n) + np.arange(upto[-1])]
+        live[places[np.repeat(count < 2, count)]] = False
+        live[equal] = True  # which of a run's positions count may change
+        seq[hits] = np.repeat(np.arange(next_symbol, next_symbol + len(chosen), dtype=np.uint32), n)
+        live[hits] = True
+        live[hits[hits > 0] - 1] = True
         keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        ends = ends - np.searchsorted(at + 1, ends)
-        seq = seq[keep]
-        parts = np.stack([pairs >> 16, pairs & 0xFFFF], 1)
-        rules.append(parts)
-        lengths.append(span[parts].sum(1, dtype=np.uint32))
+        keep[hits + 1] = False
+        ends = ends - np.searchsorted(np.sort(hits) + 1, ends)
+        seq, live = seq[keep], live[keep]
+        pairs = np.stack([left[chosen], right[chosen]], 1)
+        rules.append(pairs)
+        lengths.append(span[pairs].sum(1))
         span = np.concatenate([span, lengths[-1]])
-        n_rules += len(pairs)
-        room -= len(pairs)
-    none = np.zeros(0, np.uint32)
-    return (np.concatenate(rules) if rules else none.reshape(0, 2)), (np.concatenate(lengths) if lengths else none), seq, ends
+        next_symbol += len(chosen)
+    none = np.zeros((0, 2), np.int64)
+    return np.concatenate([none, *rules]), np.concatenate([none[:, 0].astype(np.uint64), *lengths]), seq, ends
+
+
+def packed_symbols(values: np.ndarray, bits: int) -> bytes:
+    planes = [np.packbits((values >> k & 1).astype(np.uint8)).tobytes() for k in range(16, bits)]
+    return b"".join([(values & 0xFFFF).astype("<u2").tobytes(), *planes])
+
 
+def bits_of(first: int, n_rules: int) -> int:
+    return max(16, (first + n_rules - 1).bit_length())
 
-def encode_shard(doc_ids: list, counts: np.ndarray, ids: np.ndarray, start: int = 0, first: int = FIRST_SYMBOL) -> bytes:
-    """The blob of documents whose ids follow each other in ids."""
+
+def encode_shard(doc_ids: list, counts: np.ndarray, ids: np.ndarray, start: int, first: int) -> bytes:
+    """The blob of documents whose ids, all below first, follow each other in ids."""
     rules, lengths, symbols, ends = compress(ids, np.cumsum(counts), first)
-    null = np.array([d is None for d in doc_ids], np.uint8)
+    bits = bits_of(first, len(rules))
     return b"".join(
         [
-            struct.pack(HEAD, MAGIC, 1, len(doc_ids), len(rules), len(symbols), first, start),
+            struct.pack(HEAD, MAGIC, VERSION, len(doc_ids), len(rules), len(symbols), first, start),
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-            null.tobytes(),
+            np.array([d is None for d in doc_ids], np.uint8).tobytes(),
             counts.astype("<u8").tobytes(),
             ends.astype("<u8").tobytes(),
-            rules.astype("<u4").tobytes(),
-            lengths.astype("<u4").tobytes(),
-            symbols.astype("<u2").tobytes(),
+            packed_symbols(rules.ravel(), bits),
+            lengths.astype("<u8").tobytes(),
+            packed_symbols(symbols, bits),
         ]
     )
 
@@ -127,9 +153,10 @@ class Shard:
     """A blob's reader; ids(i) decodes document i alone, all() every document."""
 
     def __init__(self, blob: bytes):
-        magic, version, n, n_rules, n_symbols, self.first, self.start = struct.unpack_from(HEAD, blob)
-        if magic != MAGIC or version != 1:
+        magic, version, n, n_rules, self.n_symbols, self.first, self.start = struct.unpack_from(HEAD, blob)
+        if magic != MAGIC or version != VERSION:
             raise ValueError("not a shard of this format")
+        self.blob, self.bits = blob, bits_of(self.first, n_rules)
         at = struct.calcsize(HEAD)
 
         def take(kind: str, count: int) -> np.ndarray:
@@ -141,42 +168,47 @@ class Shard:
         values, null = take("<i8", n), take("u1", n)
         self.doc_ids = [None if z else v for v, z in zip(values.tolist(), null.tolist())]
         self.counts, self.ends = take("<u8", n).astype(np.int64), take("<u8", n).astype(np.int64)
-        self.rules, self.lengths = take("<u4", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
-        self.symbols = take("<u2", n_symbols)
-        span = np.concatenate([np.ones(self.first, np.int64), self.lengths.astype(np.int64)])
-        self.at = np.concatenate([[0], np.cumsum(span[self.first :])])
-        flat = np.empty(self.at[-1], np.uint32)
-        for r, (a, b) in enumerate(self.rules.tolist()):  # a rule's parts are older rules or ids
-            x = self.at[r]
-            for part in (a, b):
-                y = part - self.first
-                piece = flat[self.at[y] : self.at[y + 1]] if y >= 0 else part
-                m = self.at[y + 1] - self.at[y] if y >= 0 else 1
-                flat[x : x + m] = piece
-                x += m
-        self.flat, self.span = flat, span
+        self.rules = self._symbols(at, 2 * n_rules, 0, 2 * n_rules).reshape(-1, 2)
+        at += 4 * n_rules + (self.bits - 16) * -(-2 * n_rules // 8)
+        self.lengths = take("<u8", n_rules).astype(np.int64)
+        self.at = at
+
+    def _symbols(self, at: int, count: int, start: int, end: int) -> np.ndarray:
+        """Symbols start to end of the count that lie packed from byte at on."""
+        out = np.frombuffer(self.blob, "<u2", end - start, at + 2 * start).astype(np.int64)
+        at, lo, hi = at + 2 * count, start // 8, -(-end // 8)
+        for k in range(16, self.bits):
+            plane = np.unpackbits(np.frombuffer(self.blob, np.uint8, hi - lo, at + lo))
+            out |= plane[start - 8 * lo : end - 8 * lo].astype(np.int64) << k
+            at += -(-count // 8)
+        return out
+
+    def symbols(self, start: int, end: int) -> np.ndarray:
+        return self._symbols(self.at, self.n_symbols, start, end)
+
+    def span(self, symbols: np.ndarray) -> np.ndarray:
+        out = np.ones(len(symbols), np.int64)
+        some = symbols >= self.first
+        out[some] = self.lengths[symbols[some] - self.first]
+        return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        symbols = symbols.astype(np.int64)
-        ends = np.cumsum(self.span[symbols])
-        starts = ends - self.span[symbols]
-        out = np.empty(ends[-1] if len(ends) else 0, np.uint32)
-        plain = symbols < self.first
-        out[starts[plain]] = symbols[plain]
-        starts, rules = starts[~plain], symbols[~plain] - self.first
-        lengths = self.lengths[rules]
-        for n in np.unique(lengths).tolist():  # all rules of a length at once
-            some = lengths == n
-            to, of = starts[some], self.at[rules[some]]
-            for j in range(n):
-                out[to + j] = self.flat[of + j]
+        """All nonterminals one level down at a time, each at its place in the ids."""
+        size = self.span(symbols)
+        place = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.uint32)
+        while len(symbols):
+            plain = symbols < self.first
+            out[place[plain]] = symbols[plain]
+            pair, place = self.rules[symbols[~plain] - self.first], place[~plain]
+            symbols, place = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([place, place + self.span(pair[:, 0])])
         return out
 
     def ids(self, i: int) -> np.ndarray:
-        return self.expand(self.symbols[(self.ends[i - 1] if i else 0) : self.ends[i]])
+        return self.expand(self.symbols(int(self.ends[i - 1]) if i else 0, int(self.ends[i])))
 
     def all(self) -> Iterator[tuple[int | None, np.ndarray]]:
-        ids, ends = self.expand(self.symbols), np.cumsum(self.counts)
+        ids, ends = self.expand(self.symbols(0, self.n_symbols)), np.cumsum(self.counts)
         for doc_id, n, end in zip(self.doc_ids, self.counts.tolist(), ends.tolist()):
             yield doc_id, ids[end - n : end]
 
@@ -188,13 +220,13 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     are kept. No rows make no shard. Rows are dealt to tasks by ranges of doc_id.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, task, seq = WordTokenizer(vocabulary, MOST_WORDS), TaskContext.get().partitionId(), 0
+        tokenizer, task, seq = shared_tokenizer(vocabulary), TaskContext.get().partitionId(), 0
+        first = max(tokenizer.n_ids, end_id + 1)
         ids: list = []
         raws: list[bytes] = []
         size = total = 0
@@ -202,7 +234,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         def shard() -> pa.RecordBatch:
             nonlocal seq, size, total
             counts = np.array([len(r) // 4 for r in raws], np.int64)
-            blob = encode_shard(ids, counts, np.frombuffer(b"".join(raws), "<u4"), total)
+            blob = encode_shard(ids, counts, np.frombuffer(b"".join(raws), "<u4"), total, first)
             out = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((task, pa.int32()), (seq, pa.int32()), (int(counts.sum()), pa.int64()), (blob, pa.binary()))], ["task", "seq", "n_ids", "blob"])
             seq, total = seq + 1, total + int(counts.sum())
             ids.clear()
@@ -222,7 +254,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").asc_nulls_first())
-    dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(lean(run, blocks=False), "task int, seq int, n_ids long, blob binary").write.parquet(path)
+    with batched(spark):
+        dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(lean(run, blocks=False), "task int, seq int, n_ids long, blob binary").write.parquet(path)
 
 
 def read_shards(spark, path: str) -> DataFrame:
@@ -247,7 +280,6 @@ def read_shards(spark, path: str) -> DataFrame:
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     return shards.select("task", "blob").mapInArrow(lean(run, blocks=False), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

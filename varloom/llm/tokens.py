@@ -1,11 +1,13 @@
 """Token ids of whole texts by a public vocabulary, with a bounded cache of words.
 
 The vocabulary drops white space and never merges over it, so a text's ids are those of its
-white-space separated words. Words repeat; each worker keeps the packed ids of those it has met.
+white-space separated words. Words repeat; a worker keeps the packed ids of those it has met, for
+its later tasks too.
 """
 
 from __future__ import annotations
 
+import functools
 from array import array
 from collections.abc import Iterator
 
@@ -13,13 +15,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept by a worker; beyond that the cache starts anew.
+#: Pieces of words kept by a worker: those met lately, in two generations of half of these each.
 MOST_WORDS = 600_000
-MOST_CHARS = 16_000_000
 #: The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, the others from U+0100 on.
 PRINTABLE = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
-BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+BYTE_LETTERS = [chr(b) if b in PRINTABLE else "" for b in range(256)]
+for i, b in enumerate(b for b in range(256) if b not in PRINTABLE):
+    BYTE_LETTERS[b] = chr(256 + i)
 TAILS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The letters up to U+00FF.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -50,58 +55,77 @@ class WordTokenizer:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenize = self.tokenizer.model.tokenize
         self.most_words = most_words or MOST_WORDS
-        self.cache: dict[str, bytes] = {}
-        self.chars = 0
-
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]) -> None:
-        """Letters up to U+00FF are one piece, are normalised already and have plain lower case: for
-        them the model alone does. So are punctuation marks behind them, without the apostrophe."""
-        if len(self.cache) > self.most_words or self.chars > MOST_CHARS:
-            self.cache, self.chars = {}, 0
-        cache, tokenize, rest = self.cache, self.tokenize, []
-        for word in words:
-            core = word.rstrip(TAILS)
-            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
-                ids = cache.get(core)
-                if ids is None:
-                    low = core.lower()
-                    if not low.isascii():
-                        low = low.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    ids = cache[core] = array("I", [x.id for x in tokenize(low)]).tobytes()
-                if len(core) < len(word):
-                    tail = word[len(core) :]
-                    if tail not in cache:
-                        cache[tail] = self._direct([tail])[0]
-                    cache[word] = ids + cache[tail]
-            else:
-                rest.append(word)
-        cache.update(zip(rest, self._direct(rest)))
-        self.chars += sum(map(len, words))
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        #: All ids lie below this.
+        self.n_ids = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+
+    def _plain(self, word: str) -> bytes:
+        """Lower-case letters up to U+00FF are one piece and are normalised already: the model alone does."""
+        if not word.isascii():
+            word = "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
+        return array("I", [x.id for x in self.tokenize(word)]).tobytes()
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _known(self, words: list[str], plain: bool) -> list[bytes]:
+        young, old = self.young, self.old
+        got = list(map(young.get, words))
+        missed = [i for i, x in enumerate(got) if x is None]
+        if missed:
+            for i in missed:
+                got[i] = old.get(words[i])
+            new = [i for i in missed if got[i] is None]
+            for i, ids in zip(new, map(self._plain, [words[i] for i in new]) if plain else self._whole([words[i] for i in new])):
+                got[i] = ids
+            young.update((words[i], got[i]) for i in missed if len(words[i]) < 100)
+            if len(young) > self.most_words // 2:
+                self.young, self.old = {}, young
+        return got
 
     def ids(self, texts: pa.Array | list) -> list[bytes]:
-        """Words are split and told apart by Arrow; each different one of a batch is looked up once."""
+        """Words are split and told apart by Arrow; each different piece of a batch is looked up once.
+
+        A word of LETTERS with TAILS behind (no apostrophe among them) is two pieces, of which the
+        first is lowered; the piece of any other word is the word itself.
+        """
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
         if not len(coded):
             return [b""] * len(texts)
-        words = coded.dictionary.to_pylist()
-        got = list(map(self.cache.get, words))
-        if None in got:
-            missed = [i for i, x in enumerate(got) if x is None]
-            self.learn([words[i] for i in missed])
-            for i in missed:
-                got[i] = self.cache[words[i]]
+        words = coded.dictionary
+        core = pc.utf8_rtrim(words, characters=TAILS)
+        simple = pc.match_substring_regex(core, f"^[{LETTERS}]+$")
+        low = pc.utf8_lower(core.filter(simple)).dictionary_encode()
+        tail = pc.utf8_ltrim(words.filter(simple), characters=LETTERS).dictionary_encode()
+        other = words.filter(pc.invert(simple))
+        got = self._known(low.dictionary.to_pylist(), True)
+        n_low = len(got)
+        got += self._known(tail.dictionary.to_pylist(), False)
+        n_tail = len(got)
+        got += self._known(other.to_pylist(), False)
+        got.append(b"")
+        # two pieces a word: of a simple one its letters and what follows them, of another itself and nothing
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        pieces = np.full((len(words), 2), len(got) - 1, np.int64)
+        pieces[is_simple, 0] = low.indices.to_numpy()
+        pieces[is_simple, 1] = tail.indices.to_numpy() + n_low
+        pieces[~is_simple, 0] = np.arange(n_tail, len(got) - 1)
         ends = np.cumsum([0, *map(len, got)], dtype=np.int64) // 4
         lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.uint32)))
-        taken = lists.take(coded.indices)
+        parts = lists.take(pa.array(pieces.ravel()))
+        taken = pa.LargeListArray.from_arrays(parts.offsets.take(pa.array(np.arange(0, 2 * len(words) + 1, 2))), parts.values).take(coded.indices)
         raw = memoryview(np.ascontiguousarray(taken.flatten().to_numpy())).cast("B")
         at = (taken.offsets.to_numpy()[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
         return [bytes(raw[x:y]) for x, y in zip(at, at[1:])]
+
+
+@functools.lru_cache(maxsize=1)
+def shared_tokenizer(path: str | None = None, most_words: int | None = None) -> WordTokenizer:
+    """This process's tokenizer; its words serve later tasks."""
+    return WordTokenizer(path, most_words)

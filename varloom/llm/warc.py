@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, lean, located, shared_dir, small_batches, written
+from .common import join_groups, lean, located, shared_dir, written
 
 #: Records in a file at most.
 MOST_RECORDS = 3_000
@@ -94,7 +94,6 @@ def opened(content: bytes) -> bytes:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write (rid, page_id, url, html, first_rid, first_page) as WARC files under path."""
-    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,7 +110,6 @@ def read_records(spark: SparkSession, path: str, blocks: bool = False) -> DataFr
     payload_bytes and payload_digest are computed from the block for responses and read from the
     header for others; blocks: also return the block.
     """
-    small_batches(spark, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,9 +169,8 @@ def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     (of rows that repeat it, one). Null html is an empty payload; null page_ids count as smallest.
     """
     spark = pages.sparkSession
-    small_batches(spark)
-    placed = located(spark, pages)
-    rid = F.concat_ws("-", F.xxhash64("__file"), "__row")
+    placed, file, row = located(spark, pages)
+    rid = F.concat_ws("-", F.xxhash64(file), row)
     slim = placed.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html"), rid.alias("rid"))
     keys = written(spark, slim.select("page_id", "rid", F.sha2("html", 256).alias("key"), F.octet_length("html").alias("size")), "payloads")
     who = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "rid")
