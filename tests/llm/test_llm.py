@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -393,7 +394,7 @@ def test_class_names_that_only_hold_a_noise_word():
     """A wrapper round the article isn't noise, nor is prose whose name has such a word; whole noise names stay noise."""
     prose = "<h1>T</h1><p>Some words of an article, enough of them.</p>"
     text = "T\nSome words of an article, enough of them."
-    for around in ('class="content-with-sidebar"', 'class="no-sidebar"', 'class="elementor-widget"', 'id="has-header"', 'class="widget"'):
+    for around in ('class="layout no-sidebar"', 'id="page-with-sidebar"', 'class="social-science-article"', 'class="sidebar"', 'class="content-with-sidebar"', 'class="no-sidebar"', 'class="elementor-widget"', 'id="has-header"', 'class="widget"'):
         assert html_extract.main_text(f"<body><div {around}><article>{prose}</article></div></body>") == text, around
         assert html_extract.main_text(f"<body><div {around}>{prose}</div></body>") == text, around
     inside = '<section id="discussion"><p>We discuss.</p></section><h2 id="related-work">Related work</h2><p id="social-impact">An impact.</p>'
@@ -409,6 +410,108 @@ def test_density_without_article():
     assert html_extract.main_text(page) == ("Plain words of an article. " * 9).strip() + "\n" + ("And some more of them here. " * 7).strip()
 
 
+def test_nothing_of_the_chosen_subtree_is_dropped():
+    """A reference list is part of an article; on a page without containers a list of links is a menu."""
+    links = "".join(f"<li><a href={i}>Reference number {i}</a></li>" for i in range(5))
+    prose = "<h1>T</h1><p>" + "Some words of an article. " * 9 + "</p><p>" + "More words of the article. " * 8 + "</p>"
+    for e in ("article", "div", "section"):
+        assert html_extract.main_text(f"<body><{e}>{prose}<ul>{links}</ul></{e}></body>").endswith("\nReference number 4"), e
+    assert "Reference" not in html_extract.main_text(f"<body><ul>{links}</ul>{prose}</body>")
+
+
+class Tree(HTMLParser):
+    """Nested [tag, children] of a page whose elements are all closed; void elements are left out."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.open = [["#root", []]]
+        self.feed(html)
+        self.root = self.open[0]
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in html_extract.VOID:
+            self.open[-1][1].append([tag, []])
+            self.open.append(self.open[-1][1][-1])
+
+    def handle_endtag(self, tag):
+        assert self.open.pop()[0] == tag
+
+    def handle_data(self, data):
+        self.open[-1][1].append(data)
+
+
+def plain_main_text(html):
+    """Composite text density by recursion over the tree, as the module states it; without links in lists."""
+    import math
+
+    flat = lambda e: [e] if isinstance(e, str) else [x for c in e[1] for x in flat(c)]
+    size = lambda e: sum(len(x.replace(" ", "").replace("\n", "")) for x in flat(e))
+    is_node = lambda e: e[0] in html_extract.BLOCKS or e[0] in ("#root", "html", "a")
+    elements = lambda e: [x for c in e[1] if not isinstance(c, str) for x in (c, *elements(c))]
+    children = lambda e: [x for c in e[1] if not isinstance(c, str) for x in ([c] if is_node(c) else children(c))]
+    links = lambda e: [x for c in e[1] if not isinstance(c, str) for x in ([c] if c[0] == "a" else links(c))]
+    root = Tree(html).root
+    body = next((x for x in elements(root) if x[0] == "body"), root)
+    share = sum(map(size, links(body))) / max(1, size(body))
+
+    def density(e):
+        c, t, lt = size(e), max(1, sum(map(is_node, elements(e)))), max(1, sum(x[0] == "a" for x in elements(e)))
+        linked = c if e[0] == "a" else sum(map(size, links(e)))
+        lc = max(1, linked)
+        if not c:
+            return 0.0
+        base = c / max(1, c - linked) * lc + share * c + math.e
+        return max(0.0, c / t * math.log(max(1.0, c / lc * t / lt)) / math.log(max(math.log(base), 1.001)))
+
+    nodes = [root, *filter(is_node, elements(root))]
+    total = {id(e): sum(map(density, children(e))) for e in nodes}
+    best = max(nodes, key=lambda e: total[id(e)])  # the first, so the outermost, of equal ones
+    if not total[id(best)]:
+        best = body
+
+    def text(e):
+        out = [""]
+        for c in e[1]:
+            if isinstance(c, str):
+                out[-1] += c
+            else:
+                inner = text(c)
+                out = out[:-1] + [out[-1] + inner[0], *inner[1:]] if c[0] not in html_extract.BLOCKS else [*out, *inner, ""]
+        return out
+
+    return "\n".join(x for x in (" ".join(b.split()) for b in text(best)) if x)
+
+
+def random_page(r):
+    def inline(depth):
+        out = " ".join("".join(r.choices("abcdefg", k=r.randint(1, 9))) for _ in range(r.randint(0, 14)))
+        tag = r.choice(["b", "span", "a", "i"])
+        return out if depth > 2 or r.random() < 0.6 else f"{out} <{tag}>{inline(depth + 1)}</{tag}> {inline(depth + 1)}"
+
+    def block(depth):
+        if depth > 3 or r.random() < 0.3:
+            return f"<p>{inline(0)}</p>"
+        tag = r.choice(["div", "section", "div", "blockquote"])
+        return f"<{tag}>" + "".join(block(depth + 1) if r.random() < 0.8 else inline(1) for _ in range(r.randint(0, 5))) + f"</{tag}>"
+
+    return "<html><body>" + "".join(block(0) for _ in range(r.randint(1, 5))) + "</body></html>"
+
+
+def test_density_equals_brute_force(db):
+    r = random.Random(12)
+    for _ in range(300):
+        html = random_page(r)
+        if len(re.findall("<a>", html)) < html_extract.MENU_LINKS:
+            assert html_extract.main_text(html) == plain_main_text(html), html
+    for (html,) in db.sql("select html from pages").fetchall():
+        inner = re.sub(r"</?b>|<br>", " ", re.search("<article>(.*)</article>", html, re.S)[1])
+        parts = re.split("<(?=p>|h1>)", inner)
+        closed = "".join(x if not x.startswith(("p>", "h1>")) else "<" + (x if "</" in x else x + ("</p>" if x[0] == "p" else "</h1>")) for x in parts)
+        for name in ("article", "div"):
+            page = re.sub("article>", f"{name}>", html)
+            assert html_extract.main_text(page) == plain_main_text(f"<body><{name}>{closed}</{name}></body>")
+
+
 def test_pages(spark, db):
     got = {r.page_id: r for r in queries.op4_html_extract(spark, SMALL).collect()}
     from html import unescape
@@ -418,6 +521,7 @@ def test_pages(spark, db):
         blocks = [" ".join(unescape(re.sub("<[^>]+>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
         text = "\n".join(x for x in blocks if x)
         assert (got[page_id].text, got[page_id].n_chars, got[page_id].url) == (text, len(text), url)
+        assert html_extract.main_text(html.replace("article>", "div>")) == text  # density alone finds it
 
 
 # -- benchmark

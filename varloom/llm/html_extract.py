@@ -1,11 +1,14 @@
 """Main text of web pages by composite text density.
 
-For every DOM node the link-adjusted characters per tag are computed; a node's density sum adds
-those of its children. The node with the greatest density sum sets a threshold, the least density
-on the path from body to it; below every outermost node at or over the threshold, the subtree with
-the greatest density sum is main text, together with the article or main element around it.
-Elements that are no prose by their name, role or class (menus, page headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, reader comments) are taken out first, lists of mere links after.
+The nodes are a page's block elements and links; text-level elements (b, span, br) belong to the
+block they stand in. For every node the link-adjusted characters per tag are computed; a node's
+density sum adds those of its children. The node with the greatest density sum sets a threshold,
+the least density on the path from body to it; below every outermost node at or over the
+threshold, the subtree with the greatest density sum is main text, whole but for elements that
+are no prose. Those are taken out first: by their element, role or style (menus, page headers,
+footers, sidebars, forms, scripts, styles), and by whole class names (notices, adverts, reader
+comments and the like) unless they hold the page's main or article or, where it has none, the
+subtree of the greatest density sum. Lists of mere links are menus where body itself is chosen.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ OTHERS = frozenset("comment comments discussion disqus reply replies respond rel
 SPLIT = re.compile(r"[^a-z]+")
 #: A list or box of at least so many links that are at least this share of its characters is a menu.
 MENU_LINKS, MENU_SHARE = 3, 0.8
+MENUS = ("ul", "ol", "div", "section", "table", "dl")
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -106,24 +110,25 @@ class Page:
         return len(self.tag) - 1
 
     def _settle(self) -> None:
-        """Noise by class, but for what holds the page's prose: a main or article, or without one most characters that are no links."""
+        """Noise by class, but for what holds the page's main or article or, without these, its densest subtree."""
         n, tag, parent, noise, named = len(self.tag), self.tag, self.parent, self.noise, self.named
         if not any(named):
             return
-        size, link = [0] * n, [False] * n
-        for i in range(1, n):
-            link[i] = tag[i] == "a" or link[parent[i]]
-        for i, t in self.texts:
-            if i >= 0 and not noise[i] and not link[i]:
-                size[i] += len("".join(t.split()))
         main = [t == "main" and not x for t, x in zip(tag, noise)]
         article = [t == "article" and not x and not w for t, x, w in zip(tag, noise, named)]
         for i in range(n - 1, 0, -1):
             main[parent[i]] |= main[i]
             article[parent[i]] |= article[i]
-            size[parent[i]] += size[i]
+        if not (main[0] or article[0]):
+            others = noise[:]  # prose of others may be the densest
+            for i in range(1, n):
+                others[i] = others[i] or others[parent[i]] or bool(named[i] & OTHERS)
+            best = Densities(self, others).best
+            while best > 0:
+                article[best] = True
+                best = parent[best]
         for i in range(1, n):
-            held = main[i] or not named[i] & OTHERS and (article[i] or not (main[0] or article[0]) and 2 * size[i] > size[0])
+            held = main[i] or not named[i] & OTHERS and article[i]
             noise[i] = noise[i] or noise[parent[i]] or bool(named[i]) and tag[i] not in ("main", "article") and not held
 
     def _close(self, stack: list[int], tags: set[str], stop: set[str]) -> None:
@@ -198,12 +203,43 @@ class Page:
 
     def main_text(self) -> str:
         n, tag, parent, noise = len(self.tag), self.tag, self.parent, self.noise
+        d = Densities(self, noise)
+        if not d.chars[0]:
+            return ""
+        taken = d.chosen()
+        flat = {i for i in taken if tag[i] in ("#root", "html", "body")}
+        inside, menu = [False] * n, [False] * n
+        for i in range(n):
+            menu[i] = i > 0 and menu[parent[i]] or bool(flat) and i not in taken and tag[i] in MENUS and d.link_tags[i] >= MENU_LINKS and d.link_chars[i] >= MENU_SHARE * d.chars[i]
+            inside[i] = (i in taken or i > 0 and inside[parent[i]]) and not noise[i] and not menu[i]
+        blocks, now = [], []
+        for i, t in d.texts:
+            if i < 0:
+                blocks.append(now)
+                now = []
+            elif inside[i]:
+                now.append(t)
+        blocks.append(now)
+        return "\n".join(x for x in (" ".join("".join(b).split()) for b in blocks if b) if x)
+
+
+class Densities:
+    """Of a page without its noise: characters, tags, density and density sum of each node, and the nodes chosen by them."""
+
+    def __init__(self, page: Page, noise: list[bool]):
+        n, tag, parent = len(page.tag), page.tag, page.parent
+        self.tag, self.noise = tag, noise
+        node = [t in BLOCKS or t in ("#root", "html", "a") for t in tag]
+        self.node = [x and not z for x, z in zip(node, noise)]
+        #: The node that a node is a child of.
+        self.above = above = [-1] * n
         link = [False] * n
         for i in range(1, n):
             link[i] = tag[i] == "a" or link[parent[i]]
+            above[i] = parent[i] if node[parent[i]] else above[parent[i]]
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-        texts = [(i, unescape(t) if "&" in t else t) for i, t in self.texts if i < 0 or not noise[i]]
-        for i, t in texts:
+        self.texts = [(i, unescape(t) if "&" in t else t) for i, t in page.texts if i < 0 or not noise[i]]
+        for i, t in self.texts:
             if i >= 0:
                 k = len(t) - t.count(" ") - t.count("\n")
                 chars[i] += k
@@ -213,64 +249,45 @@ class Page:
             if not noise[i]:
                 p = parent[i]
                 chars[p] += chars[i]
-                tags[p] += tags[i] + 1
+                tags[p] += tags[i] + node[i]
                 link_chars[p] += link_chars[i]
                 link_tags[p] += link_tags[i] + (tag[i] == "a")
-        if not chars[0]:
-            return ""
-        body = next((i for i in range(n) if tag[i] == "body"), 0)
+        self.chars, self.link_chars, self.link_tags = chars, link_chars, link_tags
+        self.body = body = next((i for i in range(n) if tag[i] == "body"), 0)
         share = link_chars[body] / max(1, chars[body])
-
-        def density(i: int) -> float:
-            c, t, lc, lt = max(1, chars[i]), max(1, tags[i]), max(1, link_chars[i]), max(1, link_tags[i])
-            base = math.log(c / max(1, chars[i] - link_chars[i]) * lc + share * c + math.e)
-            return max(0.0, c / t * math.log(max(1.0, c / lc * t / lt)) / math.log(max(base, 1.001))) if chars[i] else 0.0
-
-        dense = [0.0 if noise[i] else density(i) for i in range(n)]
-        total = [0.0] * n
+        self.dense = [density(chars[i], tags[i], link_chars[i], link_tags[i], share) if x else 0.0 for i, x in enumerate(self.node)]
+        self.total = [0.0] * n
         for i in range(1, n):
-            if not noise[i]:
-                total[parent[i]] += dense[i]
-        best = max(range(n), key=lambda i: (total[i], -i))
-        if not total[best]:
-            best = body if chars[body] else 0
-        path, i = [dense[best]], best
-        while i != body and i > 0:
-            i = parent[i]
-            path.append(dense[i])
+            if self.node[i]:
+                self.total[above[i]] += self.dense[i]
+        self.best = max(range(n), key=lambda i: (self.total[i], -i))
+        if not self.total[self.best]:
+            self.best = body if chars[body] else 0
+
+    def chosen(self) -> set[int]:
+        """Of each outermost node at or over the threshold, the subtree of the greatest sum."""
+        path, i = [self.dense[self.best]], self.best
+        while i != self.body and i > 0:
+            i = self.above[i]
+            path.append(self.dense[i])
         threshold = min(path)
-        # the outermost nodes at or over the threshold, and in each the subtree of the greatest sum
-        top, chosen = [-1] * n, {}
-        for i in range(n):
-            above = top[parent[i]] if i else -1
-            top[i] = above if above >= 0 else (i if not noise[i] and chars[i] and dense[i] >= threshold else -1)
-            if top[i] >= 0 and not noise[i] and total[i] > total[chosen.setdefault(top[i], top[i])]:
-                chosen[top[i]] = i
-        taken = {self._lifted(i) for i in chosen.values()} if any(tag[i] in ("article", "main") and not noise[i] for i in range(n)) else set(chosen.values())
-        if any(tag[i] in ("article", "main") for i in taken):
-            taken = {i for i in taken if self._lifted(i) == self._lifted(best)} or taken
-        inside = [False] * n
-        for i in range(n):
-            menu = tag[i] in ("ul", "ol", "div", "section", "table", "dl") and link_tags[i] >= MENU_LINKS and link_chars[i] >= MENU_SHARE * chars[i] and i not in taken
-            inside[i] = (i in taken or i > 0 and inside[parent[i]]) and not noise[i] and not menu
-        blocks, now = [], []
-        for i, t in texts:
-            if i < 0:
-                blocks.append(now)
-                now = []
-            elif inside[i]:
-                now.append(t)
-        blocks.append(now)
-        return "\n".join(x for x in (" ".join("".join(b).split()) for b in blocks if b) if x)
+        top, out = [-1] * len(self.tag), {}
+        for i, x in enumerate(self.node):
+            if x:
+                above = top[self.above[i]] if i else -1
+                top[i] = above if above >= 0 else (i if self.chars[i] and self.dense[i] >= threshold else -1)
+                if top[i] >= 0 and self.total[i] > self.total[out.setdefault(top[i], top[i])]:
+                    out[top[i]] = i
+        return set(out.values())
+
 
-    def _lifted(self, i: int) -> int:
-        """The article or main element around a node, the innermost; else the node."""
-        j = i
-        while j > 0:
-            if self.tag[j] in ("article", "main"):
-                return j
-            j = self.parent[j]
-        return i
+def density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Composite text density: characters per tag, less the more of both are links; share: of the whole page's."""
+    if not chars:
+        return 0.0
+    c, t, lc, lt = chars, max(1, tags), max(1, link_chars), max(1, link_tags)
+    base = math.log(c / max(1, chars - link_chars) * lc + share * c + math.e)
+    return max(0.0, c / t * math.log(max(1.0, c / lc * t / lt)) / math.log(max(base, 1.001)))
 
 
 def main_text(html: str | None) -> str:
