@@ -564,6 +564,37 @@ def test_decontaminate_edits():
             assert (k in found) == (edits_in(other, decontaminate.normal(text)) <= index.edits[j])
 
 
+def test_decontaminate_in_slices(monkeypatch):
+    """Texts with more shared q-grams than are listed at once give the same regions; templates and runs among them."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choices("abc", k=r.randint(1, 5)))
+    opening = " ".join(word() for _ in range(12))
+    items = [(i, opening + " " + " ".join(word() for _ in range(r.randint(2, 20)))) for i in range(60)] + [(90, "a" * 70), (91, "ab" * 40)]
+    texts = [items[r.randrange(60)][1] + " x " + items[r.randrange(60)][1][5:] for _ in range(8)] + ["a" * 300 + "ab" * 100, "", "b"]
+    index = decontaminate.Index(items)
+    normals = [decontaminate.normal(t) for t in texts]
+    whole, found = sorted(index.regions(normals)), list(decontaminate.matches(index, texts))
+    assert len(found) > 10
+    for most in (1, 50, 3000):
+        monkeypatch.setattr(decontaminate, "MOST_SHARED", most)
+        assert sorted(index.regions(normals)) == whole and sorted(decontaminate.matches(index, texts)) == sorted(found)
+
+
+def test_decontaminate_templates_in_bounded_memory():
+    """3,000 items of the same opening against a text that holds it over and over."""
+    import tracemalloc
+
+    opening = "Read this and choose one answer: "
+    items = [(i, opening + " ".join(str((i + 1) * k) for k in (1299709, 15485863, 179424673, 2038074743, 22801763489, 252097800623, 2760727302517))) for i in range(3000)]
+    index = decontaminate.Index(items)
+    text = opening * 70 + items[17][1] + " " + opening * 4
+    tracemalloc.start()
+    found = [m[1] for m in decontaminate.matches(index, [text])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 17 in found and peak < 200e6
+
+
 def test_decontaminate_edges(spark, docs):
     bench = spark.createDataFrame([(1, "two three four five"), (2, None), (3, ""), (4, "one"), (None, "One two  three four FIVE.")], "item_id long, text string")
     got = decontaminate.contaminated(docs, bench).collect()

@@ -12,6 +12,7 @@ broadcast in turn against all documents. Documents aren't shuffled.
 
 from __future__ import annotations
 
+import itertools
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -30,6 +31,10 @@ EDIT_RATE = 0.06
 BLOCK_CHARS = 4_000_000
 #: Hash bits of the first test of a q-gram, and characters of text tested at once.
 FILTER_BITS, TEXT_CHARS = 20, 1_000_000
+#: Shared q-grams listed at once.
+MOST_SHARED = 400_000
+#: Regions aligned at once.
+MOST_ALIGNED = 512
 
 WORD = re.compile(r"\S+")
 
@@ -80,7 +85,11 @@ class Index:
         self.maybe[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
     def regions(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, first diagonal, last diagonal) of the bands that reach the bound; texts are normal."""
+        """(text, item, first diagonal, last diagonal) of the bands that reach the bound; texts are normal.
+
+        Shared q-grams are counted before they are listed: texts go together as long as all theirs
+        are at most MOST_SHARED; a text that alone has more is counted in slices of so many.
+        """
         if not len(self.hashes):
             return
         starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
@@ -89,14 +98,23 @@ class Index:
         lo = np.searchsorted(self.hashes, h[at], "left")
         n = np.searchsorted(self.hashes, h[at], "right") - lo
         at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        if not len(at):
-            return
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        pos = np.repeat(at, n)
-        text = np.searchsorted(starts, pos, "right") - 1
-        item = self.item[entry]
-        diagonal = pos - starts[text] - self.place[entry]
-        band = diagonal // self.half[item]
+        text = np.searchsorted(starts, at, "right") - 1
+        edge = np.searchsorted(text, np.arange(len(texts) + 1))
+        upto = np.concatenate([[0], np.cumsum(n)])
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(upto[edge], upto[edge[first]] + MOST_SHARED, "right")) - 1)
+            some = slice(edge[first], edge[last])
+            if upto[edge[last]] - upto[edge[first]] > MOST_SHARED:
+                yield from self._of_one(first, h[at[some]], at[some] - starts[first], lo[some], n[some])
+            elif some.start < some.stop:
+                yield from self._of_all(text[some], at[some] - starts[text[some]], lo[some], n[some])
+            first = last
+
+    def _of_all(self, text: np.ndarray, place: np.ndarray, lo: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        entry = listed(lo, n)
+        text, item = np.repeat(text, n), self.item[entry]
+        band = (np.repeat(place, n) - self.place[entry]) // self.half[item]
         key = np.stack([np.concatenate([text, text]), np.concatenate([item, item]), np.concatenate([band, band - 1])])
         by = np.lexsort(key[::-1])
         key = key[:, by]
@@ -106,42 +124,102 @@ class Index:
         for t, i, b in key[:, count >= self.least[key[1]]].T.tolist():
             yield t, i, b * int(self.half[i]), (b + 2) * int(self.half[i]) - 1
 
+    def _of_one(self, text: int, h: np.ndarray, place: np.ndarray, lo: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Items with enough shared q-grams in all, then each one's bands."""
+        counts = np.zeros(len(self.items), np.int64)
+        for some in slices(n):
+            counts += np.bincount(self.item[listed(lo[some], n[some])], minlength=len(self.items))
+        for i in np.flatnonzero(counts >= self.least).tolist():
+            mine = np.sort(own := grams(codes(self.items[i][1])))
+            order, half = np.argsort(own, kind="stable"), int(self.half[i])
+            a = np.searchsorted(mine, h, "left")
+            m = np.searchsorted(mine, h, "right") - a
+            hits, a, m = place[m > 0], a[m > 0], m[m > 0]
+            least = -(len(own) // half) - 2
+            bands = np.zeros(int(hits[-1]) // half - least + 3, np.int64)
+            for some in slices(m):
+                band = (np.repeat(hits[some], m[some]) - order[listed(a[some], m[some])]) // half - least
+                bands += np.bincount(band, minlength=len(bands))
+            bands[:-1] += bands[1:].copy()  # band b holds b and b + 1
+            for b in (np.flatnonzero(bands >= self.least[i]) + least).tolist():
+                yield text, i, b * half, (b + 2) * half - 1
+
+
+def listed(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... n[0] of them, then those from lo[1] on."""
+    upto = np.cumsum(n)
+    return np.repeat(lo - (upto - n), n) + np.arange(int(upto[-1]) if len(n) else 0)
+
+
+def slices(n: np.ndarray, most: int | None = None) -> Iterator[slice]:
+    """Slices of n whose sums are at most `most`, or of one element."""
+    most = most or MOST_SHARED
+    upto, at = np.concatenate([[0], np.cumsum(n)]), 0
+    while at < len(n):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
+        yield slice(at, end)
+        at = end
+
+
+def aligned(cases: list[tuple[str, str, int, int, int]]) -> list[tuple[int, int, int] | None]:
+    """For each (item, text, first, last, most): (start, end, edits) of the best place of item in text
+    within diagonals first..last, if it takes at most `most` edits."""
+    out: list[tuple[int, int, int] | None] = [None] * len(cases)
+    rest = []
+    for k, (item, text, first, last, most) in enumerate(cases):
+        lo, hi = max(0, first - most), min(len(text), last + len(item) + most)
+        at = text.find(item, lo, hi)
+        if at >= 0:
+            out[k] = at, at + len(item), 0
+        elif most:
+            rest.append((k, lo, hi))
+    pairs = [(cases[k][0], cases[k][1][lo:hi], cases[k][2] - cases[k][4] - lo, cases[k][3] + cases[k][4] - lo, cases[k][4]) for k, lo, hi in rest]
+    for (k, lo, _), end in zip(rest, _ends(pairs)):
+        if end is not None:
+            item, text, _, _, most = cases[k]
+            stop, edits = end
+            part = text[max(lo, lo + stop - len(item) - most) : lo + stop]
+            # from the end backwards: the item reversed starts where the part reversed does
+            back = _ends([(item[::-1], part[::-1], -most, most, most)], anchored=True)[0]
+            out[k] = lo + stop - (back[0] if back else len(item)), lo + stop, edits
+    return out
 
-def aligned(item: str, text: str, first: int, last: int, most: int) -> tuple[int, int, int] | None:
-    """(start, end, edits) of the best place of item in text within diagonals first..last, at most `most` edits."""
-    m = len(item)
-    lo, hi = max(0, first - most), min(len(text), last + m + most)
-    at = text.find(item, lo, hi)
-    if at >= 0:
-        return at, at + m, 0
-    end = _end(codes(item), codes(text[lo:hi]), first - most - lo, last + most - lo)
-    if end is None or end[1] > most:
-        return None
-    stop, edits = end
-    part = text[max(lo, lo + stop - m - most) : lo + stop]
-    # from the end backwards: the item reversed starts on the first diagonals of the region reversed
-    back = _end(codes(item)[::-1], codes(part)[::-1], -most, most, anchored=True)
-    size = back[0] if back else m
-    return lo + stop - size, lo + stop, edits
-
-
-def _end(p: np.ndarray, t: np.ndarray, first: int, last: int, anchored: bool = False) -> tuple[int, int] | None:
-    """End in t and edits of the cheapest alignment of p, over diagonals first..last; anchored: it starts at 0."""
-    n, far = len(t), 1 << 20
-    d = np.arange(first, last + 1)
-    row = np.where((d >= 0) & (d <= n), np.abs(d) if anchored else 0, far)
-    for i, c in enumerate(p, 1):
+
+def _ends(cases: list[tuple[str, str, int, int, int]], anchored: bool = False) -> list[tuple[int, int] | None]:
+    """For each (p, t, first, last, most): end in t and edits of the cheapest alignment of p over diagonals
+    first..last, if it has at most `most`; anchored: it starts at 0. All go a row at a time together."""
+    out: list[tuple[int, int] | None] = [None] * len(cases)
+    if not cases:
+        return out
+    far = 1 << 20
+    ps, ts = [codes(c[0]) for c in cases], [codes(c[1]) for c in cases]
+    m, n = np.array([len(p) for p in ps]), np.array([len(t) for t in ts])
+    flat_p, flat_t = np.concatenate(ps), np.concatenate([*ts, np.zeros(1, np.uint64)])
+    at_p, at_t = np.cumsum(m) - m, np.cumsum(n) - n
+    first, last, most = (np.array([c[k] for c in cases]) for k in (2, 3, 4))
+    wide = np.arange(int((last - first).max()) + 1)
+    d = first[:, None] + wide
+    there = d <= last[:, None]
+    row = np.where(there & (d >= 0) & (d <= n[:, None]), np.abs(d) if anchored else 0, far)
+    who, i = np.arange(len(cases)), 0
+    while len(who):
+        i += 1
         j = d + i
-        ok = (j >= 1) & (j <= n)
-        same = np.full(len(d), False)
-        same[ok] = t[j[ok] - 1] == c
+        ok = there & (j >= 1) & (j <= n[who][:, None])
+        same = flat_t[np.where(ok, at_t[who][:, None] + j - 1, 0)] == flat_p[at_p[who] + i - 1][:, None]
         new = np.where(ok, row + ~same, far)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new = np.where((j >= 0) & (j <= n), new, far)
-        row = np.minimum.accumulate(new - d) + d
-        row = np.where((j >= 0) & (j <= n), row, far)
-    k = int(row.argmin())
-    return None if row[k] >= far else (int(d[k]) + len(p), int(row[k]))
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        inside = there & (j >= 0) & (j <= n[who][:, None])
+        new = np.where(inside, new, far)
+        row = np.where(inside, np.minimum.accumulate(new - d, 1) + d, far)
+        best = row.argmin(1)
+        least = row[np.arange(len(who)), best]
+        for x in np.flatnonzero((m[who] == i) & (least <= most[who])).tolist():
+            out[who[x]] = int(d[x, best[x]]) + i, int(least[x])
+        on = (m[who] > i) & (least <= most[who])  # a row's least only grows
+        if not on.all():
+            who, d, there, row = who[on], d[on], there[on], row[on]
+    return out
 
 
 def original(text: str, start: int, end: int) -> tuple[int, int]:
@@ -170,15 +248,14 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
             size += len(normals[stop])
             stop += 1
         done: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for t, i, first, last in index.regions(normals[at:stop]):
-            spans = done.setdefault((t, i), [])
-            item_id, item = index.items[i]
-            if any(s <= last + len(item) // 2 and e >= first + len(item) // 2 for s, e in spans):
-                continue
-            got = aligned(item, normals[at + t], first, last, int(index.edits[i]))
-            if got and not any(got[0] < e and s < got[1] for s, e in spans):
-                spans.append(got[:2])
-                yield at + t, item_id, *original(texts[at + t], *got[:2]), got[2]
+        regions = index.regions(normals[at:stop])
+        while some := list(itertools.islice(regions, MOST_ALIGNED)):
+            cases = [(index.items[i][1], normals[at + t], first, last, int(index.edits[i])) for t, i, first, last in some]
+            for (t, i, _, _), got in zip(some, aligned(cases)):
+                spans = done.setdefault((t, i), [])
+                if got and not any(got[0] < e and s < got[1] for s, e in spans):
+                    spans.append(got[:2])
+                    yield at + t, index.items[i][0], *original(texts[at + t], *got[:2]), got[2]
         at = stop
 
 
