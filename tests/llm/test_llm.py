@@ -118,15 +118,25 @@ def near_corpus():
             for _ in range(r.randint(0, max(1, len(w) // 25))):
                 w[r.randrange(len(w))] = "x" + str(r.randint(0, 9))
             out.append(" ".join(w))
+    for size, most in ((60, 9), (200, 60)):  # clouds around a text: some members are near it, some only near each other
+        base = [r.choice("abcdefghijklmnopqrstuvwxyz") + str(r.randint(0, 60)) for _ in range(size)]
+        for _ in range(40):
+            w = list(base)
+            for _ in range(r.randint(0, most)):
+                w[r.randrange(len(w))] = "y" + str(r.randint(0, 9))
+            out.append(" ".join(w))
     footer = " all rights reserved by the company of the name given above in this text"
     out += [" ".join(str(r.randint(0, 99)) for _ in range(20)) + footer for _ in range(30)]
     return out
 
 
-@pytest.mark.parametrize("members", [4096, 6])
+@pytest.mark.parametrize("members", [2048, 3])
 def test_near_dedup_equals_all_pairs(spark, monkeypatch, members):
-    """Also where components are cut into chunks."""
+    """Also where components are cut into blocks and pivots' members into tasks."""
     monkeypatch.setattr(near_dedup, "MOST_MEMBERS", members)
+    if members == 3:
+        monkeypatch.setattr(near_dedup, "LEAST_MEMBERS", 2)
+        monkeypatch.setattr(near_dedup, "PIVOT_MEMBERS", 2)
     made = near_corpus()
     root, n = clusters(made, 4)
     d = near_dedup.decisions(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"), words=4)

@@ -6,12 +6,18 @@
    OVERLAP of K retained values (all but 1 in 10 million such pairs at the very threshold, all of
    those whose sets are small enough to be retained whole), so each class needs to be listed under
    all but its OVERLAP - 1 most frequent values; that keeps lists of common lines and passages
-   from gathering unrelated documents. Classes that share a list are joined to candidate components.
-3. A candidate component goes to one task with its texts; one too large for that is cut into chunks
-   and each pair of chunks is a task. There the sketch of the union estimates the similarity of
-   pairs with enough overlap, and what the estimate leaves is verified on the full sets. Pairs of
-   documents already known to be connected are skipped, and a task emits no more links than it has
-   members.
+   from gathering unrelated documents.
+3. Of each list the least class is the pivot. All others are compared with it, many pivots and
+   many members of one in tasks of their own; what is linked gets one label. That is as much work
+   as the lists have rows, and settles most groups of near copies, however large.
+4. Lists in which different labels are left join their labels to candidate components. A
+   component's members are dealt to blocks, and each pair of blocks is a task, except two blocks of
+   one label. Blocks hold twice the root of the members, so that tasks grow as members do, up to
+   MOST_MEMBERS a block. In a task pairs of one label are skipped; it emits fewer links than it has
+   labels.
+
+Pairs are compared alike in 3 and 4: enough overlap of the sketches, enough similarity by the
+sketch of the union, then the full sets.
 """
 
 from __future__ import annotations
@@ -24,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, join_groups, lean, located, without, written
+from .common import HOT_SHARE, components, join_groups, lean, located, without, written
 
-#: Retained values and the least overlap of two sets similar enough: 32 draws at 0.8 give 11 or fewer in 1 of 10 million cases.
-K, OVERLAP = 32, 12
+#: Retained values and the least overlap of two sets similar enough: 64 draws at 0.8 give 32 or fewer in 1 of 10 million cases.
+K, OVERLAP = 64, 33
 #: Values of the union's sketch and the least share of common ones that is verified, chosen likewise.
 UNION_K, UNION_FLOOR = 128, 72 / 128
-#: Shingles and members that one task takes.
-MOST_SHINGLES, MOST_MEMBERS = 4_000_000, 4_096
+#: Members of a block: at least, at most; shingles of a block; a task has two blocks.
+LEAST_MEMBERS, MOST_MEMBERS, MOST_SHINGLES = 64, 2_048, 2_000_000
+#: Members that one task compares with a pivot.
+PIVOT_MEMBERS = 256
 #: Classes in candidate components up to this number are broadcast to pick their texts; more are joined by shuffle.
 MOST_BROADCAST = 400_000
 
@@ -81,10 +89,32 @@ def _sketches(words: int):
     return run
 
 
-def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """A label for each set, the same for connected ones."""
+def enough(sets: list[np.ndarray], a: np.ndarray, percent: int) -> list[bool]:
+    """Which sets the union's sketch and then all values find similar enough to a; all are sorted."""
+    if not sets:
+        return []
+    both = np.full((len(sets), 2 * UNION_K), np.iinfo(np.uint64).max, np.uint64)
+    both[:, : min(UNION_K, len(a))] = a[:UNION_K]
+    for row, s in zip(both, sets):
+        row[UNION_K : UNION_K + min(UNION_K, len(s))] = s[:UNION_K]
+    both.sort(1)
+    valid = both != np.iinfo(np.uint64).max
+    again = np.zeros_like(valid)
+    again[:, 1:] = (both[:, 1:] == both[:, :-1]) & valid[:, 1:]
+    rank = np.cumsum(valid & ~again, 1)
+    likely = (again & (rank <= UNION_K)).sum(1) >= UNION_FLOOR * np.minimum(rank[:, -1], UNION_K)
+
+    def verified(s: np.ndarray) -> bool:
+        met = len(np.intersect1d(a, s, assume_unique=True))
+        return 100 * met >= percent * (len(a) + len(s) - met)
+
+    return [bool(x) and verified(s) for x, s in zip(likely, sets)]
+
+
+def links(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None) -> np.ndarray:
+    """A label for each set, the same for connected ones; sets of one label are connected to begin with."""
     m = len(sets)
-    label = np.arange(m)
+    label = np.arange(m) if label is None else np.unique(label, return_inverse=True)[1]
     size = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(size, kind="stable")
     least = np.array([least_overlap(int(n), percent) for n in size])
@@ -93,9 +123,6 @@ def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     owner = np.repeat(np.arange(m), [len(x) for x in held])
     by = np.argsort(flat, kind="stable")
     flat, owner = flat[by], owner[by]
-    wide = np.full((m, UNION_K), np.iinfo(np.uint64).max, np.uint64)
-    for i, s in enumerate(sets):
-        wide[i, : min(UNION_K, len(s))] = s[:UNION_K]
     place = np.empty(m, np.int64)
     place[order] = np.arange(m)
     for a in order:
@@ -108,63 +135,142 @@ def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
         while len(near):
             some, near = near[:step], near[step:]
             step *= 8
-            both = np.concatenate([wide[some], np.broadcast_to(wide[a], (len(some), UNION_K))], 1)
-            both.sort(1)
-            valid = both != np.iinfo(np.uint64).max
-            again = np.zeros_like(valid)
-            again[:, 1:] = (both[:, 1:] == both[:, :-1]) & valid[:, 1:]
-            rank = np.cumsum(valid & ~again, 1)
-            in_sketch = np.minimum(rank[:, -1], UNION_K)
-            common = (again & (rank <= UNION_K)).sum(1)
-            for j in some[common >= UNION_FLOOR * in_sketch]:
-                if label[j] == label[a]:
-                    continue
-                met = len(np.intersect1d(sets[a], sets[j], assume_unique=True))
-                if 100 * met >= percent * (size[a] + size[j] - met):
+            for j, same in zip(some, enough([sets[j] for j in some], sets[a], percent)):
+                if same and label[j] != label[a]:
                     label[label == label[a]] = label[j]
             near = near[label[near] != label[a]]
     return label
 
 
-def _groups(words: int, percent: int):
-    """Sorted rows (key, chunks, cid, text) to links (a, b, whole)."""
+def _pivots(words: int, percent: int):
+    """Rows (key, member, cid, text), sorted, of each key the pivot first, to links (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = pivot = pivot_set = None
+        for b in batches:
+            a, to = [], []
+            for k, member, cid, text in zip(*(c.to_pylist() for c in b.columns)):
+                mine = shingle_set(text or b"", words)
+                if k != key:
+                    if member:
+                        raise ValueError(f"{k} has no pivot")
+                    key, pivot, pivot_set = k, cid, mine
+                elif member:
+                    overlap = len(np.intersect1d(pivot_set[:K], mine[:K], assume_unique=True))
+                    if overlap >= max(least_overlap(len(x), percent) for x in (pivot_set, mine)) and enough([mine], pivot_set, percent)[0]:
+                        a.append(cid)
+                        to.append(pivot)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(to, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _blocks(words: int, percent: int):
+    """Rows (key, label, text), sorted by key, to links (a, b) between labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(key: str, rows: list) -> pa.RecordBatch:
-            sets = [shingle_set(r[2], words) for r in rows]
-            label = links(sets, percent)
-            cid = np.array([r[1] for r in rows], np.int64)
+        def solved(rows: list) -> pa.RecordBatch:
+            label = np.array([r[0] for r in rows], np.int64)
+            group = links([shingle_set(r[1], words) for r in rows], percent, label)
             low = np.full(len(rows), np.iinfo(np.int64).max)
-            np.minimum.at(low, label, cid)
-            root = low[label]
-            put = root != cid
-            return pa.RecordBatch.from_arrays([pa.array(cid[put]), pa.array(root[put]), pa.array([rows[0][0] == 1] * int(put.sum()), pa.bool_())], ["a", "b", "whole"])
+            np.minimum.at(low, group, label)
+            pairs = np.unique(np.stack([label, low[group]], 1), axis=0)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         key, rows = None, []
         for b in batches:
-            for k, chunks, cid, text in zip(*(c.to_pylist() for c in b.columns)):
+            for k, label, text in zip(*(c.to_pylist() for c in b.columns)):
                 if k != key and rows:
-                    yield solved(key, rows)
+                    yield solved(rows)
                     rows = []
                 key = k
-                rows.append((chunks, cid, text or b""))
+                rows.append((label, text or b""))
         if rows:
-            yield solved(key, rows)
+            yield solved(rows)
 
     return run
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes that share an inverted list; none reaches over from one component to another."""
+def _lists(classes: DataFrame, percent: int) -> DataFrame:
+    """The inverted lists that have more than one class: v, cid, pivot (the list's least cid), m (its length)."""
     spark = classes.sparkSession
     listed = classes.filter("n > 0").select("cid", "n", F.explode("sketch").alias("v"))
-    counts = listed.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1")
+    counts = written(spark, listed.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1"), "values")
+    total = classes.agg(F.sum(F.size("sketch"))).first()[0] or 0
+    # a common line's value is in many rows: those are broadcast, being few
+    hot = max(2, int(total * HOT_SHARE))
+    common = F.broadcast(counts.filter(F.col("f") >= hot))
+    met = listed.join(common, "v").unionByName(listed.join(common.select("v"), "v", "left_anti").join(counts.filter(F.col("f") < hot), "v"))
     small = F.col("n") * 100 <= K * percent
     least = F.when(small, F.ceil(F.col("n") * percent / 100)).otherwise(OVERLAP)
-    ranked = listed.join(counts, "v").withColumn("r", F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("f"), "v")))
+    ranked = met.withColumn("r", F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("f"), "v")))
     lists = written(spark, ranked.filter(F.col("r") >= least).select("v", "cid"), "lists", small=True)
-    first = lists.groupBy("v").agg(F.min("cid").alias("b"), F.count("*").alias("m")).filter("m > 1").select("v", "b")
-    return lists.join(first, "v").filter("cid <> b").select(F.col("cid").alias("a"), "b")
+    first = lists.groupBy("v").agg(F.min("cid").alias("pivot"), F.count("*").alias("__n")).filter("__n > 1").withColumn("m", F.col("__n"))
+    return written(spark, join_groups(lists, first, "v", lists.count(), ["pivot", "m"]).filter("m is not null"), "lists", small=True)
+
+
+def _texts(slim: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows (with a cid) and the text of each one's class as __bytes."""
+    spark = slim.sparkSession
+    places = classes.select(F.col("cid").alias("c"), F.col("keep.f").alias("mf"), F.col("keep.row").alias("mr"))
+    rows = written(spark, rows.join(places, F.col("cid") == F.col("c")).drop("c"), "members", small=True)
+    if rows.count() <= MOST_BROADCAST:
+        rows = F.broadcast(rows)
+    return slim.select("f", "row", "__bytes").join(rows, (F.col("f") == F.col("mf")) & (F.col("row") == F.col("mr"))).drop("f", "row", "mf", "mr")
+
+
+def _by_pivots(slim: DataFrame, classes: DataFrame, lists: DataFrame, words: int, percent: int) -> DataFrame:
+    """Labels of classes linked with pivots: node, component."""
+    spark = slim.sparkSession
+    pairs = written(spark, lists.filter("cid <> pivot").select("pivot", "cid").distinct(), "pairs", small=True)
+    each = pairs.groupBy("pivot").agg(F.count("*").alias("__n")).withColumn("parts", F.ceil(F.col("__n") / PIVOT_MEMBERS))
+    dealt = join_groups(pairs, each, "pivot", pairs.count(), ["parts"]).withColumn("key", F.concat_ws(":", "pivot", F.pmod(F.xxhash64("cid"), F.col("parts"))))
+    dealt = written(spark, dealt.select("key", "pivot", "cid"), "dealt", small=True)
+    rows = dealt.select("key", F.lit(1).alias("member"), "cid").unionByName(dealt.select("key", F.lit(0).alias("member"), F.col("pivot").alias("cid")).distinct())
+    tasks = _texts(slim, classes, rows).select("key", "member", "cid", "__bytes").repartition("key").sortWithinPartitions("key", "member")
+    found = written(spark, tasks.mapInArrow(lean(_pivots(words, percent)), "a long, b long"), "links")
+    return written(spark, components(spark, found), "labels", small=True)
+
+
+def _by_blocks(slim: DataFrame, classes: DataFrame, lists: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between labels that lists leave open: node, component."""
+    spark = slim.sparkSession
+    # in a list of two the one pair has been compared; pivots have been compared with all of their list
+    left = lists.filter("m > 2 and cid <> pivot").join(labels, F.col("cid") == F.col("node"), "left").select("v", "cid", F.coalesce("component", "cid").alias("label"))
+    left = written(spark, left, "open", small=True)
+    mixed = left.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("__n")).filter("lo <> hi")
+    left = written(spark, join_groups(left, mixed, "v", left.count(), ["lo"]).filter("lo is not null"), "open", small=True)
+    near = written(spark, components(spark, left.select(F.col("label").alias("a"), F.col("lo").alias("b"))), "candidates", small=True)
+    members = written(spark, left.select("cid", "label").distinct(), "open", small=True)
+    sizes = members.join(classes.select(F.col("cid").alias("c"), "n"), F.col("cid") == F.col("c")).groupBy("label").agg(F.count("*").alias("k"), F.sum("n").alias("n")).withColumn("__n", F.col("k"))
+    sizes = written(spark, sizes.join(near, F.col("label") == F.col("node")).select("component", "label", "k", "n", "__n"), "labels", small=True)
+    # a label as large as a block has blocks of its own; all others of a component share some
+    n_labels = sizes.count()
+    wholes = sizes.groupBy("component").agg(F.sum("k").alias("whole"), F.count("*").alias("__n"))
+    room = F.least(F.lit(MOST_MEMBERS), F.greatest(F.lit(LEAST_MEMBERS), F.ceil(2 * F.sqrt("whole")))).cast("long")
+    roomy = join_groups(sizes.withColumnRenamed("__n", "members"), wholes, "component", n_labels, ["whole"]).withColumn("room", room)
+    roomy = roomy.withColumn("own", F.when(F.col("k") >= F.col("room"), F.col("label"))).withColumn("home", F.concat_ws(":", "component", "own"))
+    sizes = written(spark, roomy.select("component", "label", "k", "n", "members", "room", "own", "home"), "labels", small=True)
+    parts = lambda k, n: F.greatest(F.ceil(k / F.col("room")), F.ceil(n / MOST_SHINGLES), F.lit(1)).cast("long")
+    blocks = sizes.groupBy("home", "component", "own", "room").agg(F.sum("k").alias("k"), F.sum("n").alias("n"), F.count("*").alias("__n"))
+    blocks = blocks.select("home", "__n", "component", "own", parts(F.col("k"), F.col("n")).alias("parts"))
+    one = blocks.select("component", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("block"))
+    a, b = (one.select(*[F.col(c).alias(x + c) for c in one.columns]) for x in "ab")
+    before = F.struct(F.coalesce("aown", F.lit(-1)), "ablock") <= F.struct(F.coalesce("bown", F.lit(-1)), "bblock")
+    pairs = a.join(b, (F.col("acomponent") == F.col("bcomponent")) & before).filter("aown is null or bown is null or aown <> bown")
+    key = F.concat_ws(":", "acomponent", F.coalesce("aown", F.lit(-1)), "ablock", F.coalesce("bown", F.lit(-1)), "bblock")
+    pairs = pairs.select(key.alias("key"), *a.columns, *b.columns)
+    sides = [pairs.select("key", *[F.col(x + c).alias("t" + c) for c in one.columns]) for x in "ab"]
+    tasks = written(spark, sides[0].union(sides[1]).distinct(), "tasks", small=True)
+    # a member's block
+    where = join_groups(sizes, blocks, "home", n_labels, ["parts"]).select("label", "component", "own", "parts", F.col("members").alias("__n"))
+    put = join_groups(members, where, "label", members.count(), ["component", "own", "parts"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("parts")))
+    same = (F.col("component") == F.col("tcomponent")) & (F.col("block") == F.col("tblock")) & F.col("own").eqNullSafe(F.col("town"))
+    rows = put.join(tasks, same).select("key", "label", "cid")
+    texts = _texts(slim, classes, rows).select("key", "label", "__bytes").repartition("key").sortWithinPartitions("key")
+    found = written(spark, texts.mapInArrow(lean(_blocks(words, percent)), "a long, b long"), "links")
+    return written(spark, components(spark, found), "labels", small=True)
 
 
 def _decisions(placed: DataFrame, file: str, at: str, words: int = 5, percent: int = 80) -> DataFrame:
@@ -176,29 +282,11 @@ def _decisions(placed: DataFrame, file: str, at: str, words: int = 5, percent: i
     who = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "f", "row")
     classes = docs.filter("n > 0").groupBy("digest").agg(F.min(who).alias("keep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    near = written(spark, components(spark, _candidates(classes, percent)), "candidates", small=True)
-    # what goes to which task
-    members = near.join(classes.select("cid", "n", F.col("keep.f").alias("f"), F.col("keep.row").alias("row")), near["node"] == F.col("cid"))
-    sizes = members.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / MOST_SHINGLES, F.count("*") / MOST_MEMBERS)).cast("int").alias("parts"))
-    # chunks are half a task's size, so that two of them fit
-    sizes = sizes.select(F.col("component").alias("c"), F.when(F.col("parts") <= 1, 1).otherwise(2 * F.col("parts")).alias("chunks"))
-    members = members.join(sizes, members["component"] == sizes["c"])
-    members = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")).select("component", "cid", F.col("f").alias("mf"), F.col("row").alias("mr"), "chunks", "chunk")
-    members = written(spark, members, "members", small=True)
-    if members.count() <= MOST_BROADCAST:
-        members = F.broadcast(members)
-    texts = slim.join(members, (F.col("f") == F.col("mf")) & (F.col("row") == F.col("mr")))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    texts = texts.select("component", "chunks", "chunk", "cid", "__bytes", other).filter("chunks = 1 or other <> chunk")
-    key = F.concat_ws(":", "component", F.least("chunk", "other"), F.greatest("chunk", "other"))
-    tasks = texts.select(key.alias("key"), "chunks", "cid", "__bytes").repartition("key").sortWithinPartitions("key")
-    found = written(spark, tasks.mapInArrow(lean(_groups(words, percent)), "a long, b long, whole boolean"), "links")
-    linked = found.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("component"))
-    cut = found.filter("not whole").select("a", "b")
-    if cut.limit(1).count():
-        linked = linked.union(components(spark, cut).filter("node <> component"))
-    linked = written(spark, linked, "linked", small=True)
-    groups = classes.select("digest", "cid", "keep", "copies").join(linked, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("component", "cid"))
+    lists = _lists(classes, percent)
+    labels = _by_pivots(slim, classes, lists, words, percent)
+    merged = _by_blocks(slim, classes, lists, labels, words, percent).select(F.col("node").alias("l"), F.col("component").alias("top"))
+    groups = classes.select("digest", "cid", "keep", "copies").join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("component", "cid"))
+    groups = groups.join(merged, F.col("label") == F.col("l"), "left").withColumn("root", F.coalesce("top", "label"))
     keeps = groups.groupBy("root").agg(F.min("keep").alias("kept"), F.count("*").alias("m"), F.sum("copies").alias("group"))
     keeps = keeps.filter("m > 1").select(F.col("root").alias("r"), "kept", "group")
     groups = groups.join(keeps, F.col("root") == F.col("r"), "left").filter("copies > 1 or r is not null")
