@@ -801,6 +801,60 @@ def test_iban_before_a_capital_word():
         assert [text[s:e] for k, s, e in pii.more_spans(text, []) if k == "iban"] == want
 
 
+def test_numbers_inside_dropped_matches(spark):
+    """Two cards in a row, a phone number before an address: no base span, but candidates; those whose digits don't check go."""
+    r = random.Random(9)
+
+    def number(good):
+        while True:
+            n = "4" + "".join(r.choices("0123456789", k=15))
+            if pii.luhn(n) == good:
+                return n
+
+    rows = [f"a {number(True)} {number(True)} b" for _ in range(30)] + [f"word {number(False)} word" for _ in range(60)] + [f"une +1 (826) 555-40{k} 190.137.223.204 du" for k in range(10, 40)] + [f"x {number(True)} y" for _ in range(60)]
+    got = [r.spans for r in pii.found(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert all(x == "card_run:2:18,card_run:19:35" for x in got[:30]) and not any(got[30:90])
+    assert all(x.endswith("phone_run:4:21") for x in got[90:120]) and all(x == "card:2:18" for x in got[120:])
+    assert list(pii.card_runs("12 34 " + "1" * 40)) == [] and list(pii.card_runs("9" * 50_000)) == []
+
+
+def plain_em(rows, rounds=50):
+    """EM candidate by candidate: kinds and votes to soft labels and tables."""
+    import math
+
+    n = len(pii.LABELERS)
+    table = [[[0.45, 0.35, 0.2], [0.1, 0.4, 0.5]] for _ in range(n)]
+    prior = [0.5] * len(pii.KINDS)
+    for _ in range(rounds):
+        soft = []
+        for kind, vote in rows:
+            like = [math.prod([p, *[table[j][y][v + 1] for j, v in enumerate(vote)]]) for y, p in ((0, 1 - prior[kind]), (1, prior[kind]))]
+            soft.append(like[1] / (like[0] + like[1]))
+        for j in range(n):
+            for y, start in ((0, [0.45, 0.35, 0.2]), (1, [0.1, 0.4, 0.5])):
+                got = [20 * start[v] + sum(q if y else 1 - q for q, (_, vote) in zip(soft, rows) if vote[j] + 1 == v) for v in range(3)]
+                table[j][y] = [x / sum(got) for x in got]
+        most = pii.FAILED_CHECK * table[0][0][0]
+        if table[0][1][0] > most:
+            table[0][1] = [most, *[x * (1 - most) / (1 - table[0][1][0]) for x in table[0][1][1:]]]
+        prior = [(2 + sum(q for q, (x, _) in zip(soft, rows) if x == k)) / (4 + sum(x == k for x, _ in rows)) for k in range(len(pii.KINDS))]
+    return soft, table
+
+
+def test_em_equals_brute_force():
+    r = random.Random(3)
+    rows = [(r.randrange(len(pii.KINDS)), tuple(r.choice((-1, 0, 1)) for _ in pii.LABELERS)) for _ in range(120)] * 2
+    codes = [pii.code(pii.KINDS[k], v, tuple(r.randrange(n) for n in pii.FEATURES.values())) for k, v in rows]
+    assert [pii.decode(c)[:2] for c in codes] == rows and max(codes) < len(pii.KINDS) * 3 ** len(pii.LABELERS) * pii.N_FEATURES
+    n = collections.Counter(codes)
+    unique = np.array(sorted(n))
+    soft, table = pii.reliabilities(unique, np.array([n[c] for c in unique], float))
+    want, want_table = plain_em(rows)
+    assert np.allclose(table, want_table)
+    at = dict(zip(unique.tolist(), soft))
+    assert np.allclose([at[c] for c in codes], want)
+
+
 def test_reliabilities_favour_good_labelers():
     r = np.random.default_rng(0)
     truth = r.random(4000) < 0.4
