@@ -654,6 +654,37 @@ def test_language_edges(docs, none):
     assert langid.accepted(unlabelled).count() == len(ROWS)
 
 
+def test_letters_by_category():
+    for text in ("— — —", "😀 😀", "→ ∑ ©", "١٢٣", ""):
+        assert len(langid.trigrams([text])[0]) == 0, text
+    for text in ("é", "слово", "字", "क़ख़", "ª"):
+        assert len(langid.trigrams([text])[0]) > 0, text
+
+
+def test_clashing_names(spark, docs):
+    """Columns with the names that operators add come through as they are, in any case."""
+    made = docs.filter("doc_id < 6 or doc_id is null")
+    for n in ("__FILE", "__row", "__df", "__dr", "f", "row", "keep", "__n"):
+        made = made.withColumn(n, F.concat(F.lit(n), F.coalesce(F.col("rid"), F.lit("?"))))
+    bench = spark.createDataFrame([(1, "two three four five")], "item_id long, text string")
+    for left, n in ((langid.accepted(made), 4), (exact_dedup.deduplicated(made), 2), (near_dedup.deduplicated(made), 3), (decontaminate.decontaminated(made, bench), 2)):
+        rows = left.collect()
+        assert left.columns == made.columns and len(rows) == n
+        assert all(r["__FILE"] == "__FILE" + (r.rid or "?") and r["row"] == "row" + (r.rid or "?") for r in rows)
+    assert {r.doc_id for r in exact_dedup.decisions(made).collect()} == {1, 2, 4, 5, None}
+    assert decontaminate.contaminated(made, bench).count() == 4 and near_dedup.decisions(made).count() == 6
+    for found in (secrets.found(made), pii.found(made), token_binary.token_table(made)):
+        assert found.count() == 6
+    assert packing.packed(made).count() >= 6
+
+
+def test_session_settings_are_restored(spark, docs):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    near_dedup.decisions(docs).count(), token_binary.token_table(docs).count(), pii.found(docs).count()
+    assert spark.conf.get(name) == before
+
+
 def test_language_keeps_all_labels(spark):
     """70 labels, one of a single text; a text with a third of all rows counts once."""
     rows = [(f"{chr(97 + k % 26)}{chr(97 + k // 26)}x " * 20 + str(i), f"l{k:02}") for k in range(70) for i in range(5)]

@@ -117,6 +117,7 @@ def _lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, whole."""
+    """The rows of docs that stay, whole, whatever their columns are called; null texts count as empty and are equal.
+    Of rows that repeat the largest doc_id of a group one stays. No rows give no rows."""
     placed = located(docs.sparkSession, docs)
     return without(*placed, _decisions(*placed).filter("not kept").select(F.xxhash64("__file").alias("f"), F.col("__row").alias("row")))

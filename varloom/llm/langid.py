@@ -9,7 +9,9 @@ towards the whole corpus.
 
 from __future__ import annotations
 
+import functools
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +34,18 @@ DECLARED_TRUST = 0.8
 #: Confidence below which a row is rejected.
 LEAST = 0.5
 
-LETTER = np.zeros(0x250, bool)
-LETTER[[c for c in range(0x250) if chr(c).isalpha()]] = True
+
+@functools.lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Of each code point whether its Unicode category is a letter or a mark that belongs to one."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)), bool, 0x110000)
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the trigrams of letters and spaces, and the end of each text's own among them."""
-    joined = "\n\n".join(t.lower() for t in texts) + "\n\n"
+    joined = "\n" + "\n\n".join(t.lower() for t in texts) + "\n\n"
     c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
-    letter = np.where(c < 0x250, LETTER[np.minimum(c, 0x24F)], c != 0x3000)
+    letter = letters()[c]
     c = np.where(letter, c, np.uint32(32))
     h = (c[:-2] * np.uint32(0x9E3779B1)) ^ (c[1:-1] * np.uint32(0x85EBCA77)) ^ (c[2:] * np.uint32(0xC2B2AE3D))
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
@@ -131,8 +136,8 @@ def declared_of(html: Column) -> Column:
 def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
     """rows (key columns, text, host, suffix, declared) with lang, confidence, n_trigrams and accepted instead of text.
 
-    host, suffix and declared may be null: then they say nothing. A row without letters has
-    language "und" and is rejected; so is one whose best language isn't sure enough. Without a
+    host, suffix and declared may be null: then they say nothing. A row without letters (by
+    Unicode category: marks, signs and emoji are none) has language "und" and is rejected; so is one whose best language isn't sure enough. Without a
     model nothing is known: "und", and all rows are accepted.
     """
     spark = rows.sparkSession
@@ -160,8 +165,10 @@ def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> Da
 
     # counts of languages by text alone, softly
     p = scored.filter("n_trigrams > 0").select("host", "suffix", "declared", softmax(F.col("ll")).alias("p"))
-    sums = lambda g: g.agg(F.array(*[F.sum(F.col("p")[i]) for i in range(n_lang)]).alias("c"), F.count("*").alias("__n"))
-    whole = sums(p.groupBy()).first()
+    sums = lambda g, c, n: g.agg(F.array(*[F.sum(F.col(c)[i]) for i in range(n_lang)]).alias("c"), F.sum(n).alias("__n"))
+    # one pass by host and suffix; all else is summed from that
+    each = written(spark, sums(p.groupBy("host", "suffix"), "p", F.lit(1)), "evidence")
+    whole = sums(each.groupBy(), "c", "__n").first()
     total = whole["__n"] or 0
     corpus = [((c or 0.0) + 1.0) / (total + n_lang) for c in (whole["c"] or [0.0] * n_lang)]
     base = F.array(*[F.lit(float(x)) for x in corpus])
@@ -170,8 +177,8 @@ def identified(rows: DataFrame, model: Model | None, least: float = LEAST) -> Da
         return F.when(counts.isNull(), prior).otherwise(F.zip_with(counts, prior, lambda c, q: (c + weight * q) / (n + weight)))
 
     # a suffix is one of a few thousand, but hosts are many: both are joined so that none is hot
-    suffixes = sums(p.filter("suffix is not null").groupBy("suffix")).select("suffix", "__n", F.col("c").alias("sc"), F.col("__n").alias("sn"))
-    hosts = sums(p.filter("host is not null").groupBy("host")).select("host", "__n", F.col("c").alias("hc"), F.col("__n").alias("hn"))
+    suffixes = sums(each.filter("suffix is not null").groupBy("suffix"), "c", "__n").select("suffix", "__n", F.col("c").alias("sc"), F.col("__n").alias("sn"))
+    hosts = sums(each.filter("host is not null").groupBy("host"), "c", "__n").select("host", "__n", F.col("c").alias("hc"), F.col("__n").alias("hn"))
     out = scored
     for groups, key, values in ((suffixes, "suffix", ["sc", "sn"]), (hosts, "host", ["hc", "hn"])):
         spread = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
@@ -199,7 +206,10 @@ def _documents(docs: DataFrame, keys: list[Column], model: Model | None, least:
 
 
 def pages_identified(pages: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
-    """Pages (page_id, url, html): page_id, lang, confidence, n_trigrams, accepted by all evidence; the text is the html without tags."""
+    """Pages (page_id, url, html): page_id, lang, confidence, n_trigrams, accepted by all evidence; the text is the html without tags.
+
+    A null url has no host or suffix, null html no letters: "und" and rejected. Rows are kept as often as they come.
+    """
     url, html = text_of("url"), text_of("html")
     text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), "<[^>]*>", " ")
     host = F.nullif(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#:]*)", 1), F.lit(""))
@@ -219,7 +229,11 @@ def tables_identified(docs: DataFrame, pages: DataFrame, least: float = LEAST) -
 
 
 def accepted(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The rows of docs that aren't rejected, whole."""
+    """The rows of docs that aren't rejected, whole, with all their columns, whatever those are called.
+
+    Null, empty and letterless texts are rejected; repeated rows share their text's fate. Where no
+    row has a label nothing is known, and all stay. No rows give no rows.
+    """
     placed, file, row = located(docs.sparkSession, docs)
     rows = documents_identified(placed, [F.xxhash64(file).alias("f"), F.col(row).alias("row")], least)
     return without(placed, file, row, rows.filter("not accepted").select("f", "row"))

@@ -310,7 +310,9 @@ def decisions(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that stay, whole: one of each group of near-duplicates."""
+    """The rows of docs that stay, whole, whatever their columns are called: of each group of near-duplicates
+    the one with the smallest doc_id (nulls last; of rows that repeat it, the one stored first by file and row).
+    Null and empty texts are in no group: their rows all stay."""
     placed = located(docs.sparkSession, docs)
     rows = _decisions(*placed, words, percent)
     return without(*placed, rows.filter((F.col("keep.f") != F.col("f")) | (F.col("keep.row") != F.col("row"))).select("f", "row"))
