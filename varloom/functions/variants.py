@@ -150,9 +150,9 @@ def reasons(*pairs: tuple[Column, str], separator: str = ";") -> Column:
 
 
 def parsed_integer(c: Column) -> Column:
-    """Decimal, scientific or grouped digits as a long, if whole."""
-    x = F.regexp_replace(F.trim(c), r"[,\s_]", "").try_cast("double")
-    return F.when(finite(x) & (F.floor(x) == x), x.cast("bigint"))
+    """Decimal, scientific or grouped digits as a long, if whole; by decimals, so that no digit changes."""
+    x = F.regexp_replace(F.trim(c), r"[,\s_]", "").try_cast("decimal(38,10)")
+    return F.when(F.floor(x) == x, x.try_cast("bigint"))
 
 
 def snp(a: Column, b: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.variants import finite, snp, transition, transversion
 from .ledger import Rule
+from .scans import beside, quantiles
 from .windows import with_average_rank
 
 
@@ -33,13 +34,12 @@ def concordance(df: DataFrame, expected: str, observed: str, tolerance: tuple[fl
         F.count_if(ok).alias("checked"),
         F.count_if(fits).alias("concordant"),
         F.avg(d).alias("mean_difference"),
-        F.median(d).alias("median_difference"),
         F.max(d).alias("max_difference"),
         F.sqrt(F.avg(d * d)).alias("rmse"),
         guarded_corr(x, y).alias("pearson"),
         F.avg(F.when(ok, (F.signum(e) == F.signum(o)).cast("double"))).alias("same_sign"),
     ]
-    return df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)
+    return beside(df.groupBy(*groups).agg(*aggs), quantiles(df.withColumn("__d", d), "__d", {"median_difference": 0.5}, groups), groups)
 
 
 def spearman(df: DataFrame, x: str, y: str, groups: list[str] = ()) -> DataFrame:
@@ -54,7 +54,7 @@ def frequency_summary(df: DataFrame, column: str) -> DataFrame:
     x = F.col(column)
     ok = finite(x) & (x >= 0) & (x <= 1)
     v = F.when(ok, x)
-    return df.agg(
+    got = df.agg(
         F.count("*").alias("rows"),
         F.count_if(x.isNull()).alias("missing"),
         F.count_if(F.coalesce(x.isNotNull() & ~finite(x), F.lit(False))).alias("non_finite"),
@@ -62,33 +62,38 @@ def frequency_summary(df: DataFrame, column: str) -> DataFrame:
         F.min(v).alias("least"),
         F.max(v).alias("most"),
         F.avg(v).alias("mean"),
-        F.median(v).alias("median"),
         (F.count_if(F.coalesce(v <= 0.5, F.lit(False))) / F.count(v)).alias("minor_fraction"),
     )
+    return with_median(got, df, v)
 
 
-def nearest_quantiles(df: DataFrame, column: str, quantiles: list[float], keys: list[str] = ()) -> DataFrame:
-    """The sorted value at round((n - 1) q) of each key, from counts of distinct values."""
-    from pyspark.sql import Window
+def with_median(got: DataFrame, df: DataFrame, value: Column, name: str = "median") -> DataFrame:
+    """The one row of got and the exact median of value over df."""
+    return beside(got, quantiles(df.select(value.alias("__x")), "__x", {name: 0.5}))
 
-    v = df.filter(finite(F.col(column))).groupBy(*keys, column).agg(F.count("*").alias("c"))
-    order = Window.partitionBy(*keys).orderBy(column)
-    v = v.withColumn("upto", F.sum("c").over(order)).withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
-    at = [F.min(F.when(F.col("upto") > F.round((F.col("n") - 1) * q), F.col(column))).alias(f"q{int(round(q * 100))}") for q in quantiles]
-    return v.groupBy(*keys).agg(*at) if keys else v.agg(*at)
+
+def median(df: DataFrame, value: Column) -> float | None:
+    return (quantiles(df.select(value.alias("__x")), "__x", {"m": 0.5}).first() or [None])[0]
+
+
+def nearest_quantiles(df: DataFrame, column: str, wanted: list[float], keys: list[str] = ()) -> DataFrame:
+    """The sorted value at round((n - 1) q) of each key."""
+    return quantiles(df.filter(finite(F.col(column))), column, {f"q{int(round(q * 100))}": q for q in wanted}, keys, nearest=True)
 
 
 def effect_statistics(df: DataFrame, effect: str) -> DataFrame:
     """Rows, finite, negative, zero, least, most, mean, median, standard deviation of the finite values."""
     x = F.col(effect)
     v = F.when(finite(x), x)
-    return df.agg(F.count("*").alias("rows"), F.count(x).alias("present"), F.count(v).alias("finite"), F.count_if(v < 0).alias("negative"), F.count_if(v == 0).alias("zero"), F.count_if(v <= 0).alias("non_positive"), F.min(v).alias("least"), F.max(v).alias("most"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_samp(v).alias("sd"))
+    got = df.agg(F.count("*").alias("rows"), F.count(x).alias("present"), F.count(v).alias("finite"), F.count_if(v < 0).alias("negative"), F.count_if(v == 0).alias("zero"), F.count_if(v <= 0).alias("non_positive"), F.min(v).alias("least"), F.max(v).alias("most"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"))
+    return with_median(got, df, v)
 
 
 def p_statistics(df: DataFrame, p: str, threshold: float = 1.0) -> DataFrame:
     x = F.col(p)
     v = F.when(finite(x), x)
-    return df.agg(F.count("*").alias("rows"), F.count(v).alias("finite"), F.count_if(v > threshold).alias("above"), F.count_if(v < 0).alias("negative"), F.count_if(v == 0).alias("zero"), F.median(v).alias("median"), F.min(v).alias("least"), F.max(v).alias("most"))
+    got = df.agg(F.count("*").alias("rows"), F.count(v).alias("finite"), F.count_if(v > threshold).alias("above"), F.count_if(v < 0).alias("negative"), F.count_if(v == 0).alias("zero"), F.min(v).alias("least"), F.max(v).alias("most"))
+    return with_median(got, df, v)
 
 
 def info_statistics(df: DataFrame, info: str) -> DataFrame:
@@ -98,7 +103,7 @@ def info_statistics(df: DataFrame, info: str) -> DataFrame:
 
 
 def sample_size_statistics(df: DataFrame, n: str, quantile: float = 0.9) -> DataFrame:
-    return df.agg(F.avg(n).alias("mean"), F.stddev_samp(n).alias("sd"), F.percentile(n, F.lit(quantile)).alias("reference"))
+    return beside(df.agg(F.avg(n).alias("mean"), F.stddev_samp(n).alias("sd")), quantiles(df, n, {"reference": quantile}))
 
 
 def quality_assessment(df: DataFrame, rules: list[Rule], ref: str, alt: str, n: str, sd_multiplier: float = 5.0) -> DataFrame:
@@ -106,7 +111,7 @@ def quality_assessment(df: DataFrame, rules: list[Rule], ref: str, alt: str, n:
 
     Returns one row per stage; rule counts come from ledger.attribution.
     """
-    stat = sample_size_statistics(df, n).first()
+    stat = df.agg(F.avg(n).alias("mean"), F.stddev_samp(n).alias("sd")).first()
     mean, sd = stat["mean"], stat["sd"] or 0.0
     fails = reduce(lambda a, b: a | b, [r.hit() for r in rules], F.lit(False))
     a, b, x = F.col(ref), F.col(alt), F.col(n)
@@ -153,19 +158,20 @@ def filled_sample_size(df: DataFrame, n: str, action: str = "remove") -> DataFra
         if not df.filter(F.col(n).isNull()).isEmpty():
             raise ValueError(f"{n} is missing")
         return df
-    fill = df.agg(F.median(n) if action == "median" else F.avg(n)).first()[0]
+    fill = median(df, F.col(n)) if action == "median" else df.agg(F.avg(n)).first()[0]
     return df.withColumn(n, F.coalesce(F.col(n).cast("double"), F.lit(fill).cast("double")))
 
 
 def above_median_fraction(df: DataFrame, n: str, fraction: float) -> DataFrame:
     """Rows whose n is at least the fraction of the whole table's median."""
-    return df.filter(F.col(n) >= F.lit((df.agg(F.median(n)).first()[0] or 0.0) * fraction))
+    return df.filter(F.col(n) >= F.lit((median(df, F.col(n)) or 0.0) * fraction))
 
 
 def prevalence(df: DataFrame, cases: str, controls: str, how: str = "median") -> DataFrame:
     c, k = F.col(cases), F.col(controls)
     share = F.when((c > 0) & (k > 0), c / (c + k))
-    return df.agg((F.median(share) if how == "median" else F.avg(share)).alias("prevalence"), F.min(c).alias("least_cases"), F.max(c).alias("most_cases"), F.min(k).alias("least_controls"), F.max(k).alias("most_controls"))
+    got = df.agg(F.avg(share).alias("prevalence"), F.min(c).alias("least_cases"), F.max(c).alias("most_cases"), F.min(k).alias("least_controls"), F.max(k).alias("most_controls"))
+    return with_median(got.drop("prevalence"), df, share, "prevalence") if how == "median" else got
 
 
 def study_design(df: DataFrame, cases: str, controls: str) -> str:

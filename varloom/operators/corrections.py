@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scans import ranked, scanned_by_rank
+from .scans import scanned_by_rank, within
 
 METHODS = ("bonferroni", "sidak", "holm", "fdr_bh")
 
@@ -13,52 +13,43 @@ METHODS = ("bonferroni", "sidak", "holm", "fdr_bh")
 def adjusted(df: DataFrame, p: str, methods: tuple[str, ...] = METHODS, family: list[str] | None = None, ties: list[str] = (), prefix: str = "adj_") -> DataFrame:
     """df with adjusted p-values by method; null and NaN p are left out and get null.
 
-    Families are windows. A whole table is ranked by ranges instead, and the running maximum and
-    minimum are carried from range to range, so no task holds all rows.
+    Rows are ranked by ranges, and the running maximum and minimum are carried from bin to bin, so
+    that no task holds all rows of a table or of a large family.
     """
     unknown = set(methods) - set(METHODS)
     if unknown:
         raise ValueError(f"unknown methods: {sorted(unknown)}")
     good = F.col(p).isNotNull() & ~F.isnan(p)
     tested, rest = df.filter(good), df.filter(~good)
-    if family is not None:
-        order = Window.partitionBy(*family).orderBy(F.asc(p), *ties)
-        out = tested.withColumn("__r", F.row_number().over(order)).withColumn("__m", F.count("*").over(Window.partitionBy(*family)))
-        up = lambda c: F.max(c).over(order.rowsBetween(Window.unboundedPreceding, 0))
-        down = lambda c: F.min(c).over(order.rowsBetween(0, Window.unboundedFollowing))
-        for m in methods:
-            out = out.withColumn(prefix + m, _value(m, F.col(p), F.col("__r"), F.col("__m"), up, down))
-    else:
-        out = ranked(tested, [F.asc(p), *[F.asc(t) for t in ties]], "__r")
-        m = out.agg(F.max("__r")).first()[0] or 0
-        out = out.withColumn("__m", F.lit(m))
-        for method in methods:
-            x = _value(method, F.col(p), F.col("__r"), F.col("__m"), lambda c: c, lambda c: c)
-            if method == "holm":
-                out = scanned_by_rank(out, "__r", x, "max", prefix + method)
-            elif method == "fdr_bh":
-                out = scanned_by_rank(out, "__r", x, "min", prefix + method, forward=False)
-            else:
-                out = out.withColumn(prefix + method, x)
-    out = out.drop("__r", "__m")
-    return out.unionByName(rest, allowMissingColumns=True)
+    keys = list(family or [])
+    out, _ = within(tested, keys, [F.asc(p), *[F.asc(t) for t in ties]], "__r")
+    for method in methods:
+        x = _value(method, F.col(p), F.col("__r"), F.col("__m"))
+        if method == "holm":
+            out = scanned_by_rank(out, "__r", x, "max", prefix + method, keys=keys)
+        elif method == "fdr_bh":
+            out = scanned_by_rank(out, "__r", x, "min", prefix + method, forward=False, keys=keys)
+        else:
+            out = out.withColumn(prefix + method, x)
+    return out.drop("__r", "__m").unionByName(rest, allowMissingColumns=True)
 
 
-def _value(method: str, p: Column, rank: Column, m: Column, up, down) -> Column:
+def _value(method: str, p: Column, rank: Column, m: Column) -> Column:
+    """The adjusted p; for holm and fdr_bh what the running maximum and minimum are taken of."""
     if method == "bonferroni":
         return F.least(p * m, F.lit(1.0))
     if method == "sidak":
         return F.least(-F.expm1(m * F.log1p(-p)), F.lit(1.0))
     if method == "holm":
-        return F.least(up(p * (m - rank + 1)), F.lit(1.0))
-    return F.least(down(p * m / rank), F.lit(1.0))
+        return F.least(p * (m - rank + 1), F.lit(1.0))
+    return F.least(p * m / rank, F.lit(1.0))
 
 
 def by_named_family(df: DataFrame, name: str, p: str, pattern: str, methods: tuple[str, ...] = METHODS, ties: list[str] = ()) -> DataFrame:
     """Correction over all rows, and again over those whose name matches (null outside), never pooled."""
     whole = adjusted(df, p, methods, ties=list(ties))
     member = F.coalesce(F.col(name).rlike(pattern), F.lit(False))
-    inside = adjusted(whole.filter(member).withColumn("__f", F.lit(1)), p, methods, family=["__f"], ties=list(ties), prefix="family_").drop("__f")
+    inside = adjusted(whole.filter(member), p, methods, ties=list(ties), prefix="family_")
     return inside.unionByName(whole.filter(~member), allowMissingColumns=True)
 
 

@@ -198,7 +198,3 @@ def adjacency(edges: DataFrame, a: str, b: str, weight: str) -> DataFrame:
     """Edges in both directions, the strongest of each pair."""
     both = edges.select(F.col(a).alias("a"), F.col(b).alias("b"), F.col(weight).alias("w")).unionByName(edges.select(F.col(b).alias("a"), F.col(a).alias("b"), F.col(weight).alias("w")))
     return both.groupBy("a", "b").agg(F.max("w").alias("w"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    return written(df, "joins")

@@ -27,7 +27,7 @@ def contains(points: DataFrame, intervals: DataFrame, keys: list[tuple[str, str]
     made = _levels(intervals.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end))), start, end)
     levels = sorted(r[0] for r in made.select("__level").distinct().collect())
     spread = F.transform(F.array(*[F.lit(x) for x in levels]).cast("array<int>"), lambda x: F.struct(x.alias("l"), F.floor(F.col(pos) / F.pow(F.lit(2.0), x)).alias("b")))
-    pts = written(points.withColumn("__pid", F.monotonically_increasing_id()), "points") if how == "left" else points
+    pts = written(points.withColumn("__pid", F.monotonically_increasing_id()), "points") if how in ("left", "left_semi") else points
     cut = pts.withColumn("__x", F.explode(spread)).withColumn("__pl", F.col("__x.l")).withColumn("__pb", F.col("__x.b")).drop("__x")
     met = (F.col("__pl") == F.col("__level")) & (F.col("__pb") == F.col("__bin"))
     for p, i in keys:
@@ -35,8 +35,9 @@ def contains(points: DataFrame, intervals: DataFrame, keys: list[tuple[str, str]
     low = (cut[pos] > made[start]) if half_open else (cut[pos] >= made[start])
     met = met & low & (cut[pos] <= made[end])
     if how == "left_semi":
-        # a point has a row for each width, so what is met twice is told apart by the whole row
-        return cut.join(made, met, "left_semi").select(*points.columns).distinct()
+        # a point has a row for each width; equal points are told apart by their number
+        hits = cut.join(made, met, "left_semi").select(F.col("__pid").alias("__q")).distinct()
+        return pts.join(hits, F.col("__pid") == F.col("__q"), "left_semi").drop("__pid")
     got = cut.join(made, met).drop("__pl", "__pb", "__level", "__bin")
     if how == "inner":
         return got

@@ -7,6 +7,8 @@ rows, and rows get their bin's carry and a window within the bin.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,11 +51,60 @@ def ranked(df: DataFrame, order: list[Column], out: str = "rank", partitions: in
     return dealt.withColumn("__q", part).join(F.broadcast(sizes), F.col("__q") == F.col("__p")).withColumn(out, F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1) + 1).drop("__q", "__p", "__before", "__id")
 
 
-def scanned_by_rank(df: DataFrame, rank: str, value: Column, how: str, out: str, forward: bool = True, rows_a_bin: int = 100_000) -> DataFrame:
-    """The running value along a global rank, from the front or from the back."""
+def scanned_by_rank(df: DataFrame, rank: str, value: Column, how: str, out: str, forward: bool = True, rows_a_bin: int = 100_000, keys: list[str] = ()) -> DataFrame:
+    """The running value along a rank, over all rows or within keys, from the front or from the back."""
     at = F.col(rank) if forward else -F.col(rank)
     df = df.withColumn("__at", at).withColumn("__one", F.lit(0))
-    return running(df, ["__one"], "__at", [], value, how, out, rows_a_bin).drop("__at", "__one")
+    return running(df, [*keys, "__one"], "__at", [], value, how, out, rows_a_bin).drop("__at", "__one")
+
+
+def within(df: DataFrame, keys: list[str], order: list[Column], out: str) -> tuple[DataFrame, DataFrame]:
+    """df with its row number within keys in a total order, and each key's size as __m; a key may hold all rows.
+
+    Also the keys' table: keys, __off (the global rank before the key's first row), __m.
+    """
+    every = ranked(df, [*[F.asc(k) for k in keys], *order], "__g")
+    sizes = every.groupBy(*keys).agg((F.min("__g") - 1).alias("__off"), F.count("*").alias("__m"))
+    if not keys:
+        n = sizes.first()["__m"]
+        return every.withColumn(out, F.col("__g")).withColumn("__m", F.lit(n)).drop("__g"), sizes
+    named = sizes.select(*[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)], "__off", "__m")
+    same = [F.col(k).eqNullSafe(F.col(f"__s{i}")) for i, k in enumerate(keys)]
+    met = every.join(named, reduce(lambda a, b: a & b, same)).withColumn(out, F.col("__g") - F.col("__off"))
+    return met.drop("__g", "__off", *[f"__s{i}" for i in range(len(keys))]), sizes
+
+
+def quantiles(df: DataFrame, column: str, wanted: dict[str, float], keys: list[str] = (), nearest: bool = False) -> DataFrame:
+    """Exact quantiles of a column's values that aren't null, by rank: keys and one column each.
+
+    The value at (n - 1) q, between two elements in proportion or, if nearest, at the rounded place.
+    Rows are ranked by ranges; then the few wanted ranks are looked up. Without keys there is
+    always one row; keys without values have none.
+    """
+    keys = list(keys)
+    values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("__v"))
+    every = written(ranked(values, [*[F.asc(k) for k in keys], F.asc("__v")], "__g"), "quantiles")
+    sizes = every.groupBy(*keys).agg((F.min("__g") - 1).alias("__off"), F.count("*").alias("__m"))
+    at = lambda q: F.round((F.col("__m") - 1) * q) if nearest else (F.col("__m") - 1) * F.lit(float(q))
+    picks = [F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (F.col("__off") + 1 + (F.floor if side == 0 else F.ceil)(at(q))).cast("long").alias("at"), (at(q) - F.floor(at(q))).alias("share")) for name, q in wanted.items() for side in (0, 1)]
+    picks = sizes.filter("__m > 0").select(F.explode(F.array(*picks)).alias("p")).select("p.*")
+    got = every.join(picks, F.col("__g") == F.col("at"))
+    one = lambda name, side: F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("__v")))
+    share = lambda name: F.max(F.when(F.col("name") == name, F.col("share")))
+    if nearest:
+        return got.groupBy(*keys).agg(*[one(name, 0).alias(name) for name in wanted])
+    low, high = (lambda name: one(name, 0).cast("double")), (lambda name: one(name, 1).cast("double"))
+    return got.groupBy(*keys).agg(*[F.when(share(name) == 0, low(name)).otherwise(low(name) + (high(name) - low(name)) * share(name)).alias(name) for name in wanted])
+
+
+def beside(df: DataFrame, more: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """The columns of two frames with a row a key, or with one row each."""
+    keys = list(keys)
+    left = df if keys else df.withColumn("__k", F.lit(0))
+    right = more.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)], *[c for c in more.columns if c not in keys])
+    right = right if keys else right.withColumn("__r0", F.lit(0))
+    same = [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(keys or ["__k"])]
+    return left.join(right, reduce(lambda a, b: a & b, same), "left").drop("__k", *[f"__r{i}" for i in range(max(1, len(keys)))])
 
 
 def asof(left: DataFrame, right: DataFrame, keys: list[str], at: str, values: list[str], tolerance: float | None, direction: str, width: float, ties: str | None = None) -> DataFrame:

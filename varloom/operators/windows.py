@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.variants import completeness, minimal_alleles
 from ..runtime import written
+from .scans import within
 
 
 def best(df: DataFrame, keys: list[str], order: list[Column], out: str | None = None) -> DataFrame:
@@ -127,22 +128,20 @@ def credible_95(df: DataFrame, keys: list[str], probability: str, ties: list[str
     return df.withColumn("__cum", F.sum(scaled).over(upto)).filter((F.col("__sum") < 0.95) | (F.col("__cum") >= 0.05)).drop("__sum", "__cum")
 
 
-def average_rank(keys: list[str], order: Column) -> Column:
-    """Ranks with ties sharing their mean: rank + (ties - 1) / 2. order is ascending or descending."""
-    ranks = F.rank().over(Window.partitionBy(*keys).orderBy(order))
-    return ranks
-
-
 def with_average_rank(df: DataFrame, keys: list[str], column: str, out: str, descending: bool = False) -> DataFrame:
-    order = F.desc(column) if descending else F.asc(column)
-    ties = F.count("*").over(Window.partitionBy(*keys, column))
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(order)) + (ties - 1) / 2)
+    """Ranks within keys, ties sharing their mean; rows are ranked by ranges, so a key may hold all rows."""
+    made, _ = within(df, keys, [F.desc(column) if descending else F.asc(column)], "__r")
+    made = written(made.drop("__m"), "ranks")
+    names = [*keys, column]
+    ties = made.groupBy(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(names)]).agg((F.min("__r") + (F.count("*") - 1) / 2).alias(out))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(names)])
+    return made.join(ties, same).drop("__r", *[f"__t{i}" for i in range(len(names))])
 
 
 def relevance(df: DataFrame, name: str, score: str, p: str, out: str = "relevance", width: int = 27) -> DataFrame:
     """Average falling rank over n, halved for p over .05, doubled for p at most .05 / n; names are cut to `width`."""
+    n = F.lit(df.count())
     df = with_average_rank(df, [], score, "__rank", descending=True)
-    n = F.count("*").over(Window.partitionBy())
     value = F.col("__rank") / n * F.when(F.col(p) > 0.05, 0.5).when(F.col(p) <= 0.05 / n, 2.0).otherwise(1.0)
     return df.withColumn(out, value).withColumn(name, F.substring(name, 1, width)).drop("__rank")
 
@@ -169,7 +168,3 @@ def ranked_best_model(df: DataFrame, locus: str, posterior: str, k: str, name: s
     """A locus's model of greatest posterior, then least k, then name; any invalid model spoils its locus."""
     bad = df.groupBy(F.col(locus).alias("__l")).agg(F.min(F.col(valid).cast("int")).alias("__ok")).filter("__ok = 0")
     return best(df.join(bad, F.col(locus) == F.col("__l"), "left_anti"), [locus], [F.desc(posterior), F.asc(k), F.asc(name)])
-
-
-def materialised(df: DataFrame) -> DataFrame:
-    return written(df, "windows")
