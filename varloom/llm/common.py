@@ -47,16 +47,18 @@ def batched(spark: SparkSession, rows: int = ARROW_ROWS):
         spark.conf.set(name, before)
 
 
-def written(spark: SparkSession, df: DataFrame, name: str, small: bool = False) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, small: bool = False, numbers: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: a cut of lineage that outlives executors.
 
     small: rows of a few numbers, that a few files for each core hold better than one a partition.
+    numbers: mostly hashes and ids, which don't get smaller. Neither is compressed: a codec's
+    buffers lie outside the heap until it is collected, and many small files have many of them.
     """
     path = shared_dir(spark, name)
     if small:
         df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     with batched(spark):
-        df.write.parquet(path)
+        (df.write.option("compression", "none") if small or numbers else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -196,7 +196,7 @@ def _lists(classes: DataFrame, percent: int) -> DataFrame:
     """The inverted lists that have more than one class: v, cid, pivot (the list's least cid), m (its length)."""
     spark = classes.sparkSession
     listed = classes.filter("n > 0").select("cid", "n", F.explode("sketch").alias("v"))
-    counts = written(spark, listed.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1"), "values")
+    counts = written(spark, listed.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1"), "values", numbers=True)
     total = classes.agg(F.sum(F.size("sketch"))).first()[0] or 0
     # a common line's value is in many rows: those are broadcast, being few
     hot = max(2, int(total * HOT_SHARE))
@@ -229,7 +229,7 @@ def _by_pivots(slim: DataFrame, classes: DataFrame, lists: DataFrame, words: int
     dealt = written(spark, dealt.select("key", "pivot", "cid"), "dealt", small=True)
     rows = dealt.select("key", F.lit(1).alias("member"), "cid").unionByName(dealt.select("key", F.lit(0).alias("member"), F.col("pivot").alias("cid")).distinct())
     tasks = _texts(slim, classes, rows).select("key", "member", "cid", "__bytes").repartition("key").sortWithinPartitions("key", "member")
-    found = written(spark, tasks.mapInArrow(lean(_pivots(words, percent)), "a long, b long"), "links")
+    found = written(spark, tasks.mapInArrow(lean(_pivots(words, percent)), "a long, b long"), "links", numbers=True)
     return written(spark, components(spark, found), "labels", small=True)
 
 
@@ -269,7 +269,7 @@ def _by_blocks(slim: DataFrame, classes: DataFrame, lists: DataFrame, labels: Da
     same = (F.col("component") == F.col("tcomponent")) & (F.col("block") == F.col("tblock")) & F.col("own").eqNullSafe(F.col("town"))
     rows = put.join(tasks, same).select("key", "label", "cid")
     texts = _texts(slim, classes, rows).select("key", "label", "__bytes").repartition("key").sortWithinPartitions("key")
-    found = written(spark, texts.mapInArrow(lean(_blocks(words, percent)), "a long, b long"), "links")
+    found = written(spark, texts.mapInArrow(lean(_blocks(words, percent)), "a long, b long"), "links", numbers=True)
     return written(spark, components(spark, found), "labels", small=True)
 
 
@@ -277,11 +277,11 @@ def _decisions(placed: DataFrame, file: str, at: str, words: int = 5, percent: i
     """Per row: doc_id, n, keep (struct of the row that stays: nul, doc_id, file, row), f, row."""
     spark = placed.sparkSession
     slim = placed.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(file).alias("f"), F.col(at).alias("row"), F.col("text").cast("string").cast("binary").alias("__bytes"))
-    docs = written(spark, slim.mapInArrow(lean(_sketches(words)), "doc_id long, f long, row long, n long, digest binary, sketch array<long>"), "sketches")
+    docs = written(spark, slim.mapInArrow(lean(_sketches(words)), "doc_id long, f long, row long, n long, digest binary, sketch array<long>"), "sketches", numbers=True)
     total = docs.count()
     who = F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "f", "row")
     classes = docs.filter("n > 0").groupBy("digest").agg(F.min(who).alias("keep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
-    classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes", numbers=True)
     lists = _lists(classes, percent)
     labels = _by_pivots(slim, classes, lists, words, percent)
     merged = _by_blocks(slim, classes, lists, labels, words, percent).select(F.col("node").alias("l"), F.col("component").alias("top"))
