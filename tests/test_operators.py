@@ -323,3 +323,120 @@ def test_long_preamble_and_hash_header(spark, tmp_path):
     assert delimited.header_of(spark, str(f), "\t") == (["CHR", "POS"], 2500)
     got = delimited.read_strings(spark, str(f), "\t", comment="##").collect()
     assert [tuple(r) for r in got] == [("1", "5"), ("#2", "6")]
+
+
+def plain_left_aligned(seq, pos, ref, alt):
+    """One base at a time: cut the shared last base, borrow the base before where an allele is empty."""
+    while True:
+        if ref and alt and ref[-1] == alt[-1] and (len(ref) > 1 and len(alt) > 1 or pos > 1):
+            ref, alt = ref[:-1], alt[:-1]
+            if not ref or not alt:
+                pos -= 1
+                ref, alt = seq[pos - 1] + ref, seq[pos - 1] + alt
+        else:
+            break
+    while len(ref) > 1 and len(alt) > 1 and ref[0] == alt[0]:
+        ref, alt, pos = ref[1:], alt[1:], pos + 1
+    return pos, ref, alt
+
+
+def test_left_alignment_equals_plain_steps(spark):
+    import random
+
+    from varloom.operators import normalise
+
+    r = random.Random(2)
+    seq = "".join(r.choices("AC", k=60)) + "ACACAC" * 20 + "".join(r.choices("ACGT", k=60)) + "G" * 50 + "T"
+    rows = []
+    for i in range(150):
+        p, k = r.randint(1, len(seq) - 6), r.randint(1, 5)
+        if i % 3 == 0:
+            rows.append((i, "1", p, seq[p - 1 : p + k], seq[p - 1]))
+        elif i % 3 == 1:
+            u = seq[max(0, p - k) : p]
+            rows.append((i, "1", p, seq[p - 1], seq[p - 1] + u))
+        else:
+            rows.append((i, "1", p, seq[p - 1], r.choice("ACGT")))
+    made = spark.createDataFrame(rows + [(900, "2", 5, "AT", "A"), (901, None, None, None, None)], "id long, chrom string, pos long, ref string, alt string")
+    chunks = normalise.reference_chunks(spark.createDataFrame([("1", seq)], "chrom string, seq string"), 16)
+    got = {x.id: (x.norm_pos, x.norm_ref, x.norm_alt) for x in normalise.left_aligned(made, chunks, 16).collect()}
+    assert len(got) == len(rows) + 2 and got[900] == (5, "AT", "A") and got[901] == (None, None, None)
+    for i, _, p, a, b in rows:
+        if a != b:
+            assert got[i] == plain_left_aligned(seq, p, a, b), (p, a, b)
+
+
+def test_vcf_parts_are_whole(spark, tmp_path):
+    from varloom.sources import vcf
+
+    d = spark.createDataFrame([("1", 5, "rs1", "A", "G", 0.5, 100.0), ("2", 3, "rs2", "C", "T", None, 7.6), ("1", 2, None, "G", "T", 0.1, None)], "CHROM string, POS long, ID string, REF string, ALT string, ES double, SS double")
+    vcf.write_gwas(d, str(tmp_path / "a"), {"1": 10, "2": 10}, "trait", "GRCh38")
+    parts = [p for p in (tmp_path / "a").glob("part-*") if p.stat().st_size]
+    body = []
+    for p in parts:
+        lines = p.read_text().splitlines()
+        assert lines[0] == "##fileformat=VCFv4.2" and sum(x.startswith("#CHROM") for x in lines) == 1
+        assert any("ID=SS,Number=A,Type=Integer" in x for x in lines)
+        body += [x for x in lines if not x.startswith("#")]
+    assert {x.split("\t")[-1] for x in body} == {"0.5:100:rs1", ".:8:rs2", "0.1:.:."}
+    assert [r.ID for r in vcf.read(spark, str(tmp_path / "a"), region=("1", 3, 9)).collect()] == ["rs1"]
+    assert vcf.read(spark, str(tmp_path / "a"), sample="trait").count() == 3
+    with pytest.raises(ValueError, match="no sample"):
+        vcf.read(spark, str(tmp_path / "a"), sample="other")
+    vcf.write_gwas(d.limit(0), str(tmp_path / "b"), {"1": 10}, "trait", "GRCh38")
+    assert "#CHROM" in "".join(p.read_text() for p in (tmp_path / "b").glob("part-*")) and vcf.read(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_heritability_is_found(spark):
+    import numpy as np
+
+    from varloom.operators import models
+
+    r = np.random.default_rng(0)
+    n, m = 50_000.0, 200_000.0
+    score = r.gamma(2, 40, 20_000)
+    chi2 = (1.1 + n * 0.3 * score / m) * r.chisquare(1, 20_000)
+    d = spark.createDataFrame([(float(a), float(b), n) for a, b in zip(chi2, score)] + [(None, 1.0, n), (float("nan"), 1.0, n)], "chi2 double, score double, n double")
+    got = models.heritability(d, "chi2", "score", "n", m)
+    assert abs(got["h2"] - 0.3) < 4 * got["h2_se"] < 0.1 and abs(got["intercept"] - 1.1) < 4 * got["intercept_se"]
+    assert np.isnan(models.heritability(d.limit(0), "chi2", "score", "n", m)["h2"])
+
+
+def test_ranks_medians_and_families(spark):
+    import numpy as np
+
+    from varloom.operators import aggregates, corrections, ranges, scans, windows
+
+    r = np.random.default_rng(1)
+    rows = [(int(g), float(x), float(y)) for g, x, y in zip(r.integers(0, 3, 400), r.integers(0, 25, 400), r.random(400))] + [(7, 1.0, 0.5), (8, None, None)]
+    d = spark.createDataFrame(rows, "g int, x double, y double")
+    for keys in ([], ["g"]):
+        got = sorted((t.g, t.x, t.r) for t in windows.with_average_rank(d.filter("x is not null"), keys, "x", "r").collect())
+        want = []
+        for g, x, _ in rows:
+            if x is not None:
+                mine = [b for a, b, _ in rows if b is not None and (not keys or a == g)]
+                want.append((g, x, sum(b < x for b in mine) + (sum(b == x for b in mine) + 1) / 2))
+        assert got == sorted(want)
+    some = {t.g: t for t in scans.quantiles(d, "x", {"low": 0.25, "mid": 0.5}, ["g"]).collect()}
+    for g in (0, 1, 2, 7):
+        mine = [x for a, x, _ in rows if a == g and x is not None]
+        assert some[g].mid == np.median(mine) and some[g].low == np.quantile(mine, 0.25)
+    assert 8 not in some and aggregates.frequency_summary(d.filter("g = 8"), "y").first().median is None
+    adj = {(t.g, t.y): t.adj_fdr_bh for t in corrections.adjusted(d, "y", ("fdr_bh", "holm"), family=["g"], ties=["x"]).collect()}
+    for g in (0, 7):
+        p = np.sort([y for a, _, y in rows if a == g])
+        q = np.minimum.accumulate((p * len(p) / np.arange(1, len(p) + 1))[::-1])[::-1]
+        assert all(abs(adj[g, float(a)] - min(b, 1)) < 1e-12 for a, b in zip(p, q))
+    points = spark.createDataFrame([("1", 5), ("1", 5), ("1", 50)], "c string, p long")
+    spans = spark.createDataFrame([("1", 1, 9), ("1", 4, 6)], "k string, s long, e long")
+    assert ranges.contains(points, spans, [("c", "k")], "p", "s", "e", "left_semi").count() == 2
+
+
+def test_parsed_integers_keep_every_digit(spark):
+    from pyspark.sql import functions as F
+
+    from varloom.functions import variants
+
+    d = spark.createDataFrame([("9007199254740993",), ("1,234",), ("1e3",), ("1.5",), ("x",), (None,)], "t string")
+    assert [r[0] for r in d.select(variants.parsed_integer(F.col("t"))).collect()] == [9007199254740993, 1234, 1000, None, None, None]

@@ -62,7 +62,7 @@ def frequency_summary(df: DataFrame, column: str) -> DataFrame:
         F.min(v).alias("least"),
         F.max(v).alias("most"),
         F.avg(v).alias("mean"),
-        (F.count_if(F.coalesce(v <= 0.5, F.lit(False))) / F.count(v)).alias("minor_fraction"),
+        F.try_divide(F.count_if(F.coalesce(v <= 0.5, F.lit(False))), F.count(v)).alias("minor_fraction"),
     )
     return with_median(got, df, v)
 

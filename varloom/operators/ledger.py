@@ -181,6 +181,28 @@ def quality_rules(policy: QualityPolicy, c: dict[str, Column]) -> list[Rule]:
     return out
 
 
+def contract_check(evaluated: DataFrame, contract: DataFrame, rule: str = "rule") -> DataFrame:
+    """Evaluated rules against the contract made before the run: rule, status, differences.
+
+    Both have the rule's name and the same columns of settings. status: agrees, changed (differences
+    names the columns), missing (in the contract alone), unexpected or repeated. Nulls are equal.
+    """
+    columns = [c for c in contract.columns if c != rule]
+    absent = set(columns) ^ {c for c in evaluated.columns if c != rule}
+    if absent:
+        raise ValueError(f"settings differ: {sorted(absent)}")
+    side = lambda df, name: df.groupBy(F.col(rule).alias(f"{name}_rule")).agg(F.count("*").alias(f"{name}_n"), *[F.first(c).alias(f"{name}_{c}") for c in columns])
+    both = side(evaluated, "e").join(side(contract, "c"), F.col("e_rule") == F.col("c_rule"), "full")
+    differ = F.concat_ws(",", *[F.when(~F.col(f"e_{c}").eqNullSafe(F.col(f"c_{c}")), F.lit(c)) for c in columns])
+    status = F.when(F.col("e_rule").isNull(), "missing").when(F.col("c_rule").isNull(), "unexpected").when((F.col("e_n") > 1) | (F.col("c_n") > 1), "repeated").when(differ != "", "changed").otherwise("agrees")
+    return both.select(F.coalesce("e_rule", "c_rule").alias(rule), status.alias("status"), F.when(status == "changed", differ).otherwise("").alias("differences"))
+
+
+def report_rows(assessment: DataFrame, keys: list[str], details: list[str]) -> DataFrame:
+    """A rule's details one a row: keys, detail, value (text)."""
+    return assessment.unpivot(keys, [F.col(d).cast("string").alias(d) for d in details], "detail", "value")
+
+
 def attribution(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per rule in priority order: observed, primary (first rule that a row meets), unique, overlap.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dot
 from ..functions.special import erfc
+from ..functions.variants import finite
 from .ranges import contains
 from .windows import scaled_in_group
 
@@ -106,8 +109,6 @@ def predicted(df: DataFrame, features: str, coefficients: np.ndarray, out: str =
 
 def stepwise(df: DataFrame, features: str, y: str, n: int, cutoff: float, most: int) -> list[int]:
     """Forward selection: the feature of least p given those chosen, until none is under the cutoff. One pass over the rows."""
-    import math
-
     xtx, xty, yty, rows = cross_products(df, features, y, n)
     chosen: list[int] = []
     while len(chosen) < most:
@@ -145,6 +146,42 @@ def contained_scores(regions: DataFrame, variants: DataFrame, keys: list[tuple[s
     return regions.select(group).distinct().join(got, group, "left").fillna(0.0, ["score_sum", "score_max"])
 
 
+def heritability(df: DataFrame, chi2: str, score: str, n: str, markers: float, rounds: int = 2, blocks: int = 200, order: str | None = None, block_width: float = 1e7) -> dict[str, float]:
+    """Heritability by regression of test statistics on linkage scores: h2, intercept and, with blocks, their errors.
+
+    E[chi2] = n h2 score / markers + intercept, weighted by 1 / (score (1 + n h2 score / markers) ** 2)
+    with the estimate of the round before, the first from the means. A round is one aggregation:
+    five sums for each block of rows (`block_width` wide along `order`, which neighbours share, else by a hash); the driver solves two equations.
+    Errors are the jackknife's over blocks.
+    """
+    rows = df.filter(finite(F.col(chi2)) & finite(F.col(score)) & finite(F.col(n)))
+    block = F.floor(F.col(order) / F.lit(block_width)) if order else F.pmod(F.xxhash64(chi2, score, n), F.lit(max(1, blocks)))
+    means = rows.agg(F.avg(chi2), F.avg(F.col(n) * F.col(score))).first()
+    if means[0] is None:
+        return {"h2": math.nan, "intercept": math.nan, "h2_se": math.nan, "intercept_se": math.nan}
+    h2 = min(max(markers * (means[0] - 1) / means[1], 0.0), 1.0) if means[1] else 0.0
+    size = F.greatest(F.col(score), F.lit(1.0))
+    x, y = F.col(n) * F.col(score) / F.lit(float(markers)), F.col(chi2)
+
+    def solved(s: np.ndarray) -> tuple[float, float]:
+        w, wx, wy, wxx, wxy = s
+        slope = (w * wxy - wx * wy) / (w * wxx - wx * wx)
+        return float(slope), float((wy - slope * wx) / w)
+
+    for _ in range(max(1, rounds)):
+        fit = F.lit(1.0) + F.lit(min(max(h2, 0.0), 1.0)) * F.col(n) * size / F.lit(float(markers))
+        w = 1.0 / (size * fit * fit)
+        sums = rows.groupBy(block.alias("b")).agg(F.sum(w), F.sum(w * x), F.sum(w * y), F.sum(w * x * x), F.sum(w * x * y)).collect()
+        parts = np.array([r[1:] for r in sums], float)
+        h2, intercept = solved(parts.sum(0))
+    out = {"h2": h2, "intercept": intercept, "h2_se": math.nan, "intercept_se": math.nan}
+    if len(parts) > 1:
+        left = np.array([solved(parts.sum(0) - p) for p in parts])
+        m = len(parts)
+        out["h2_se"], out["intercept_se"] = np.sqrt((m - 1) / m * ((left - left.mean(0)) ** 2).sum(0)).tolist()
+    return out
+
+
 def centroids(credible: DataFrame, locus: str, pos: str, pip: str) -> DataFrame:
     return credible.groupBy(locus).agg((F.sum(F.col(pos) * F.col(pip)) / F.sum(pip)).alias("centroid"), F.count("*").alias("set_size"), F.max(pip).alias("max_pip"))
 

@@ -89,6 +89,26 @@ def imputed(typed: DataFrame, pairs: DataFrame, identifier: str, donors: list[st
     return got.select(F.col("id2").alias(identifier), F.col("top.i").alias("donor"), F.col("top.r2").alias("r2"), "top.x.*", *[f"mean_{d}" for d in donors])
 
 
+def imputed_from_panels(typed: DataFrame, panels: dict[str, tuple[DataFrame, dict[str, str]]], chosen: list[str], identifier: str, donors: list[str], least_r2: float) -> DataFrame:
+    """``imputed`` by each chosen panel, combined: an untyped variant's estimate of greatest r2, then of the panel named first.
+
+    panels: name to (pairs, their columns by the names that ``imputed`` knows); unknown names are an
+    error. `panels` counts those that had the variant.
+    """
+    unknown = [p for p in chosen if p not in panels]
+    if unknown or not chosen:
+        raise ValueError(f"unknown panels: {unknown}" if unknown else "no panel is chosen")
+    parts = []
+    for place, name in enumerate(chosen):
+        pairs, columns = panels[name]
+        pairs = pairs.select(*[F.col(columns.get(c, c)).alias(c) for c in ("id1", "id2", "maf1", "maf2", "r2", "dprime")])
+        parts.append(imputed(typed, pairs, identifier, donors, least_r2).withColumn("panel", F.lit(name)).withColumn("__place", F.lit(-place)))
+    every = reduce(DataFrame.unionByName, parts)
+    values = [c for c in every.columns if c not in (identifier, "__place")]
+    best = every.groupBy(identifier).agg(F.max(F.struct("r2", "__place", F.struct(*values).alias("v"))).alias("x"), F.count("*").alias("panels"))
+    return best.select(identifier, "x.v.*", "panels")
+
+
 def with_gene_metadata(results: DataFrame, locations: DataFrame, key: str) -> DataFrame:
     """Results with their gene's columns, each gene exactly once in the locations."""
     got = windows.with_count(locations, [key], "__m").withColumnRenamed(key, "__k")

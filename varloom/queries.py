@@ -11,7 +11,7 @@ from .functions import numeric as num
 from .functions import special
 from .functions import variants as var
 from .operators import aggregates as agg
-from .operators import corrections, graph, inference, intervals, joins, ledger, models, ranges, scans, sets_of, windows, workflows
+from .operators import corrections, graph, inference, intervals, joins, ledger, models, normalise, ranges, scans, scores, sets_of, windows, workflows
 from .runtime import shared_dir
 from .sources import delimited, genomic, sinks, vcf
 
@@ -787,11 +787,14 @@ def model_marginal_ols(spark, sf):
     return d.select("feature", "n", F.round("beta", 7).alias("beta"), F.round("se", 7).alias("se"), F.round("z", 6).alias("z"), F.round("r2", 7).alias("r2"))
 
 
-@query()
+@query("""WITH s AS (SELECT feature, count(*) AS n, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy FROM """ + CENTRED + """ GROUP BY feature),
+ z AS (SELECT CAST(feature AS INTEGER) AS feature, sxy / sxx / sqrt(greatest(syy - sxy / sxx * sxy, 0) / (n - 1) / sxx) AS z FROM s),
+ t AS (SELECT * FROM z WHERE feature NOT IN (0, 1) AND abs(z) >= 0.6744897501960817 ORDER BY abs(z) DESC, feature LIMIT 10)
+ SELECT feature, round(z, 6) AS z FROM t UNION ALL SELECT feature, round(z, 6) FROM z WHERE feature IN (0, 1)""")
 def model_selected_features(spark, sf):
-    """p needs erfc; tests hold it against math.erfc."""
+    """p of at most 0.5 is |z| of at least 0.674: p falls as |z| grows."""
     d = models.marginal_ols(models.long_features(_labelled(spark, sf), ["y"], "embedding"), "y", "x", "feature")
-    return models.selected_features(d, "p", "feature", 0.5, 10, [0, 1]).select("feature", F.round("p", 9).alias("p"))
+    return models.selected_features(d, "p", "feature", 0.5, 10, [0, 1]).select("feature", F.round("z", 6).alias("z"))
 
 
 @query()
@@ -864,14 +867,20 @@ def model_best_by_posterior(spark, sf):
     return windows.ranked_best_model(d, "l_suppkey", "l_extendedprice", "l_linenumber", "rid", "valid").select("l_suppkey", "l_linenumber", "l_quantity")
 
 
-@query()
+@query("""WITH t AS (SELECT count(*) AS n, count(*) FILTER (p_size >= 40) AS k FROM part), b AS (SELECT p_brand, CAST(count(*) FILTER (p_size >= 40) AS DOUBLE) AS k, CAST(count(*) AS DOUBLE) AS drawn FROM part GROUP BY p_brand),
+ i AS (SELECT p_brand, b.k AS k, drawn, n, t.k AS marked, unnest(range(CAST(b.k AS BIGINT), CAST(least(drawn, t.k) AS BIGINT) + 1)) AS x FROM b, t),
+ e AS (SELECT p_brand, k, drawn, sum(exp(lgamma(marked + 1) - lgamma(x + 1) - lgamma(marked - x + 1) + lgamma(n - marked + 1) - lgamma(drawn - x + 1) - lgamma(n - marked - drawn + x + 1) - lgamma(n + 1) + lgamma(drawn + 1) + lgamma(n - drawn + 1))) AS p
+       FROM i WHERE n - marked - drawn + x >= 0 GROUP BY p_brand, k, drawn),
+ r AS (SELECT *, row_number() OVER (ORDER BY p, p_brand) AS r, count(*) OVER () AS m FROM e),
+ a AS (SELECT *, least(p * m, 1.0) AS bo, least(min(p * m / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS f FROM r)
+ SELECT p_brand, k, drawn, round(p, 7) AS p, round(bo, 7) AS adj_bonferroni, round(f, 7) AS adj_fdr_bh, p <= 0.05 AS nominal, bo <= 0.05 AS significant_bonferroni, f <= 0.05 AS significant_fdr_bh FROM a""")
 def rep_hypergeometric_enrichment(spark, sf):
     """Over-representation of each brand among large parts; tests hold the tail against exact integers."""
     d = table(spark, sf, "part").withColumn("big", F.col("p_size") >= 40)
     n, k = d.agg(F.count("*"), F.count_if("big")).first()
     one = d.groupBy("p_brand").agg(F.count_if("big").cast("double").alias("k"), F.count("*").cast("double").alias("drawn"))
     one = one.withColumn("p", special.hypergeometric_tail(F.col("k"), F.lit(float(n)), F.lit(float(k)), F.col("drawn")))
-    return _rounded(corrections.flags(one, "p", ties=["p_brand"]))
+    return _rounded(corrections.flags(one, "p", ties=["p_brand"]), 7)
 
 
 @query(f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY p, o_orderkey) AS r, count(*) OVER () AS m FROM ({PVALUES})), a AS (SELECT p, least(p * m, 1.0) AS b, least(min(p * m / r) OVER (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS f FROM r)
@@ -1090,3 +1099,103 @@ def sort_chromosome_place(spark, sf):
 def set_stacked_provenance(spark, sf):
     d = sets_of.stacked({"tables": table(spark, sf, "orders").select(F.lit(1).alias("v")), "rows": table(spark, sf, "customer").select(F.lit(1).alias("v"))}, "key")
     return d.groupBy("key").agg(F.count("*").alias("n"))
+
+
+# -- regulatory scores, contracts, panels, heritability, alignment
+
+REGIONS = """SELECT *, CAST(g_start % 7 + 1 AS DOUBLE) / 8 AS x FROM (""" + GENES + """)"""
+
+
+@query("WITH g AS (" + REGIONS + """), v AS (SELECT chrom, pos, l_discount * 10 AS pip FROM {S}),
+ r AS (SELECT 'abc_ep' AS source, gene, g_chrom, g_start, g_end, x AS total, x AS most FROM g
+  UNION ALL SELECT 'abc_crispr', gene, g_chrom, g_start + 5, g_end + 9, x, x FROM g
+  UNION ALL SELECT 'cicero', gene, g_chrom, g_start - 3, g_end, -x, -x FROM g
+  UNION ALL SELECT 'genehancer', gene, g_chrom, g_start, g_end + 1, x * 2, x * 2 FROM g
+  UNION ALL SELECT 'roadmap', gene, g_chrom, g_start + 1, g_end + 1, x, x FROM g
+  UNION ALL SELECT 'epimap', gene, g_chrom, g_start + 2, g_end + 2, x, x FROM g
+  UNION ALL SELECT 'promoter', gene, g_chrom, g_start - 20, g_start + 20, 1.0, 1.0 FROM g
+  UNION ALL SELECT 'f5', gene, g_chrom, g_start + 10, g_end + 10, x, x FROM g
+  UNION ALL SELECT 'jung_hic', gene, g_chrom, g_start + 30, g_end + 30, x * 2000, x * 2000 FROM g WHERE x * 2000 < 1000
+  UNION ALL SELECT 'javierre_hic', gene, g_chrom, g_start, g_end, x + 0.5, greatest(x, 0.5) FROM g
+  UNION ALL SELECT 'hacer_CAGE', gene, g_chrom, g_start, g_end, 1.0, 1.0 FROM g),
+ s AS (SELECT gene, source, sum(total * pip) AS t, greatest(max(most * pip), 0.0) AS m FROM r JOIN v ON chrom = g_chrom AND pos BETWEEN g_start AND g_end GROUP BY gene, source),
+ a AS (SELECT g.gene AS gene, q.source AS source, coalesce(t, 0.0) AS t, coalesce(m, 0.0) AS m FROM g CROSS JOIN (SELECT DISTINCT source FROM r) q LEFT JOIN s ON s.gene = g.gene AND s.source = q.source)
+ SELECT gene, source, round(t, 6) + 0.0 AS total, round(m, 6) + 0.0 AS most FROM a""")
+def model_region_scores(spark, sf):
+    tables(spark, sf, "supplier")
+    g = spark.sql(REGIONS)
+    moved = lambda a, b, v, name: g.select("gene", F.concat(F.lit("chr"), "g_chrom").alias("chr"), (F.col("g_start") + a).alias("start"), (F.col("g_end") + b).alias("end"), v.alias(name))
+    x, at = F.col("x"), lambda c, n: (F.col(c) + n).cast("string")
+    sources = {
+        "abc_ep": scores.enhancer_links(moved(0, 0, x, "ABC.Score")),
+        "abc_crispr": scores.crispr_links(moved(5, 9, x, "ABC_max")),
+        "cicero": scores.accessibility_links(moved(-3, 0, -x, "cor")),
+        "genehancer": scores.enhancer_scores(moved(0, 1, x * 2, "score")),
+        "roadmap": scores.roadmap_links(moved(1, 1, x, "max")),
+        "epimap": scores.epigenome_links(moved(2, 2, x, "corr")),
+        "promoter": scores.promoters(g.select("gene", F.col("g_chrom").alias("chr"), (F.col("g_start") - 20).alias("start"), (F.col("g_start") + 20).alias("end"))),
+        "f5": scores.enhancer_correlations(g.select("gene", F.concat(F.lit("chr"), "g_chrom", F.lit(":"), at("g_start", 10), F.lit("-"), at("g_end", 10)).alias("enhancer"), x.alias("correlation"))),
+        "jung_hic": scores.captured_targets(g.select("gene", F.concat_ws(".", "g_chrom", at("g_start", 30), at("g_end", 30)).alias("target"), (x * 2000).alias("dist_pvalue"))),
+        "javierre_hic": scores.captured_promoters(g.select("gene", F.col("g_chrom").alias("oeChr"), F.col("g_start").alias("oeStart"), F.col("g_end").alias("oeEnd"), x.alias("Mon"), F.lit(0.5).alias("tB")), cell_types=["Mon", "tB"]),
+        "hacer_CAGE": scores.enhancer_density(moved(0, 0, x, "other"), "CAGE"),
+    }
+    v = study(spark, sf).select("chrom", "pos", (F.col("l_discount") * 10).alias("pip"))
+    wide = scores.region_scores(g.select("gene"), "gene", v, "chrom", "pos", "pip", sources)
+    one = F.explode(F.array(*[F.struct(F.lit(k).alias("source"), F.col(f"{k}_sum").alias("total"), F.col(f"{k}_max").alias("most")) for k in sources])).alias("x")
+    return _rounded(wide.select("gene", one).select("gene", "x.*"), 6)
+
+
+@query("""WITH e AS (SELECT n_name AS rule, n_regionkey AS threshold, n_nationkey % 3 = 0 AS active FROM nation WHERE n_nationkey < 20), c AS (SELECT n_name AS rule, n_regionkey + CASE WHEN n_nationkey % 5 = 0 THEN 1 ELSE 0 END AS threshold, n_nationkey % 4 = 0 AS active FROM nation WHERE n_nationkey > 3)
+ SELECT coalesce(e.rule, c.rule) AS rule, CASE WHEN e.rule IS NULL THEN 'missing' WHEN c.rule IS NULL THEN 'unexpected' WHEN e.threshold <> c.threshold OR e.active <> c.active THEN 'changed' ELSE 'agrees' END AS status,
+ CASE WHEN e.rule IS NULL OR c.rule IS NULL THEN '' ELSE concat_ws(',', CASE WHEN e.threshold <> c.threshold THEN 'threshold' END, CASE WHEN e.active <> c.active THEN 'active' END) END AS differences FROM e FULL JOIN c ON e.rule = c.rule""")
+def agg_rule_contract(spark, sf):
+    n = table(spark, sf, "nation")
+    made = n.filter("n_nationkey < 20").selectExpr("n_name as rule", "n_regionkey as threshold", "n_nationkey % 3 = 0 as active")
+    agreed = n.filter("n_nationkey > 3").selectExpr("n_name as rule", "n_regionkey + CASE WHEN n_nationkey % 5 = 0 THEN 1 ELSE 0 END as threshold", "n_nationkey % 4 = 0 as active")
+    return ledger.contract_check(made, agreed)
+
+
+@query("""SELECT s_suppkey, 'acctbal' AS detail, CAST(CAST(s_acctbal AS BIGINT) AS VARCHAR) AS value FROM supplier UNION ALL SELECT s_suppkey, 'nation', CAST(s_nationkey AS VARCHAR) FROM supplier""".replace("CAST(s_acctbal AS BIGINT)", "CAST(floor(s_acctbal) AS BIGINT)"))
+def rep_rule_details(spark, sf):
+    d = table(spark, sf, "supplier").select("s_suppkey", F.floor("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nation"))
+    return ledger.report_rows(d, ["s_suppkey"], ["acctbal", "nation"])
+
+
+@query("""WITH t AS (SELECT s_suppkey AS id, s_acctbal / 1e5 AS beta, 0.05 AS se, s_acctbal AS n FROM supplier),
+ a AS (SELECT l_suppkey AS id1, l_partkey + 1000000 AS id2, l_discount * 5 + 0.4 AS r2 FROM lineitem WHERE l_linenumber < 3), b AS (SELECT l_suppkey AS id1, l_partkey + 1000100 AS id2, l_discount * 4 + 0.45 AS r2 FROM lineitem WHERE l_linenumber >= 3),
+ j AS (SELECT 'first' AS panel, 0 AS place, id2, max(r2) AS r2, avg(n) AS mean_n FROM a JOIN t ON id1 = id WHERE r2 >= 0.6 GROUP BY id2 UNION ALL SELECT 'second', 1, id2, max(r2), avg(n) FROM b JOIN t ON id1 = id WHERE r2 >= 0.6 GROUP BY id2)
+ SELECT id2 AS id, round(r2, 9) AS r2, round(mean_n, 7) AS mean_n, panel, count(*) OVER (PARTITION BY id2) AS panels FROM j QUALIFY row_number() OVER (PARTITION BY id2 ORDER BY r2 DESC, place) = 1""")
+def join_panel_imputation(spark, sf):
+    t = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "s_acctbal / 1e5 as beta", "0.05D as se", "s_acctbal as n")
+    line = table(spark, sf, "lineitem")
+    rest = ["l_tax * 4 + 0.1 as maf1", "l_tax * 5 + 0.05 as maf2", "l_quantity / 50 as dprime"]
+    first = line.filter("l_linenumber < 3").selectExpr("l_suppkey as id1", "l_partkey + 1000000 as id2", "l_discount * 5 + 0.4 as r2", *rest)
+    second = line.filter("l_linenumber >= 3").selectExpr("l_suppkey as snp_a", "l_partkey + 1000100 as snp_b", "l_discount * 4 + 0.45 as r2", *rest)
+    panels = {"first": (first, {}), "second": (second, {"id1": "snp_a", "id2": "snp_b"}), "third": (first, {})}
+    d = workflows.imputed_from_panels(t, panels, ["first", "second"], "id", ["n"], 0.6)
+    return d.select("id", F.round("r2", 9).alias("r2"), F.round("mean_n", 7).alias("mean_n"), "panel", "panels")
+
+
+@query("""WITH d AS (SELECT 1 + l_discount * 10 + l_tax * l_quantity / 10 AS y, l_quantity AS l, 1000.0 + l_suppkey AS n FROM lineitem), m AS (SELECT least(greatest(5000 * (avg(y) - 1) / avg(n * l), 0), 1) AS h FROM d),
+ w AS (SELECT y, n * l / 5000 AS x, 1 / (greatest(l, 1) * (1 + h * n * greatest(l, 1) / 5000) * (1 + h * n * greatest(l, 1) / 5000)) AS w FROM d, m),
+ s AS (SELECT sum(w) AS w, sum(w * x) AS wx, sum(w * y) AS wy, sum(w * x * x) AS wxx, sum(w * x * y) AS wxy FROM w), e AS (SELECT *, (w * wxy - wx * wy) / (w * wxx - wx * wx) AS h2 FROM s)
+ SELECT round(h2, 9) AS h2, round((wy - h2 * wx) / w, 7) AS intercept FROM e""")
+def model_heritability(spark, sf):
+    d = table(spark, sf, "lineitem").selectExpr("1 + l_discount * 10 + l_tax * l_quantity / 10 as y", "l_quantity as l", "1000.0D + l_suppkey as n")
+    got = models.heritability(d, "y", "l", "n", 5000.0, rounds=1)
+    return spark.createDataFrame([(round(got["h2"], 9), round(got["intercept"], 7))], "h2 double, intercept double")
+
+
+@query("""WITH RECURSIVE q AS (SELECT s_suppkey AS id, 'ACACACGTTTTTGCAGCAGCA' AS seq, CAST(s_suppkey % 17 + 4 AS BIGINT) AS p0, CAST(s_suppkey % 3 + 1 AS BIGINT) AS k, s_suppkey % 2 = 0 AS deletion FROM supplier),
+ v AS (SELECT id, seq, p0 AS pos, CASE WHEN deletion THEN substr(seq, p0 + 1, k) ELSE substr(seq, p0 - k + 1, k) END AS u, deletion FROM q WHERE p0 + k <= length(seq)),
+ m AS (SELECT id, seq, pos, u, deletion FROM v UNION ALL SELECT id, seq, pos - 1, substr(seq, pos, 1) || substr(u, 1, length(u) - 1), deletion FROM m WHERE pos > 1 AND right(u, 1) = substr(seq, pos, 1))
+ SELECT id, min(pos) AS norm_pos, CASE WHEN deletion THEN substr(seq, min(pos), 1) || arg_min(u, pos) ELSE substr(seq, min(pos), 1) END AS norm_ref, CASE WHEN deletion THEN substr(seq, min(pos), 1) ELSE substr(seq, min(pos), 1) || arg_min(u, pos) END AS norm_alt FROM m GROUP BY id, seq, deletion""")
+def exp_left_aligned(spark, sf):
+    """Insertions and deletions in a sequence with repeats, against chunks of five bases."""
+    seq = "ACACACGTTTTTGCAGCAGCA"
+    d = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "'1' as chrom", "CAST(s_suppkey % 17 + 4 AS BIGINT) as pos", "CAST(s_suppkey % 3 + 1 AS INT) as k", "s_suppkey % 2 = 0 as deletion").filter(F.col("pos") + F.col("k") <= len(seq))
+    text, at = F.lit(seq), F.col("pos").cast("int")
+    one, u = F.substr(text, at, F.lit(1)), F.when(F.col("deletion"), F.substr(text, at + 1, F.col("k"))).otherwise(F.substr(text, at - F.col("k") + 1, F.col("k")))
+    d = d.select("id", "chrom", "pos", F.when(F.col("deletion"), F.concat(one, u)).otherwise(one).alias("ref"), F.when(F.col("deletion"), one).otherwise(F.concat(one, u)).alias("alt"))
+    chunks = normalise.reference_chunks(spark.createDataFrame([("1", seq)], "chrom string, seq string"), 5)
+    return normalise.left_aligned(d, chunks, 5).select("id", "norm_pos", "norm_ref", "norm_alt")
