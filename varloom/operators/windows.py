@@ -25,12 +25,19 @@ def best_value(df: DataFrame, keys: list[str], order: Column, values: list[str])
     return got.select(*keys, *[F.col(f"x.{v}").alias(v) for v in values])
 
 
-def resolve_duplicates(df: DataFrame, chrom: str, pos: str, ea: str, oa: str, consistent: list[str], measures: list[str], sample_size: str, info: str, row: str, tolerance: float | None = None) -> DataFrame:
+def least_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Of each key the whole row that is least in a total order of sortable values, by a partial aggregation."""
+    values = F.struct(*[F.col(c) for c in df.columns if c not in keys]).alias("v")
+    got = df.groupBy(*keys).agg(F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], values)).alias("x"))
+    return got.select(*[F.col(c) if c in keys else F.col(f"x.v.{c}").alias(c) for c in df.columns])
+
+
+def resolve_duplicates(df: DataFrame, chrom: str, pos: str, ea: str, oa: str, consistent: list[str], measures: list[str], sample_size: str, info: str, row: str, tolerance: float | None = None, most_broadcast: int = 200_000) -> DataFrame:
     """df with `duplicate_status`: null for rows that stay, else why a row goes.
 
     Key: chromosome, position and unordered alleles after trimming shared bases. Groups in both
     orientations go whole; so do groups whose consistent fields differ; else the most complete
-    row stays, then the largest sample, the best info, the first row.
+    row stays, then the largest sample, the best info, the least row id (of any type that sorts).
     """
     ends = minimal_alleles(F.col(pos), F.col(ea), F.col(oa))
     df = df.withColumn("__t", ends).withColumn("__low", F.least("__t.a", "__t.b")).withColumn("__high", F.greatest("__t.a", "__t.b")).withColumn("__pos", F.col("__t.pos"))
@@ -40,12 +47,15 @@ def resolve_duplicates(df: DataFrame, chrom: str, pos: str, ea: str, oa: str, co
         conflict = [F.min(c) != F.max(c) for c in consistent]
     else:
         conflict = [F.max(c) - F.min(c) > tolerance * F.greatest(F.abs(F.max(c)), F.abs(F.min(c))) for c in consistent]
-    score = F.struct(completeness(*[F.col(m) for m in measures]).alias("c"), F.coalesce(F.col(sample_size).cast("double"), F.lit(float("-inf"))).alias("n"), F.coalesce(F.col(info).cast("double"), F.lit(float("-inf"))).alias("i"), (-F.col(row)).alias("r"))
-    groups = df.groupBy(*key).agg(F.count("*").alias("__m"), (F.min(turned) != F.max(turned)).alias("__swap"), reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conflict], F.lit(False)).alias("__differ"), F.max(score).alias("__best"))
+    last = lambda c: F.coalesce(-F.col(c).cast("double"), F.lit(float("inf")))
+    score = F.struct((-completeness(*[F.col(m) for m in measures])).alias("c"), last(sample_size).alias("n"), last(info).alias("i"), F.col(row).alias("r"))
+    groups = df.groupBy(*key).agg(F.count("*").alias("__m"), (F.min(turned) != F.max(turned)).alias("__swap"), reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conflict], F.lit(False)).alias("__differ"), F.min(score).alias("__best"))
     groups = groups.filter("__m > 1").select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(key)], "__swap", "__differ", F.col("__best.r").alias("__keep"))
     met = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(key)])
-    out = df.join(groups, met, "left")
-    status = F.when(F.col("__swap"), "swapped_orientation_duplicate").when(F.col("__differ"), "conflicting_duplicate").when(F.col("__keep") != -F.col(row), "duplicate_variant")
+    # repeated keys are few as a rule: then no row is shuffled for them
+    groups = written(groups, "repeated")
+    out = df.join(F.broadcast(groups) if groups.count() <= most_broadcast else groups, met, "left")
+    status = F.when(F.col("__swap"), "swapped_orientation_duplicate").when(F.col("__differ"), "conflicting_duplicate").when(F.col("__keep") != F.col(row), "duplicate_variant")
     return out.withColumn("duplicate_status", status).drop("__t", "__low", "__high", "__pos", "__g0", "__g1", "__g2", "__g3", "__swap", "__differ", "__keep")
 
 

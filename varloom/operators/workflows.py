@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import close, imputed_from_ld
-from ..functions.variants import clump_chromosome, palindromic
-from . import ranges, windows
+from ..functions.variants import DNA, allele, canonical_chromosome, clump_chromosome, integral_position, palindromic
+from ..runtime import written
+from . import joins, ranges, windows
 from .corrections import adjusted
+from .ledger import Ledger, Rule
 
 
 def normalised(df: DataFrame, missing: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -184,3 +186,26 @@ def in_regions(df: DataFrame, regions: DataFrame, keys: list[tuple[str, str]], p
     """Rows with the summed score of the regions that hold them."""
     got = ranges.contains(df, regions, keys, pos, start, end)
     return got.groupBy(*df.columns).agg(F.sum(score).alias("region_score"))
+
+
+def harmonised(df: DataFrame, reference: DataFrame, row: str, frequency: str, consistent: list[str], rules: list[Rule], left_out: list[str], most_difference: float) -> tuple[DataFrame, Ledger]:
+    """A study (chrom, pos, ea, oa, beta, se, eaf, n, info, a row id) brought to a reference (chrom, pos, ea, oa, its frequency).
+
+    Chromosomes, positions and alleles are normalised, rows of invalid coordinates or alleles or of
+    chromosomes left out go, then those that meet the rules; duplicates are resolved; what stays is
+    turned to the reference's effect allele, and rows that aren't there or whose frequency differs
+    by more than `most_difference` go. Each row is kept or has one reason in the ledger.
+    """
+    book = Ledger(row)
+    made = df.withColumns({"chrom": canonical_chromosome(F.col("chrom")), "pos": integral_position(F.col("pos")), "ea": allele(F.col("ea")), "oa": allele(F.col("oa"))})
+    invalid = F.col("chrom").isNull() | F.col("chrom").isin(left_out) | F.col("pos").isNull() | (F.col("pos") < 1) | (F.col("ea") == F.col("oa")) | ~F.col("ea").rlike(DNA) | ~F.col("oa").rlike(DNA)
+    made = written(book.reject(made, "input", [Rule("invalid_allele_or_scope", invalid), *rules]), "harmonised")
+    made = windows.resolve_duplicates(made, "chrom", "pos", "ea", "oa", consistent, ["beta", "se", "eaf"], "n", "info", row)
+    book.entries.append(made.filter("duplicate_status is not null").select(F.col(row), F.lit("duplicates").alias("step"), F.col("duplicate_status").alias("reason"), F.lit(None).cast("string").alias("detail")))
+    made = joins.allele_join(made.filter("duplicate_status is null").drop("duplicate_status"), reference, ["chrom", "pos", "ea", "oa"], frequency, "reference_frequency")
+    absent = Rule("not_in_reference", F.col("reference_frequency_orientation").isNull())
+    far = Rule("frequency_differs", F.abs(F.col("eaf") - F.col("reference_frequency")) > most_difference)
+    made = book.reject(written(made, "harmonised"), "reference", [absent, far], F.abs(F.col("eaf") - F.col("reference_frequency")))
+    turned = F.col("reference_frequency_orientation") == "swapped"
+    swapped = lambda a, b: F.when(turned, a).otherwise(b)
+    return made.withColumns({"ea": swapped(F.col("oa"), F.col("ea")), "oa": swapped(F.col("ea"), F.col("oa")), "beta": swapped(-F.col("beta"), F.col("beta")), "eaf": swapped(1 - F.col("eaf"), F.col("eaf")), "reference_frequency": swapped(1 - F.col("reference_frequency"), F.col("reference_frequency"))}), book

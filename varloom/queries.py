@@ -253,8 +253,7 @@ def win_top_per_block(spark, sf):
   FROM (SELECT *, row_number() OVER (ORDER BY rid) AS num FROM k) WINDOW w AS (PARTITION BY key))
  SELECT rid, CASE WHEN m > 1 AND swap THEN 'swapped_orientation_duplicate' WHEN m > 1 AND differ THEN 'conflicting_duplicate' WHEN m > 1 AND r > 1 THEN 'duplicate_variant' END AS duplicate_status FROM g""")
 def win_resolve_duplicates(spark, sf):
-    d = scans.ranked(study(spark, sf), [F.asc("rid")], "num")
-    return windows.resolve_duplicates(d, "chrom", "pos", "ea", "oa", ["l_tax"], ["beta", "se", "info"], "n", "info", "num").select("rid", "duplicate_status")
+    return windows.resolve_duplicates(study(spark, sf), "chrom", "pos", "ea", "oa", ["l_tax"], ["beta", "se", "info"], "n", "info", "rid").select("rid", "duplicate_status")
 
 
 @query("""WITH d AS (SELECT DISTINCT l_orderkey, lp FROM {S}), g AS (SELECT *, max(lp) OVER w AS top, count(*) OVER w AS m FROM d WINDOW w AS (PARTITION BY l_orderkey))
@@ -951,8 +950,9 @@ def plan_top_hits(spark, sf):
     """Scan, reject with reasons, canonical key, strongest row a key, top row a block, correction."""
     kept, _ = ledger.split(study(spark, sf), _rules())
     kept = kept.withColumn("key", var.unordered_key(F.col("chrom"), F.col("pos"), F.col("ea"), F.col("oa")))
-    keyed = windows.best(kept, ["key"], [F.desc("lp"), F.asc("rid")])
-    top, _ = windows.top_per_block(keyed, "l_suppkey", "lp", "rid", float("-inf"))
+    strong = [F.col("lp").isNull(), -F.col("lp"), F.col("rid")]
+    keyed = windows.least_row(kept.select("l_suppkey", "rid", "key", "lp"), ["key"], strong)
+    top = windows.least_row(keyed, ["l_suppkey"], strong)
     d = corrections.adjusted(top.withColumn("p", num.p_from_lp(F.col("lp"))), "p", ("fdr_bh",), ties=["rid"])
     return d.select("l_suppkey", "rid", "key", "lp", F.round("adj_fdr_bh", 15).alias("adj_fdr_bh"))
 
@@ -1101,6 +1101,27 @@ def set_stacked_provenance(spark, sf):
     return d.groupBy("key").agg(F.count("*").alias("n"))
 
 
+# -- harmonisation as one flow
+
+
+@query("""WITH a AS (SELECT *, CASE WHEN ea = oa OR chrom = '9' OR pos < 1 THEN 'invalid_allele_or_scope' WHEN lp < 0.5 OR se <= 0 THEN 'invalid_statistic' WHEN info IS NULL OR info < 0.65 THEN 'imputation_quality' END AS r1 FROM {S}),
+ k AS (SELECT *, chrom || '_' || pos || '_' || least(ea, oa) || '_' || greatest(ea, oa) AS key, ea > oa AS turned FROM a WHERE r1 IS NULL),
+ g AS (SELECT *, count(*) OVER w AS m, min(turned::INT) OVER w <> max(turned::INT) OVER w AS swap, min(l_tax) OVER w <> max(l_tax) OVER w AS differ, row_number() OVER (PARTITION BY key ORDER BY n DESC, info DESC, rid) AS r FROM k WINDOW w AS (PARTITION BY key)),
+ d AS (SELECT *, CASE WHEN m > 1 AND swap THEN 'swapped_orientation_duplicate' WHEN m > 1 AND differ THEN 'conflicting_duplicate' WHEN m > 1 AND r > 1 THEN 'duplicate_variant' END AS r2 FROM g),
+ q AS (SELECT chrom, pos, ea, oa, af, 0 AS o FROM {P} UNION ALL SELECT chrom, pos, oa, ea, 1 - af, 1 FROM {P}), b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY chrom, pos, ea, oa ORDER BY o) = 1),
+ j AS (SELECT d.*, b.o AS o, b.af AS af FROM d LEFT JOIN b USING (chrom, pos, ea, oa) WHERE r2 IS NULL),
+ e AS (SELECT *, CASE WHEN o IS NULL THEN 'not_in_reference' WHEN abs(eaf - af) > 0.4 THEN 'frequency_differs' END AS r3 FROM j)
+ SELECT rid, r1 AS reason, NULL::VARCHAR AS variant, NULL::DOUBLE AS beta, NULL::DOUBLE AS eaf FROM a WHERE r1 IS NOT NULL UNION ALL SELECT rid, r2, NULL, NULL, NULL FROM d WHERE r2 IS NOT NULL UNION ALL SELECT rid, r3, NULL, NULL, NULL FROM e WHERE r3 IS NOT NULL
+ UNION ALL SELECT rid, 'kept', chrom || '_' || pos || '_' || CASE o WHEN 0 THEN ea || '_' || oa ELSE oa || '_' || ea END, round(CASE o WHEN 0 THEN beta ELSE -beta END, 9) + 0.0, round(CASE o WHEN 0 THEN eaf ELSE 1 - eaf END, 9) FROM e WHERE r3 IS NULL""")
+def plan_harmonised(spark, sf):
+    """Names and alleles, statistics, duplicates, reference orientation and frequencies, with one ledger for all steps."""
+    s = study(spark, sf).withColumns({"chrom": F.concat(F.lit("chr0"), "chrom"), "ea": F.concat(F.lit(" "), F.lower("ea"))})
+    kept, book = workflows.harmonised(s, panel(spark, sf), "rid", "af", ["l_tax"], [ledger.Rule("invalid_statistic", (F.col("lp") < 0.5) | (F.col("se") <= 0)), ledger.Rule("imputation_quality", F.col("info") < 0.65)], ["9"], 0.4)
+    none = lambda t: F.lit(None).cast(t)
+    lost = book.rows().select("rid", "reason", none("string").alias("variant"), none("double").alias("beta"), none("double").alias("eaf"))
+    return kept.select("rid", F.lit("kept").alias("reason"), F.concat_ws("_", "chrom", F.col("pos").cast("string"), "ea", "oa").alias("variant"), F.round("beta", 9).alias("beta"), F.round("eaf", 9).alias("eaf")).unionByName(lost)
+
+
 # -- regulatory scores, contracts, panels, heritability, alignment
 
 REGIONS = """SELECT *, CAST(g_start % 7 + 1 AS DOUBLE) / 8 AS x FROM (""" + GENES + """)"""
