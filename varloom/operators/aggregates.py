@@ -21,6 +21,33 @@ def guarded_corr(x: Column, y: Column) -> Column:
     return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))))
 
 
+def moments(df: DataFrame, x: str, y: str, groups: list[str] = ()) -> DataFrame:
+    """The state of two columns' moments over complete pairs: n, mean_x, mean_y and centred sums sxx, syy, sxy.
+
+    States can be stored and pooled with others of the same groups.
+    """
+    both = finite(F.col(x)) & finite(F.col(y))
+    a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+    n = F.count(a)
+    return df.groupBy(*groups).agg(n.alias("n"), F.avg(a).alias("mean_x"), F.avg(b).alias("mean_y"), (F.var_pop(a) * n).alias("sxx"), (F.var_pop(b) * n).alias("syy"), (F.covar_pop(a, b) * n).alias("sxy"))
+
+
+def pooled_moments(states: DataFrame, groups: list[str] = ()) -> DataFrame:
+    """One state a group out of several: centred sums add up, with what the means differ by from the common mean."""
+    groups, held = list(groups), states.filter("n > 0")
+    mean = lambda c: (F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(f"__{c}")
+    met = beside(held, held.groupBy(*groups).agg(mean("mean_x"), mean("mean_y")), groups)
+    dx, dy = F.col("mean_x") - F.col("__mean_x"), F.col("mean_y") - F.col("__mean_y")
+    total = lambda c, d: F.sum(F.col(c) + F.col("n") * d).alias(c)
+    return met.groupBy(*groups).agg(F.sum("n").alias("n"), F.first("__mean_x").alias("mean_x"), F.first("__mean_y").alias("mean_y"), total("sxx", dx * dx), total("syy", dy * dy), total("sxy", dx * dy))
+
+
+def pearson_of(states: DataFrame, out: str = "pearson") -> DataFrame:
+    """Pearson's correlation from moments, null for constants and under two pairs."""
+    ok = (F.col("n") >= 2) & (F.col("sxx") > 0) & (F.col("syy") > 0)
+    return states.withColumn(out, F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy"))))))
+
+
 def concordance(df: DataFrame, expected: str, observed: str, tolerance: tuple[float, float] = (1e-6, 1e-3), groups: list[str] = ()) -> DataFrame:
     """Rows, eligible, concordant, differences, RMSE and Pearson of two columns, overall or by group."""
     e, o = F.col(expected), F.col(observed)

@@ -1101,6 +1101,19 @@ def set_stacked_provenance(spark, sf):
     return d.groupBy("key").agg(F.count("*").alias("n"))
 
 
+# -- moments as states
+
+
+@query("SELECT ea, count(*) AS n, round(avg(l_discount), 9) AS mean_x, round(avg(l_extendedprice), 6) AS mean_y, round(corr(l_discount, l_extendedprice), 9) AS pearson FROM {S} GROUP BY ea")
+def agg_pooled_moments(spark, sf):
+    """States by chromosome, stored, then pooled by allele."""
+    states = agg.moments(study(spark, sf), "l_discount", "l_extendedprice", ["chrom", "ea"])
+    path = shared_dir(spark, "moments")
+    sinks.write_partitions(states, path, "chrom")
+    d = agg.pearson_of(agg.pooled_moments(spark.read.parquet(path).drop("chrom"), ["ea"]))
+    return d.select("ea", "n", F.round("mean_x", 9).alias("mean_x"), F.round("mean_y", 6).alias("mean_y"), F.round("pearson", 9).alias("pearson"))
+
+
 # -- harmonisation as one flow
 
 
