@@ -39,7 +39,7 @@ UNION_K, UNION_FLOOR = 128, 72 / 128
 #: Members of a block: at least, at most; shingles of a block; a task has two blocks.
 LEAST_MEMBERS, MOST_MEMBERS, MOST_SHINGLES = 64, 2_048, 2_000_000
 #: Members that one task compares with a pivot.
-PIVOT_MEMBERS = 256
+PIVOT_MEMBERS = 64
 #: Classes in candidate components up to this number are broadcast to pick their texts; more are joined by shuffle.
 MOST_BROADCAST = 400_000
 
