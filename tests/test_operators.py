@@ -171,6 +171,41 @@ def test_clumps_equal_plain_walk(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_clumps_by_distance_equal_those_of_edges(spark, exclusive):
+    rnd = random.Random(6)
+    # stretches of many variants and gaps just at, below and above twice the window
+    at, v = {"1": 0, "2": 0}, []
+    for i in range(1500):
+        c = rnd.choice("12")
+        at[c] += rnd.choice([1, 2, 3, 5, 11, 12, 13, 25, 200] if i % 50 == 0 else [1, 2, 3])
+        v.append((f"v{i}", c, at[c], float(rnd.choice([1, 3, 6, 7, 8])) if rnd.random() < 0.9 else None))
+    e = [(x[0], y[0], 1 - (y[2] - x[2]) / 10) for x in v for y in v if x[1] == y[1] and 0 < y[2] - x[2] <= 6]
+    d, least = spark.createDataFrame(v, "id string, chrom string, pos long, lp double"), 6 if exclusive else 3
+    d = d.filter("lp is not null") if exclusive else d
+    want = graph.clumps(d, spark.createDataFrame(e, "a string, b string, r2 double"), "id", "chrom", "pos", "lp", 6, least, 0.6, 6, exclusive)
+    want = sorted((r.index_id, r.member, r.r2) for r in want.collect())
+    places = {x[0]: x[1:] for x in v}
+    for leads in (1, 40, 5000):
+        got = graph.clumps_by_distance(d, lambda distance: 1 - distance / 10, "id", "chrom", "pos", "lp", 6, least, 0.6, 6, exclusive, leads).collect()
+        assert sorted((r.index_id, r.member, r.r2) for r in got) == want
+        assert all((r.chrom, r.pos, r.score) == places[r.member] for r in got)
+    alone = spark.createDataFrame([("a", None, 5, 9.0), ("b", "1", None, 9.0), ("c", "1", 5, 9.0), ("d", "1", 6, None), (None, "1", 7, 9.0)], "id string, chrom string, pos long, lp double")
+    got = graph.clumps_by_distance(alone, lambda distance: 1 - distance / 10, "id", "chrom", "pos", "lp", 6, 3, 0.6, 6).collect()
+    assert sorted((r.index_id, r.member) for r in got) == [("a", "a"), ("b", "b"), ("c", "c"), ("c", "d")]
+    assert graph.clumps_by_distance(alone.filter("lp < 1"), lambda distance: 1 - distance / 10, "id", "chrom", "pos", "lp", 6, 3, 0.6, 6).collect() == []
+
+
+def test_second_stage_clumps_shuffle_no_links(spark, tmp_path):
+    """Four line items at each of many places: links outnumber them many times, but are no part of the plan."""
+    from varloom.queries import QUERIES
+
+    spark.sql("select id l_orderkey, cast(id % 7 as int) l_linenumber, 22L l_suppkey, id div 4 l_partkey, 1D l_quantity, 1e5 + id % 9 * 1e3 l_extendedprice, 0D l_discount, 0D l_tax, 'A' l_returnflag, 'O' l_linestatus from range(4000)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    d = QUERIES["graph_second_stage_clumps"](spark, str(tmp_path))
+    assert d._jdf.queryExecution().executedPlan().toString().count("Join") <= 1
+    assert d.count() > 0
+
+
 def test_dependency_order():
     needs = {"a": ["b", "c"], "b": ["c"], "c": [], "d": []}
     assert graph.dependency_order(["a"], needs) == ["c", "b", "a"]
