@@ -130,9 +130,15 @@ def credible(df: DataFrame, keys: list[str], probability: str, coverage: float,
     return df.withColumn("__before", F.coalesce(F.sum(probability).over(w), F.lit(0.0))).filter(F.col("__before") <= coverage).drop("__before")
 
 
-def credible_95(df: DataFrame, keys: list[str], probability: str, ties: list[str]) -> DataFrame:
-    """All rows if the group's sum is under .95; else, rescaled if over 1, those whose rising sum is .05 or more."""
-    group, upto = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(F.asc(probability), *ties).rowsBetween(Window.unboundedPreceding, 0)
+def credible_95(df: DataFrame, keys: list[str], probability: str, ties: list[str], order: list[str] = ()) -> DataFrame:
+    """All rows if the group's sum is under .95; else, rescaled if over 1, those whose rising sum is .05 or more.
+
+    A sum of floats depends on the order of its terms, and groups may lie at the very thresholds:
+    the group's sum is taken in the order given, by default that of the rising sum.
+    """
+    rising = [F.asc(probability), *ties]
+    group = Window.partitionBy(*keys).orderBy(*(order or rising)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = Window.partitionBy(*keys).orderBy(*rising).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("__sum", F.sum(probability).over(group))
     scaled = F.when(F.col("__sum") > 1, F.col(probability) / F.col("__sum")).otherwise(F.col(probability))
     return df.withColumn("__cum", F.sum(scaled).over(upto)).filter((F.col("__sum") < 0.95) | (F.col("__cum") >= 0.05)).drop("__sum", "__cum")
