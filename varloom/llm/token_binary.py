@@ -36,33 +36,42 @@ SHARD_IDS = 1_000_000
 SHARE = 0.02
 #: Bits of a number to sort by.
 KEY_BITS = 64
+#: Sorts behind all pairs.
+LAST_KEY = np.uint64(2**64 - 1)
 
 
-def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs that start at `at`, grouped: left and right of each, occurrences, and all positions group by group.
+def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that start at `at`, grouped: left and right of each, occurrences, all positions group by group, and those of equal ids.
 
     Of a run of equal ids every other position counts, so that occurrences don't overlap.
     """
-    left, right = seq[at], seq[at + 1]
-    same = left == right
-    if same.any():
-        run, place = at[same], np.arange(int(same.sum()))
-        begins = np.concatenate(([True], run[1:] != run[:-1] + 1))
-        same[same] = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1
-        at, left, right = at[~same], left[~same], right[~same]
+    left, right = seq.take(at), seq[1:].take(at)
+    twins = np.flatnonzero(left == right)
+    equal = at[twins]
+    begins, place = np.ones(len(twins), bool), np.arange(len(twins))
+    np.not_equal(equal[1:], equal[:-1] + 1, out=begins[1:])
+    out = twins[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1]
     bits, places = most.bit_length(), len(seq).bit_length()
-    key = (left.astype(np.uint64) << np.uint64(bits)) | right
+    key = left.astype(np.uint64)
+    key <<= np.uint64(bits)
+    key |= right
     if 2 * bits + places <= KEY_BITS:  # pair and position in one number sort fastest
-        key = (key << np.uint64(places)) | at.astype(np.uint64)
+        key <<= np.uint64(places)
+        key |= at.view(np.uint64)
+        key[out] = LAST_KEY
         key.sort()
-        at = (key & np.uint64((1 << places) - 1)).astype(np.int64)
+        key = key[: len(key) - len(out)]
+        at = (key & np.uint64((1 << places) - 1)).view(np.int64)
         key >>= np.uint64(places)
     else:
-        by = np.argsort(key, kind="stable")
+        key[out] = LAST_KEY
+        by = np.argsort(key, kind="stable")[: len(key) - len(out)]
         key, at = key[by], at[by]
-    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    begins = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=begins[1:])
+    edge = np.flatnonzero(begins)
     first = key[edge]
-    return (first >> np.uint64(bits)).astype(np.int64), (first & np.uint64((1 << bits) - 1)).astype(np.int64), np.diff(np.append(edge, len(key))), at
+    return (first >> np.uint64(bits)).astype(np.int64), (first & np.uint64((1 << bits) - 1)).astype(np.int64), np.diff(np.append(edge, len(key))), at, equal
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,8 +97,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE
         at = np.flatnonzero(live)
         if not len(at):
             break
-        equal = at[seq[at] == seq[at + 1]]
-        left, right, count, places = _counted(seq, at, first + len(ids))
+        left, right, count, places, equal = _counted(seq, at, first + len(ids))
         top = int(count.max())
         if top < 2:
             break
@@ -104,15 +112,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE
         n, starts = count[chosen], np.cumsum(count) - count
         upto = np.cumsum(n)
         hits = places[np.repeat(starts[chosen] - (upto - n), n) + np.arange(upto[-1])]
-        live[places[np.repeat(count < 2, count)]] = False
+        live[places[starts[count < 2]]] = False
         live[equal] = True  # which of a run's positions count may change
         seq[hits] = np.repeat(np.arange(next_symbol, next_symbol + len(chosen), dtype=np.uint32), n)
         live[hits] = True
         live[hits[hits > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[hits + 1] = False
-        ends = ends - np.searchsorted(np.sort(hits) + 1, ends)
-        seq, live = seq[keep], live[keep]
+        stay = np.flatnonzero(keep)
+        ends = np.searchsorted(stay, ends)
+        seq, live = seq.take(stay), live.take(stay)
         pairs = np.stack([left[chosen], right[chosen]], 1)
         rules.append(pairs)
         lengths.append(span[pairs].sum(1))
