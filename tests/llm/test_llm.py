@@ -209,6 +209,24 @@ def test_packing(docs, plain):
         assert at == len(ids)
 
 
+def test_packing_by_small_batches(spark, monkeypatch):
+    """Texts come to Python by ARROW_ROWS, whatever size the session has where the result is read."""
+
+    def watched(run, most=common.ARROW_ROWS):
+        inner = common.lean(run)
+
+        def checked(batches):
+            for b in batches:
+                assert b.num_rows <= most, f"{b.num_rows} rows in a batch"
+                yield b
+
+        return lambda batches: inner(checked(batches))
+
+    monkeypatch.setattr(packing, "lean", watched)
+    rows = packing.packed(spark.range(0, 2000, 1, 1).selectExpr("id doc_id", "concat('word ', id) text")).collect()
+    assert {r.doc_id for r in rows} == set(range(2000))
+
+
 def test_sum_of_squares_is_least():
     r = random.Random(3)
     s, counts = packing.SumOfSquares(64), [0] * 65

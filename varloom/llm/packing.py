@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lean
+from .common import lean, written
 from .tokens import gathered, shared_tokenizer
 
 WINDOW = 2048
@@ -131,7 +131,9 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
 
     Null or empty text: its one id, end_id, is packed. Null doc_id stays null; repeated rows are
     packed each. Other columns are left out. No rows give no rows. One pass over the input, with
-    no shuffle: a task packs its own rows, so a retried task gives the same pieces.
+    no shuffle: a task packs its own rows, so a retried task gives the same pieces. They are
+    written here, as the size of batches that texts go to Python in is the session's where a plan
+    is run: 10,000 texts, its default, are some 30 MB that JVM and worker both hold.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -155,4 +157,5 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, wind
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(lean(run), SCHEMA)
+    pieces = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(lean(run), SCHEMA)
+    return written(docs.sparkSession, pieces, "pieces", numbers=True)
