@@ -361,6 +361,38 @@ def test_repair_of_a_long_shard(monkeypatch):
     assert all(map(np.array_equal, a, token_binary.compress(ids, ends, 60)))
 
 
+def test_repair_counts_only_what_a_round_may_take(texts, plain, monkeypatch):
+    """Pairs too rare for a round wait, so each is counted about as often as it is made; those as frequent are all there."""
+    docs = [np.array(plain(t), "<u4") for t in list(texts.values())[:60]]
+    flat, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    seen, inner = [], token_binary._counted
+    monkeypatch.setattr(token_binary, "_counted", lambda seq, at, n: (seen.append(len(at)), inner(seq, at, n))[1])
+    rules, _, seq, _ = token_binary.compress(flat, ends, 49408)
+    made = len(flat) + 2 * (len(flat) - len(seq))
+    assert sum(seen) < 1.6 * made and len(rules) > 100
+    # more occurrences than a level can say, then ever fewer
+    docs = [np.repeat(np.arange(1, 9), 2 ** np.arange(9, 1, -1))[np.random.default_rng(2).permutation(1020)].astype("<u4") for _ in range(3)]
+    rules, _, seq, ends = token_binary.compress(np.concatenate(docs), np.cumsum([1020] * 3), 41)
+    want_rules, want = plain_repair(docs, 41, token_binary.SHARE, None)
+    assert list(map(tuple, rules.tolist())) == want_rules and [seq[a:b].tolist() for a, b in zip([0, *ends], ends)] == want
+
+
+def test_reader_holds_no_more_than_the_shard():
+    """Expansions that are held have no more ids than the shard; longer ones are taken apart."""
+    docs = [np.full(500, 3, "<u4"), *[np.random.default_rng(0).permutation(1000).astype("<u4")] * 2, np.zeros(0, "<u4")]
+    s = token_binary.Shard(token_binary.encode_shard([1, 2, 3, 4], np.array([len(d) for d in docs]), np.concatenate(docs), 0, 1000))
+    flat, _, size, most = s.short
+    assert 2 < most < size.max() and 1000 < len(flat) <= 1000 + sum(map(len, docs)) < size.sum()
+    assert all(np.array_equal(x, d) for (_, x), d in zip(s.all(), docs)) and np.array_equal(s.ids(0), docs[0])
+
+
+def test_words_are_put_together_in_slices(texts, monkeypatch):
+    some = [None, "", " ", *list(texts.values())[:20], None]
+    want = tokens.WordTokenizer().ids(some)
+    monkeypatch.setattr(tokens, "SLICE_WORDS", 7)
+    assert tokens.WordTokenizer().ids(some) == want and tokens.WordTokenizer().ids([None, " "]) == [b"", b""]
+
+
 def test_token_table(docs, plain):
     got = sorted(((r.doc_id is not None, r.doc_id or 0), r.start, r.n_tokens, r.ids_crc32) for r in token_binary.token_table(docs).collect())
     at = 0

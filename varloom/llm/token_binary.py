@@ -17,6 +17,8 @@ Spark's own commit protocol covers them on any store and a lost executor leaves
 
 from __future__ import annotations
 
+import functools
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batched, lean, shared_dir
-from .tokens import gathered, shared_tokenizer
+from .tokens import gathered, shared_tokenizer, spread
 
 MAGIC, VERSION, HEAD = b"VLRP", 2, "<4sIQIQIQ"
 #: Ids gathered for one shard; a longer document makes a longer shard.
@@ -36,12 +38,14 @@ SHARD_IDS = 1_000_000
 SHARE = 0.02
 #: Bits of a number to sort by.
 KEY_BITS = 64
+#: A position's level while its pair is to be counted; else it is at most one less.
+FRESH = 255
 #: Sorts behind all pairs.
 LAST_KEY = np.uint64(2**64 - 1)
 
 
-def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs that start at `at`, grouped: left and right of each, occurrences, all positions group by group, and those of equal ids.
+def _counted(seq: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that start at `at`, grouped: each as one number of two symbols of so many bits, occurrences, all positions group by group, and those of equal ids.
 
     Of a run of equal ids every other position counts, so that occurrences don't overlap.
     """
@@ -51,7 +55,7 @@ def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np
     begins, place = np.ones(len(twins), bool), np.arange(len(twins))
     np.not_equal(equal[1:], equal[:-1] + 1, out=begins[1:])
     out = twins[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 1]
-    bits, places = most.bit_length(), len(seq).bit_length()
+    places = len(seq).bit_length()
     key = left.astype(np.uint64)
     key <<= np.uint64(bits)
     key |= right
@@ -70,20 +74,22 @@ def _counted(seq: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np
     begins = np.ones(len(key), bool)
     np.not_equal(key[1:], key[:-1], out=begins[1:])
     edge = np.flatnonzero(begins)
-    first = key[edge]
-    return (first >> np.uint64(bits)).astype(np.int64), (first & np.uint64((1 << bits) - 1)).astype(np.int64), np.diff(np.append(edge, len(key))), at, equal
+    return key[edge], np.diff(np.append(edge, len(key))), at, equal
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rules, expansion lengths, symbols and the documents' ends in them; all ids lie below first.
 
-    Re-Pair in rounds, until no pair of neighbours in a document occurs twice. A round counts all
-    pairs, occurrences that don't overlap, and ranks those that occur at least `share` as often as
-    the most frequent one (ties: lesser left, then right). A symbol takes the side that it has in
-    the first of them it is in; pairs both of whose symbols are on their sides can't overlap and are
-    replaced at once, but at most the first `most` of them: 1 makes it Re-Pair's own order. A pair of
-    equal ids is taken if it is the first that its symbol is in. Only pairs that occurred twice, or
-    have a new neighbour, are counted again: no other pair becomes more frequent.
+    Re-Pair in rounds, until no pair of neighbours in a document occurs twice. A round ranks the
+    pairs that occur, without overlap, at least `share` as often as the most frequent one (ties:
+    lesser left, then right). A symbol takes the side that it has in the first of them it is in;
+    pairs both of whose symbols are on their sides can't overlap and are replaced at once, but at
+    most the first `most` of them: 1 makes it Re-Pair's own order. A pair of equal ids is taken if
+    it is the first that its symbol is in.
+
+    No pair becomes more frequent but by a new symbol, all of whose pairs are counted. So `level`
+    holds, for each position, how often its pair occurred when last counted, FRESH if it is to be
+    counted again in any case, and a round counts only those that may be frequent enough for it.
     """
     rules: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
@@ -91,40 +97,45 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int, share: float = SHARE
     next_symbol, span = first, np.ones(first, np.uint64)
     as_left = np.empty(first + len(seq) + 1, np.int64)
     as_right = as_left.copy()
-    live = np.ones(len(seq), bool)
+    level, need = np.full(len(seq), FRESH, np.uint8), 2
     while True:
-        live[ends[ends > 0] - 1] = False
-        at = np.flatnonzero(live)
-        if not len(at):
-            break
-        left, right, count, places, equal = _counted(seq, at, first + len(ids))
-        top = int(count.max())
+        level[ends[ends > 0] - 1] = 0
+        bits, least, found = (next_symbol - 1).bit_length(), FRESH + 1, []
+        while not found or need < least:  # the round before had more frequent ones: those in between
+            below, least = least, min(need, FRESH - 1)
+            due = level >= least
+            if found:
+                due &= level < below
+            found.append(_counted(seq, np.flatnonzero(due), bits))
+            top = max(int(f[1].max(initial=0)) for f in found)
+            need = max(2, math.ceil(share * top))
         if top < 2:
             break
-        often = np.flatnonzero(count >= max(2, share * top))
-        often = often[np.argsort(-count[often], kind="stable")]
-        a, b, rank = left[often], right[often], np.arange(len(often))
-        as_left[a] = as_right[a] = as_left[b] = as_right[b] = len(often)
-        as_left[a[::-1]], as_right[b[::-1]] = rank[::-1], rank[::-1]
-        twin = a == b
-        fits = np.where(twin, (as_left[a] == rank) & (as_right[a] == rank), (as_left[a] < as_right[a]) & (as_right[b] < as_left[b]))
-        chosen = often[np.flatnonzero(fits)[:most]]
+        pair, count, places, equal = found[0] if len(found) == 1 else map(np.concatenate, zip(*found))
+        often = np.flatnonzero(count >= need)
+        often = often[np.lexsort((pair[often], -count[often]))]
+        left, right = (pair[often] >> np.uint64(bits)).astype(np.int64), (pair[often] & np.uint64((1 << bits) - 1)).astype(np.int64)
+        rank = np.arange(len(often))
+        as_left[left] = as_right[left] = as_left[right] = as_right[right] = len(often)
+        as_left[left[::-1]], as_right[right[::-1]] = rank[::-1], rank[::-1]
+        fits = np.where(left == right, (as_left[left] == rank) & (as_right[left] == rank), (as_left[left] < as_right[left]) & (as_right[right] < as_left[right]))
+        taken = np.flatnonzero(fits)[:most]
+        chosen = often[taken]
         n, starts = count[chosen], np.cumsum(count) - count
         upto = np.cumsum(n)
         hits = places[np.repeat(starts[chosen] - (upto - n), n) + np.arange(upto[-1])]
-        live[places[starts[count < 2]]] = False
-        live[equal] = True  # which of a run's positions count may change
+        level[places] = np.repeat(np.where(count < need, np.minimum(count, FRESH - 1), FRESH).astype(np.uint8), count)
+        level[equal] = FRESH  # which of a run's positions count may change
         seq[hits] = np.repeat(np.arange(next_symbol, next_symbol + len(chosen), dtype=np.uint32), n)
-        live[hits] = True
-        live[hits[hits > 0] - 1] = True
+        level[hits] = FRESH
+        level[hits[hits > 0] - 1] = FRESH
         keep = np.ones(len(seq), bool)
         keep[hits + 1] = False
         stay = np.flatnonzero(keep)
         ends = np.searchsorted(stay, ends)
-        seq, live = seq.take(stay), live.take(stay)
-        pairs = np.stack([left[chosen], right[chosen]], 1)
-        rules.append(pairs)
-        lengths.append(span[pairs].sum(1))
+        seq, level = seq.take(stay), level.take(stay)
+        rules.append(np.stack([left[taken], right[taken]], 1))
+        lengths.append(span[rules[-1]].sum(1))
         span = np.concatenate([span, lengths[-1]])
         next_symbol += len(chosen)
     none = np.zeros((0, 2), np.int64)
@@ -195,23 +206,39 @@ class Shard:
     def symbols(self, start: int, end: int) -> np.ndarray:
         return self._symbols(self.at, self.n_symbols, start, end)
 
-    def span(self, symbols: np.ndarray) -> np.ndarray:
-        out = np.ones(len(symbols), np.int64)
-        some = symbols >= self.first
-        out[some] = self.lengths[symbols[some] - self.first]
-        return out
+    @functools.cached_property
+    def short(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Expansions one after the other, where each symbol's begins, each symbol's length, and the length up to which they are held.
+
+        Together they have no more ids than the shard. Rules follow those that they are made of:
+        each goes with all after it that name only rules before it.
+        """
+        size = np.concatenate([np.ones(self.first, np.int64), self.lengths])
+        by_length = np.sort(size[self.first :])
+        n = int(np.searchsorted(np.cumsum(by_length), self.counts.sum(), "right"))
+        most = int(by_length[n]) - 1 if n < len(by_length) else int(size.max(initial=1))
+        held = np.where(size <= most, size, 0)
+        begin = np.cumsum(held) - held
+        flat = np.empty(int(held.sum()), np.uint32)
+        flat[: self.first] = np.arange(self.first)
+        newest, i = np.maximum.accumulate(self.rules.max(1, initial=0)), 0
+        while i < len(self.rules):
+            j = int(np.searchsorted(newest, self.first + i))
+            parts = self.rules[i:j][self.lengths[i:j] <= most].ravel()
+            made = spread(flat, begin.take(parts), size.take(parts))
+            flat[begin[self.first + i] :][: len(made)] = made
+            i = j
+        return flat, begin, size, most
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """All nonterminals one level down at a time, each at its place in the ids."""
-        size = self.span(symbols)
-        place = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.uint32)
-        while len(symbols):
-            plain = symbols < self.first
-            out[place[plain]] = symbols[plain]
-            pair, place = self.rules[symbols[~plain] - self.first], place[~plain]
-            symbols, place = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([place, place + self.span(pair[:, 0])])
-        return out
+        """Long nonterminals one level down at a time in their places, then all others at once."""
+        flat, begin, size, most = self.short
+        while (long := size.take(symbols) > most).any():
+            at = np.cumsum(1 + long)[long] - 2
+            pair = self.rules[symbols[long] - self.first]
+            symbols = np.repeat(symbols, 1 + long)
+            symbols[at], symbols[at + 1] = pair[:, 0], pair[:, 1]
+        return spread(flat, begin.take(symbols), size.take(symbols))
 
     def ids(self, i: int) -> np.ndarray:
         return self.expand(self.symbols(int(self.ends[i - 1]) if i else 0, int(self.ends[i])))
@@ -285,7 +312,7 @@ def read_shards(spark, path: str) -> DataFrame:
                 shard = Shard(blob.as_buffer())
                 rows, start = [], before[task] + shard.start
                 for doc_id, ids in shard.all():
-                    rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4", copy=False))))
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

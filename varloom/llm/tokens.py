@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Pieces of words kept by a worker: those met lately, in two generations of half of these each.
 MOST_WORDS = 600_000
+#: Words whose ids are put together at a time.
+SLICE_WORDS = 1 << 18
 #: The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, the others from U+0100 on.
 PRINTABLE = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
 BYTE_LETTERS = [chr(b) if b in PRINTABLE else "" for b in range(256)]
@@ -45,6 +47,18 @@ def gathered(batches: Iterator[pa.RecordBatch], most_rows: int = 2048, most_byte
         yield pa.concat_batches(held)
 
 
+def spread(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at `begin` and have `size` members, one after the other."""
+    end = np.cumsum(size)
+    at = np.arange(end[-1] if len(end) else 0)
+    at += np.repeat(begin - (end - size), size)
+    return values.take(at)
+
+
+def listed(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordTokenizer:
     """ids(texts): for each text its ids as packed little-endian unsigned 32-bit integers."""
 
@@ -104,11 +118,11 @@ class WordTokenizer:
         low = pc.utf8_lower(core.filter(simple)).dictionary_encode()
         tail = pc.utf8_ltrim(words.filter(simple), characters=LETTERS).dictionary_encode()
         other = words.filter(pc.invert(simple))
-        got = self._known(low.dictionary.to_pylist(), True)
+        got = self._known(listed(low.dictionary), True)
         n_low = len(got)
-        got += self._known(tail.dictionary.to_pylist(), False)
+        got += self._known(listed(tail.dictionary), False)
         n_tail = len(got)
-        got += self._known(other.to_pylist(), False)
+        got += self._known(listed(other), False)
         got.append(b"")
         # two pieces a word: of a simple one its letters and what follows them, of another itself and nothing
         is_simple = simple.to_numpy(zero_copy_only=False)
@@ -116,12 +130,18 @@ class WordTokenizer:
         pieces[is_simple, 0] = low.indices.to_numpy()
         pieces[is_simple, 1] = tail.indices.to_numpy() + n_low
         pieces[~is_simple, 0] = np.arange(n_tail, len(got) - 1)
-        ends = np.cumsum([0, *map(len, got)], dtype=np.int64) // 4
-        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.uint32)))
-        parts = lists.take(pa.array(pieces.ravel()))
-        taken = pa.LargeListArray.from_arrays(parts.offsets.take(pa.array(np.arange(0, 2 * len(words) + 1, 2))), parts.values).take(coded.indices)
-        raw = memoryview(np.ascontiguousarray(taken.flatten().to_numpy())).cast("B")
-        at = (taken.offsets.to_numpy()[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        begins, pairs = np.cumsum(sizes) - sizes, pieces.ravel()
+        of_words = spread(np.frombuffer(b"".join(got), np.uint32), begins.take(pairs), sizes.take(pairs))
+        sizes = sizes.take(pieces).sum(1)
+        begins, which = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        upto = np.append(0, np.cumsum(sizes.take(which)))
+        out = np.empty(upto[-1], np.uint32)
+        for i in range(0, len(which), SLICE_WORDS):
+            some = which[i : i + SLICE_WORDS]
+            out[upto[i] : upto[i + len(some)]] = spread(of_words, begins.take(some), sizes.take(some))
+        raw = memoryview(out).cast("B")
+        at = (upto[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
         return [bytes(raw[x:y]) for x, y in zip(at, at[1:])]
 
 
