@@ -227,6 +227,28 @@ def test_packing_by_small_batches(spark, monkeypatch):
     assert {r.doc_id for r in rows} == set(range(2000))
 
 
+def test_workers_give_up_a_tokenizer_out_of_use():
+    """A task that has no use for the tokenizer of earlier ones lets go of it; one that has keeps it and its words."""
+    kept = tokens.shared_tokenizer()
+    assert list(common.lean(lambda batches: iter([tokens.shared_tokenizer()]), blocks=False)(iter([]))) == [kept]
+    assert tokens.shared_tokenizer() is kept
+    list(common.lean(lambda batches: batches, blocks=False)(iter([])))
+    assert not tokens.shared_tokenizer.cache_info().currsize
+
+
+def test_language_model_makes_no_rows_by_python_workers(spark, monkeypatch):
+    """Rows of the driver's Python would start a second daemon and workers of its own beside those of mapInArrow."""
+
+    def never(*args, **kwargs):
+        raise AssertionError("rows are dealt to Python workers")
+
+    docs = spark.sql("select concat(if(id % 2 = 0, 'der hund und die katze ', 'the dog and the cat '), id) text, if(id % 2 = 0, 'de', 'en') lang from range(60)")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", never)
+    model = langid.fitted(docs, rows=20)
+    assert model.languages == ["de", "en"]
+    assert model.scores(["die katze und der hund", "the cat and the dog"])[0].argmax(1).tolist() == [0, 1]
+
+
 def test_sum_of_squares_is_least():
     r = random.Random(3)
     s, counts = packing.SumOfSquares(64), [0] * 65

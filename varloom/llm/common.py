@@ -74,12 +74,14 @@ def lean(run, blocks: bool = True):
     """A function for mapInArrow whose worker, which Spark keeps for later tasks, holds on to little memory.
 
     blocks: large blocks come from the system and go back to it whenever they are freed, which
-    costs time where a task makes many. What is free at the end goes back in any case. Batches
-    come in slices of ARROW_ROWS, whatever the session's own size is.
+    costs time where a task makes many. What is free at the end goes back in any case, and so does
+    the tokenizer of earlier tasks, with the words it has met, if this one had no use for it.
+    Batches come in slices of ARROW_ROWS, whatever the session's own size is.
     """
 
     def wrapped(batches):
         import ctypes
+        import sys
 
         import pyarrow as pa
 
@@ -92,7 +94,11 @@ def lean(run, blocks: bool = True):
             libc = None
         if blocks:
             pa.set_memory_pool(pa.system_memory_pool())
+        tokens = sys.modules.get("varloom.llm.tokens")
+        used = tokens and tokens.shared_tokenizer.cache_info()
         yield from run(b.slice(i, ARROW_ROWS) for b in batches for i in range(0, b.num_rows, ARROW_ROWS))
+        if tokens and tokens.shared_tokenizer.cache_info() == used:
+            tokens.shared_tokenizer.cache_clear()
         pa.default_memory_pool().release_unused()
         if libc:
             libc.malloc_trim(0)

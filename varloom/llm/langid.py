@@ -102,7 +102,9 @@ def fitted(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     languages = [k for k, _, _ in by]
     # each language keeps at least its share of the bound, so that a rare one is learnt too
     share = max(rows / len(by), LANGUAGE_ROWS)
-    limits = spark.createDataFrame([(k, i, max(least, int(min(1.0, share / max(1, n)) * (1 << 40)))) for i, (k, n, least) in enumerate(by)], "l string, place int, most long")
+    most = [max(least, int(min(1.0, share / max(1, n)) * (1 << 40))) for _, n, least in by]
+    # as an Arrow table; a list of rows would start Python workers of another kind on the executors
+    limits = spark.createDataFrame(pa.table([pa.array(languages, pa.string()), pa.array(range(len(by)), pa.int32()), pa.array(most, pa.int64())], ["l", "place", "most"]))
     sample = labelled.join(F.broadcast(limits), (F.col("lang") == F.col("l")) & (F.col("u") <= F.col("most")))
     sample = sample.groupBy("place", "u").agg(F.first("text").alias("text")).select("text", "place")
 
